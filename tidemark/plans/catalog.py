@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from . import funnel_queries, metric_queries  # noqa: F401
+from . import funnel_queries, metric_queries, statistics_queries  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401
