@@ -1,4 +1,6 @@
 """All registered queries."""
 
-from . import funnel_queries, metric_queries, statistics_queries  # noqa: F401
+from . import (  # noqa: F401
+    funnel_queries, metric_queries, series_queries, statistics_queries, text_queries,
+)
 from .registry import QUERIES, SQL  # noqa: F401

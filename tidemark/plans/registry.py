@@ -13,19 +13,25 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
+def _shift(digits: int) -> float:
+    """Moves exact halves off the rounding boundary, the same way on both sides."""
+    return 4 * 10.0 ** -(digits + 4)
+
+
 def rounded(df: DataFrame, columns: dict[str, int]) -> DataFrame:
     """Round doubles so that a different summation order cannot show in a comparison."""
     return df.select(*[
-        F.round(F.col(f"`{c}`"), columns[c]).alias(c) if c in columns else F.col(f"`{c}`")
+        F.round(F.col(f"`{c}`") + F.lit(_shift(columns[c])), columns[c]).alias(c) if c in columns else F.col(f"`{c}`")
         for c in df.columns
     ])
 
 
 def _rounded_sql(sql: str, columns: dict[str, int]) -> str:
-    parts = ", ".join(
-        f'CASE WHEN round("{c}", {d}) = 0 THEN 0.0 ELSE round("{c}", {d}) END AS "{c}"'
-        for c, d in columns.items()
-    )
+    def form(c: str, d: int) -> str:
+        value = f'round("{c}" + CAST({_shift(d):.12f} AS DOUBLE), {d})'
+        return f'CASE WHEN {value} = 0 THEN CAST(0 AS DOUBLE) ELSE {value} END AS "{c}"'
+
+    parts = ", ".join(form(c, d) for c, d in columns.items())
     return f"SELECT * REPLACE ({parts}) FROM ({sql})"
 
 
