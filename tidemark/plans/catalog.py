@@ -1,6 +1,7 @@
 """All registered queries."""
 
 from . import (  # noqa: F401
-    funnel_queries, metric_queries, series_queries, statistics_queries, text_queries,
+    cluster_queries, funnel_queries, metric_queries, series_queries, statistics_queries,
+    text_queries,
 )
 from .registry import QUERIES, SQL  # noqa: F401
