@@ -1,21 +1,234 @@
-"""Covariance based projections: one distributed pass, small matrices on the driver."""
+"""Covariance based projections.
+
+Each fit makes one or two distributed passes over the rows; only p x p numbers
+come to the driver. Projections are matrix products on Arrow batches.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Correlation, Summarizer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.columns import finite
+from ..functions.vectors import doubles
+
+# Columns up to which covariances are written as one aggregate each.
+MAX_PAIR_COLUMNS = 24
+
+
+def as_vector_column(df: DataFrame, columns: Sequence[str], name: str = "features") -> DataFrame:
+    """Pack numeric columns into one array column."""
+    return df.withColumn(name, F.array(*[finite(c) for c in columns]))
 
 
 def covariance_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Sample covariance of every pair of columns: row_name, column_name, covariance."""
+    if len(columns) > MAX_PAIR_COLUMNS:
+        _, _, cov = vector_moments(as_vector_column(df, columns, "__v"), "__v")
+        rows = [(a, b, float(cov[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
+        return df.sparkSession.createDataFrame(rows, "row_name string, column_name string, covariance double")
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     entries = []
     for a, b in pairs:
-        value = F.covar_samp(a, b)
+        value = F.covar_samp(finite(a), finite(b))
         entries += [
             F.struct(F.lit(x).alias("row_name"), F.lit(y).alias("column_name"), value.alias("covariance"))
-            for x, y in {(a, b), (b, a)}
+            for x, y in sorted({(a, b), (b, a)})
         ]
     return df.agg(F.array(*entries).alias("__e")).select(F.inline("__e"))
+
+
+def vector_moments(df: DataFrame, vector: str) -> tuple[int, np.ndarray, np.ndarray]:
+    """Row count, mean and sample covariance of an array column, by two tree aggregations."""
+    rows = df.select(array_to_vector(doubles(vector)).alias("v"))
+    summary = rows.agg(Summarizer.metrics("count", "mean", "std").summary(F.col("v")).alias("s")).first()["s"]
+    mean, sd = summary["mean"].toArray(), summary["std"].toArray()
+    corr = Correlation.corr(rows, "v").first()[0].toArray()
+    corr = np.where(np.isnan(corr), 0.0, corr)  # constant columns
+    np.fill_diagonal(corr, 1.0)
+    return int(summary["count"]), mean, corr * np.outer(sd, sd)
+
+
+def eig_sorted(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Eigenvalues from large to small and their vectors as columns. The sign makes the largest
+    loading of a vector positive."""
+    values, vectors = np.linalg.eigh(np.asarray(matrix, dtype=float))
+    values, vectors = values[::-1], vectors[:, ::-1]
+    top = np.abs(vectors).argmax(axis=0)
+    signs = np.sign(vectors[top, np.arange(vectors.shape[1])])
+    return values, vectors * np.where(signs == 0, 1.0, signs)
+
+
+def project(vector: Column | str, matrix: np.ndarray, centre: np.ndarray | None = None) -> Column:
+    """Array of products of a row's vector, less `centre`, with the columns of `matrix` (p x k)."""
+    table = np.asarray(matrix, dtype=float)
+    shift = np.zeros(table.shape[0]) if centre is None else np.asarray(centre, dtype=float)
+
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def products(v: pa.Array) -> pa.Array:
+        if len(v) == 0:
+            return pa.array([], type=pa.list_(pa.float64()))
+        rows = v.flatten().to_numpy(zero_copy_only=False).reshape(len(v), -1)
+        out = (rows - shift) @ table
+        ends = np.arange(0, out.size + 1, max(1, out.shape[1]), dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(out.ravel()))
+
+    return products(doubles(vector))
+
+
+def with_scores(df: DataFrame, vector: str, matrix: np.ndarray, centre: np.ndarray | None = None) -> DataFrame:
+    """Add columns score_1 ... score_k."""
+    k = np.asarray(matrix).shape[1]
+    projected = df.withColumn("__p", project(vector, matrix, centre))
+    return projected.select(*df.columns, *[F.col("__p")[i].alias(f"score_{i + 1}") for i in range(k)])
+
+
+@dataclass
+class Components:
+    """Kept components as rows, with their singular values, variances and cumulative shares."""
+
+    components: np.ndarray
+    singular_values: np.ndarray
+    variances: np.ndarray
+    singular_share: np.ndarray
+    variance_share: np.ndarray
+    mean: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.singular_values)
+
+    def keep(self, mask: np.ndarray) -> "Components":
+        return Components(
+            self.components[mask], self.singular_values[mask], self.variances[mask],
+            self.singular_share[mask], self.variance_share[mask], self.mean)
+
+
+def pca_fit(df: DataFrame, vector: str, kaiser: bool = False, sval_threshold: float = 1.0,
+            var_threshold: float = 1.0, digits: int = 4, n_components: int | None = None) -> Components:
+    """Principal components, filtered in this order: cumulative singular value share, variance at
+    least 1 (`kaiser`), cumulative variance share; values are rounded before they are compared."""
+    n, mean, cov = vector_moments(df, vector)
+    variances, vectors = eig_sorted(cov)
+    variances = np.clip(variances, 0.0, None)
+    kept = min(n_components or len(variances), n, len(variances))
+    variances, vectors = variances[:kept], vectors[:, :kept]
+    singular = np.sqrt(variances * (n - 1))
+    found = Components(
+        vectors.T, singular, variances, singular.cumsum() / singular.sum(), variances.cumsum() / variances.sum(), mean)
+    found = found.keep(np.round(found.singular_share, digits) <= round(sval_threshold, digits))
+    if kaiser:
+        found = found.keep(np.round(found.variances, digits) >= 1.0)
+    return found.keep(np.round(found.variance_share, digits) <= round(var_threshold, digits))
+
+
+def pca_transform(df: DataFrame, vector: str, fitted: Components) -> DataFrame:
+    """Scores of the rows as they are, without centring."""
+    return with_scores(df, vector, fitted.components.T)
+
+
+def standardized(df: DataFrame, columns: Sequence[str] | None = None, vector: str | None = None,
+                 train: DataFrame | None = None, name: str = "features") -> DataFrame:
+    """Array column of (x - mean) / population deviation, fitted on `train`."""
+    source = df if vector else as_vector_column(df, columns, name)
+    fit_on = source if train is None else (train if vector else as_vector_column(train, columns, name))
+    column = vector or name
+    summary = fit_on.select(array_to_vector(doubles(column)).alias("v")).agg(
+        Summarizer.metrics("count", "mean", "variance").summary(F.col("v")).alias("s")).first()["s"]
+    n = summary["count"]
+    width = np.sqrt(summary["variance"].toArray() * (n - 1) / n)
+    width = np.where(width == 0, 1.0, width)
+    mean = F.array(*[F.lit(float(x)) for x in summary["mean"].toArray()])
+    inverse = F.array(*[F.lit(float(1 / x)) for x in width])
+    centred = F.zip_with(doubles(column), mean, lambda x, m: x - m)
+    return source.withColumn(name, F.zip_with(centred, inverse, lambda x, w: x * w))
+
+
+@dataclass
+class Reduction:
+    """A linear map to few scores: `matrix` (p x k), the subtracted centre and, where they
+    exist, the variances of all directions."""
+
+    matrix: np.ndarray
+    centre: np.ndarray
+    variances: np.ndarray
+
+    def scores(self, df: DataFrame, vector: str) -> DataFrame:
+        return with_scores(df, vector, self.matrix, self.centre)
+
+    def loadings(self, spark, names: Sequence[str]) -> DataFrame:
+        """(feature, component, loading)"""
+        rows = [(n, j + 1, float(self.matrix[i, j]))
+                for i, n in enumerate(names) for j in range(self.matrix.shape[1])]
+        return spark.createDataFrame(rows, "feature string, component int, loading double")
+
+
+def pca_to_share(df: DataFrame, vector: str, share: float) -> Reduction:
+    """The fewest components whose variance reaches the given share of the total."""
+    _, mean, cov = vector_moments(df, vector)
+    values, vectors = eig_sorted(cov)
+    reached = values.cumsum() / values.sum()
+    k = int(np.argmax(reached >= share - 1e-12)) + 1
+    return Reduction(vectors[:, :k], mean, values)
+
+
+def factor_count(values: np.ndarray) -> int:
+    """Eigenvalues whose log magnitude is positive."""
+    size = np.abs(values)
+    return int((size > 1.0).sum())
+
+
+def factor_fit(df: DataFrame, vector: str, n_factors: int | None = None, tolerance: float = 1e-2,
+               max_iter: int = 1_000) -> Reduction:
+    """Maximum-likelihood factor analysis on the covariance matrix; the map gives the expected
+    factors of a row."""
+    n, mean, cov = vector_moments(df, vector)
+    k = factor_count(eig_sorted(cov)[0]) if n_factors is None else n_factors
+    k = max(1, k)
+    spread = cov * (n - 1) / n
+    total = np.diag(spread).copy()
+    tiny = 1e-12
+    noise, last = np.ones_like(total), -np.inf
+    for _ in range(max_iter):
+        # given the noise, the best loadings are the leading directions of the whitened covariance
+        root = np.sqrt(noise) + tiny
+        values, vectors = eig_sorted(spread / np.outer(root, root))
+        lead = np.clip(values[:k], 1.0, None)
+        loadings = vectors[:, :k] * np.sqrt(lead - 1.0) * root[:, None]
+        rest = values[k:].sum()
+        likelihood = -0.5 * n * (
+            np.log(np.clip(values[:k], tiny, None)).sum() + k + rest + np.log(2 * np.pi) * len(total)
+            + 2 * np.log(root).sum())
+        if likelihood - last < tolerance:
+            break
+        last = likelihood
+        noise = np.clip(total - (loadings ** 2).sum(axis=1), tiny, None)
+    weighted = loadings / noise[:, None]
+    posterior = np.linalg.inv(np.eye(k) + loadings.T @ weighted)
+    return Reduction(weighted @ posterior, mean, (loadings ** 2).sum(axis=0))
+
+
+def lda_fit(df: DataFrame, vector: str, label: str) -> Reduction:
+    """Directions with the largest between-class variance for unit within-class variance, at most
+    classes - 1. The within-class scatter is the total less the between-class scatter."""
+    n, mean, cov = vector_moments(df, vector)
+    summary = Summarizer.metrics("mean", "count").summary(array_to_vector(doubles(vector)))
+    classes = df.groupBy(label).agg(summary.alias("s")).select(
+        F.col("s.count").alias("n"), vector_to_array("s.mean").alias("m")).collect()
+    sizes = np.array([r["n"] for r in classes], dtype=float)
+    offsets = np.array([r["m"] for r in classes]) - mean
+    between = (offsets * sizes[:, None]).T @ offsets
+    within = (cov * (n - 1) - between) / (n - len(classes))
+    values, vectors = eig_sorted(within)
+    kept = values > values.max() * 1e-10
+    white = vectors[:, kept] / np.sqrt(values[kept])
+    strength, turn = eig_sorted(white.T @ (between / max(1, len(classes) - 1)) @ white)
+    k = min(len(classes) - 1, int((strength > strength.max() * 1e-10).sum()))
+    return Reduction(white @ turn[:, :k], mean, strength[:k])
