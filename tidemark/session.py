@@ -14,13 +14,18 @@ SINGLE_TASK_ROWS = 2_000_000
 
 
 def local_session(cores: str = "8", partitions: int = 8, memory: str = "12g") -> SparkSession:
-    """A local session for tests and the benchmark."""
+    """A local session for tests and the benchmark.
+
+    The test files hold one row group each, so a scan is one task. With the low
+    broadcast limit the fact join shuffles and spreads the rows over all cores.
+    """
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tidemark")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.autoBroadcastJoinThreshold", "1m")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
