@@ -39,6 +39,22 @@ def test_quantiles_of_a_mass_of_equal_values(small_tasks):
     assert quantiles(df, "v", [0.01, 0.3, 0.77]).first()["q"] == pytest.approx(list(np.quantile(v, [0.01, 0.3, 0.77])))
 
 
+def test_quantiles_inside_narrow_brackets(spark):
+    """One group beyond the size where brackets narrow, one below, a third of all values equal."""
+    df = spark.range(300_000).select(
+        F.when(F.col("id") % 100 == 0, "tiny").otherwise("hot").alias("k"),
+        F.when(F.col("id") % 3 == 0, 0.5).otherwise(F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 1_000_003.0).alias("v"))
+    probabilities = [0.05, 0.5, 0.95]
+    plain = {r["k"]: r for r in quantiles(df, "v", probabilities, ["k"]).collect()}
+    spark.conf.set("spark.tidemark.singleTaskRows", "7")
+    split = {r["k"]: r for r in quantiles(df, "v", probabilities, ["k"]).collect()}
+    spark.conf.unset("spark.tidemark.singleTaskRows")
+    for k, row in plain.items():
+        v = [r[0] for r in df.where(F.col("k") == k).select("v").collect()]
+        assert row["q"] == pytest.approx(list(np.quantile(v, probabilities)))
+        assert split[k]["q"] == pytest.approx(row["q"])
+
+
 def test_running_sums(series):
     out = ranking.running_sums(series, ["k"], [F.col("i")], {"total": F.coalesce("v", F.lit(0.0))})
     got = {r["i"]: r["total"] for r in out.collect()}
@@ -134,7 +150,7 @@ def test_roc(small_tasks):
     expected = [(0.0, 0.0)] + [
         (sum(1 - r["y"] for r in rows if r["p"] >= t) / neg, sum(r["y"] for r in rows if r["p"] >= t) / pos)
         for t in levels]
-    assert curve == pytest.approx(sorted(expected))
+    assert np.array(curve) == pytest.approx(np.array(sorted(expected)))
 
 
 def test_describe_is_the_same(spark, series):
@@ -147,7 +163,7 @@ def test_describe_is_the_same(spark, series):
 
 
 def test_exact_split(spark):
-    df = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, "a").otherwise(F.col("id") % 7).alias("s"))
+    df = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 7).alias("s"))
     out = splitting.train_test_split(df, ["id"], ["s"], 0.7, seed=3)
     assert out.count() == 1000 and out.select("id").distinct().count() == 1000
     sizes = out.groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("split") == "train").cast("int")).alias("t"))

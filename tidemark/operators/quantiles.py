@@ -48,7 +48,11 @@ def _any(conditions: list[Column]) -> Column:
 def _bracketed(rows: DataFrame, probabilities: list[float], by: list[str]) -> DataFrame:
     margin = 4.0 / ACCURACY
     edges = [e for p in sorted(probabilities) for e in (max(0.0, p - margin), min(1.0, p + margin))]
-    sketch = rows.groupBy(*by).agg(F.percentile_approx("__v", edges, ACCURACY).alias("__e"))
+    # In a small group the margin is less than a rank, so there the bracket is the whole range.
+    ends = F.array(*[F.min("__v"), F.max("__v")] * len(probabilities))
+    narrow = F.count(F.lit(1)) > 10 * ACCURACY
+    sketch = rows.groupBy(*by).agg(
+        F.when(narrow, F.percentile_approx("__v", edges, ACCURACY)).otherwise(ends).alias("__e"))
     # The same edges must be seen by every later pass, so they are fixed first.
     if by:
         rows = join_on(rows, stored(sketch), by)

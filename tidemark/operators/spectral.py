@@ -147,8 +147,17 @@ def _transform(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return _grid(rows.where(fits), keys).unionByName(_chirp(rows.where(~fits).drop("n1"), keys))
 
 
+def _inner_keys(keys: Sequence[str]) -> list[str]:
+    """Names for the key columns that cannot meet those of the transform."""
+    return [f"__key{i}" for i in range(len(keys))]
+
+
 def _rows(df: DataFrame, value: str, keys: Sequence[str], order: Sequence[str], nfft: int | None) -> DataFrame:
-    """(keys, t, x, n, s): positions from 0, series length, transform length."""
+    """(inner keys, t, x, n, s): positions from 0, series length, transform length."""
+    named = [F.col(k).alias(inner) for k, inner in zip(keys, _inner_keys(keys))]
+    ordering = [f"__order{i}" for i in range(len(order))]
+    df = df.select(*named, *[F.col(o).alias(n) for o, n in zip(order, ordering)], F.col(value).alias("__value"))
+    keys, order, value = _inner_keys(keys), ordering, "__value"
     numbered = positions(df, keys, [F.col(c) for c in order], "__p", fits_one_task(df, keys))
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     s = F.lit(nfft).cast("long") if nfft is not None else F.col("n")
@@ -157,6 +166,10 @@ def _rows(df: DataFrame, value: str, keys: Sequence[str], order: Sequence[str],
         s.alias("s"))
 
 
+def _outer(keys: Sequence[str], names: Sequence[str]) -> list[Column]:
+    return [F.col(inner).alias(name) for inner, name in zip(keys, names)]
+
+
 def fft_spectrum(df: DataFrame, value: str, keys: Sequence[str], order: Sequence[str], fs: float = 1.0,
                  nfft: int | None = None, norm: str = "backward") -> DataFrame:
     """(keys, bin, frequency, magnitude, phase) of the non-negative frequencies.
@@ -167,11 +180,13 @@ def fft_spectrum(df: DataFrame, value: str, keys: Sequence[str], order: Sequence
     scales = {"backward": F.lit(2.0) / F.col("s"), "forward": F.lit(1.0) / F.col("s")}
     if norm not in scales:
         raise ValueError(f"unknown norm: {norm}")
+    names, keys = keys, _inner_keys(keys)
+    rows = _rows(df, value, names, order, nfft)
     kept = F.when(F.col("s") % 2 == 0, F.floor(F.col("s") / 2)).otherwise(F.floor(F.col("s") / 2) + 1)
-    out = _transform(_rows(df, value, keys, order, nfft), keys).where(F.col("k") < kept)
+    out = _transform(rows, keys).where(F.col("k") < kept)
     size = F.sqrt(F.col("re") * F.col("re") + F.col("im") * F.col("im"))
     return out.select(
-        *keys, F.col("k").alias("bin"), (F.col("k") * F.lit(float(fs)) / F.col("s")).alias("frequency"),
+        *_outer(keys, names), F.col("k").alias("bin"), (F.col("k") * F.lit(float(fs)) / F.col("s")).alias("frequency"),
         (size * scales[norm]).alias("magnitude"), F.atan2("im", "re").alias("phase"))
 
 
@@ -190,7 +205,8 @@ def periodogram(df: DataFrame, value: str, keys: Sequence[str], order: Sequence[
     (`constant`) or line (`linear`), and power per frequency or per bin (`spectrum`)."""
     if scaling not in ("density", "spectrum"):
         raise ValueError(f"unknown scaling: {scaling}")
-    rows = _rows(df, value, keys, order, nfft)
+    names, keys = keys, _inner_keys(keys)
+    rows = _rows(df, value, names, order, nfft)
     rows = rows.withColumn("used", F.least("n", "s")).where(F.col("t") < F.col("used"))
     x, t = F.col("x"), F.col("t").cast("double")
     w = _taper(window)
@@ -216,4 +232,4 @@ def periodogram(df: DataFrame, value: str, keys: Sequence[str], order: Sequence[
         signed = k
     else:
         signed = F.when(k * 2 < s, k).otherwise(k - s)
-    return spectrum.select(*keys, k.alias("bin"), (signed * F.lit(float(fs)) / s).alias("frequency"), power.alias("power"))
+    return spectrum.select(*_outer(keys, names), k.alias("bin"), (signed * F.lit(float(fs)) / s).alias("frequency"), power.alias("power"))
