@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ..functions.columns import finite
 from .profile import unpivoted
 from .quantiles import quantile_row, quantiles
-from .ranking import last_seen, over_series, positions
+from .ranking import fits_one_task, last_seen, over_series, positions
 
 Span = tuple[float, float]
 
@@ -100,7 +100,7 @@ def outlier_counts(df: DataFrame, columns: Sequence[str], span: Span = (0.01, 0.
     """Number of outliers of each column."""
     cells = unpivoted(df, columns)
     low, high = _limits([F.col("q")[0], F.col("q")[1]], scale)
-    limits = quantiles(cells, "value", list(span), ["column"]).select(
+    limits = quantiles(cells, "value", list(span), ["column"], fits_one_task(df, [])).select(
         "column", low.alias("low"), high.alias("high"))
     odd = (F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))
     return cells.join(limits, "column").groupBy("column").agg(F.count(F.when(odd, 1)).alias("n_outliers"))

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import finite
 from .quantiles import quantiles
-from .ranking import join_on
+from .ranking import fits_one_task, join_on
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -78,13 +78,14 @@ def describe(df: DataFrame, missing_values: Sequence = (), columns: Sequence[str
     parts = []
     if numbers:
         cells = unpivoted(df, numbers)
+        fits = fits_one_task(df, [])  # no column holds more cells than the table rows
         v = F.col("value")
         stats = cells.groupBy("column").agg(
             F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
             F.min(v).alias("min"), F.max(v).alias("max"), F.skewness(v).alias("__skew"))
         top, modes = _with_modes(value_counts(cells))
-        quart = quantiles(cells, "value", [0.25, 0.5, 0.75], ["column"]).select("column", F.col("q").alias("__q"))
-        middle = quantiles(modes, "value", [0.5], ["column"]).select("column", F.col("q")[0].alias("mode"))
+        quart = quantiles(cells, "value", [0.25, 0.5, 0.75], ["column"], fits).select("column", F.col("q").alias("__q"))
+        middle = quantiles(modes, "value", [0.5], ["column"], fits).select("column", F.col("q")[0].alias("mode"))
         both = stats.join(top, "column", "left").join(quart, "column", "left").join(middle, "column", "left")
         parts.append(both.select(
             "column", "count", "mean", "std", "min", F.col("__q")[0].alias("q25"), F.col("__q")[1].alias("q50"),
@@ -115,7 +116,8 @@ def moments(df: DataFrame, columns: Sequence[str], ddof: int = 0) -> DataFrame:
         F.skewness(v).alias("__g1"), F.kurtosis(v).alias("__g2"))
     top, modes = _with_modes(value_counts(cells))
     smallest = modes.groupBy("column").agg(F.min("value").alias("mode"))
-    middle = quantiles(cells, "value", [0.5], ["column"]).select("column", F.col("q")[0].alias("median"))
+    middle = quantiles(cells, "value", [0.5], ["column"], fits_one_task(df, [])).select(
+        "column", F.col("q")[0].alias("median"))
     sdev = F.sqrt(F.try_divide(F.col("__var") * n, n - ddof))
     skew = F.col("__g1") * F.try_divide(F.sqrt(n * (n - 1)), n - 2)
     kurt = F.try_divide(n - 1, (n - 2) * (n - 3)) * ((n + 1) * F.col("__g2") + 6)
@@ -128,7 +130,7 @@ def moments(df: DataFrame, columns: Sequence[str], ddof: int = 0) -> DataFrame:
 
 def iqr(df: DataFrame, columns: Sequence[str], span: tuple[float, float] = (0.25, 0.75)) -> DataFrame:
     """Distance between two quantiles of each column; `span` in fractions."""
-    q = quantiles(unpivoted(df, columns), "value", list(span), ["column"])
+    q = quantiles(unpivoted(df, columns), "value", list(span), ["column"], fits_one_task(df, []))
     return q.select("column", (F.col("q")[1] - F.col("q")[0]).alias("iqr"))
 
 

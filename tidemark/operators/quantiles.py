@@ -18,7 +18,7 @@ SLICES = 1_000
 
 
 def quantiles(df: DataFrame, value: Column | str, probabilities: Sequence[float],
-              by: Sequence[str] = ()) -> DataFrame:
+              by: Sequence[str] = (), fits: bool | None = None) -> DataFrame:
     """One row per group: `by`, row count `n` and array `q`, one entry per probability.
 
     The result is the linear interpolation between the two nearest ranks.
@@ -28,11 +28,14 @@ def quantiles(df: DataFrame, value: Column | str, probabilities: Sequence[float]
     Groups that fit one task are counted per distinct value and ranked by one
     window. Otherwise a mergeable sketch gives a narrow bracket around each
     rank, one pass counts the values below and inside the brackets, and the
-    exact ranks are read off inside a thin slice of a bracket.
+    exact ranks are read off inside a thin slice of a bracket. A caller that
+    knows a bound on the group sizes passes `fits` and saves the count.
     """
     rows = df.select(*by, finite(value).alias("__v")).where(F.col("__v").isNotNull())
     probabilities, by = list(probabilities), list(by)
-    if not fits_one_task(rows, by):
+    if fits is None:
+        fits = fits_one_task(rows, by)
+    if not fits:
         return _bracketed(rows, probabilities, by)
     counts = rows.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__c"))
     group = Window.partitionBy(*by)
