@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from ..functions.vectors import doubles
 from ..session import stored
+from .ranking import running_sums
 
 # Distances of one vector (or rows of a matrix) to the rows of another matrix.
 MAX_CENTRES = 10_000
@@ -256,6 +257,45 @@ def _distance_sums(df: DataFrame, vector: str, label: str, distance: str) -> Dat
     return parts.groupBy("left", "place", "label", "copies", "other").agg(F.sum("total").alias("total"))
 
 
+# Labels up to which the summed distances are kept as columns.
+MAX_LABEL_COLUMNS = 64
+
+
+def _manhattan_sums(df: DataFrame, vector: str, label: str, names: list[str]) -> DataFrame:
+    """(label, copies, sums): summed manhattan distance of every distinct point to each cluster,
+    without any pairs. Along one dimension the distances of x to all values of a cluster follow
+    from the count and the sum of the values up to x, so running sums over the sorted values of
+    each dimension are enough."""
+    # the stored rows keep their partitions, so the ids stay the same in every later pass
+    points = stored(
+        df.select(F.col(label).cast("string").alias("label"), doubles(vector).alias("v"))
+        .groupBy("label", "v").agg(F.count(F.lit(1)).alias("copies"))
+    ).withColumn("point", F.monotonically_increasing_id())
+    cells = points.select("point", "label", "copies", F.posexplode("v").alias("dimension", "x"))
+    x = F.col("x")
+    mine = [F.when(F.col("label") == n, F.col("copies")).otherwise(0) for n in names]
+    levels = cells.groupBy("dimension", "x").agg(*[F.sum(m).alias(f"n{i}") for i, m in enumerate(mine)])
+    sums = {f"b{i}": F.col(f"n{i}") for i in range(len(names))}
+    sums |= {f"s{i}": F.col(f"n{i}") * x for i in range(len(names))}
+    running = running_sums(levels, ["dimension"], [x], sums)
+    whole = cells.groupBy("dimension").agg(
+        *[F.sum(m).alias(f"all_n{i}") for i, m in enumerate(mine)],
+        *[F.sum(m * x).alias(f"all_s{i}") for i, m in enumerate(mine)])
+    both = running.join(whole, "dimension")
+
+    def total(i: int) -> Column:
+        below, above = F.col(f"b{i}"), F.col(f"all_n{i}") - F.col(f"b{i}")
+        return x * below - F.col(f"s{i}") + (F.col(f"all_s{i}") - F.col(f"s{i}")) - x * above
+
+    along = both.select("dimension", "x", *[total(i).alias(f"d{i}") for i in range(len(names))])
+    per_point = cells.join(along, ["dimension", "x"]).groupBy("point", "label", "copies").agg(
+        *[F.sum(f"d{i}").alias(f"d{i}") for i in range(len(names))])
+    # the rounding residue of a zero distance counts as zero
+    return per_point.select("label", "copies", F.array(*[
+        F.when(F.abs(F.col(f"d{i}")) < 1e-9, 0.0).otherwise(F.col(f"d{i}")) for i in range(len(names))
+    ]).alias("sums")).withColumn("names", F.array(*[F.lit(n) for n in names]))
+
+
 def _cosine_sums(df: DataFrame, vector: str, label: str) -> DataFrame:
     """As _distance_sums for 1 - cosine similarity, without any pairs: a cluster's summed
     dissimilarity to x is its size less x times the sum of its unit vectors."""
@@ -281,22 +321,24 @@ def silhouette(df: DataFrame, vector: str, label: str, distance: str = "euclidea
     """Mean of (b - a) / max(a, b): `score` of one row.
 
     Rows alone in their cluster are left out; a single cluster scores 0. Cosine
-    takes one pass over the rows. The other distances have no short form: they
-    compare blocks with blocks, whose cost grows with the square of the number
-    of distinct rows.
+    takes one pass over the rows, manhattan sorts every dimension. Euclidean
+    has no short form: it compares blocks with blocks, at a cost that grows
+    with the square of the number of distinct rows.
     """
     _check_distance(distance)
     sizes = df.groupBy(F.col(label).cast("string").alias("other")).agg(F.count(F.lit(1)).alias("size"))
-    if distance in COSINE_NAMES:
-        n = {r["other"]: r["size"] for r in sizes.limit(MAX_CENTRES).collect()}
+    few = sizes.limit(MAX_LABEL_COLUMNS + 1).collect() if distance == "manhattan" else []
+    if distance in COSINE_NAMES or 0 < len(few) <= MAX_LABEL_COLUMNS:
+        n = {r["other"]: r["size"] for r in (few or sizes.limit(MAX_CENTRES).collect())}
         size = F.create_map(*[F.lit(x) for pair in n.items() for x in pair]) if n else F.create_map()
-        rows = _cosine_sums(df, vector, label)
+        rows = _manhattan_sums(df, vector, label, sorted(n)) if few else (
+            _cosine_sums(df, vector, label).withColumn("copies", F.lit(1)))
         pairs = F.arrays_zip(F.col("names"), F.col("sums"))
         own = F.filter(pairs, lambda p: p["names"] == F.col("label"))[0]["sums"]
         others = F.transform(F.filter(pairs, lambda p: p["names"] != F.col("label")),
                              lambda p: p["sums"] / F.element_at(size, p["names"]))
         points = rows.select(
-            F.lit(1).alias("copies"), F.element_at(size, F.col("label")).alias("size"), own.alias("own"),
+            "copies", F.element_at(size, F.col("label")).alias("size"), own.alias("own"),
             F.array_min(others).alias("b"))
     else:
         sums = _distance_sums(df, vector, label, distance).join(sizes, "other")
