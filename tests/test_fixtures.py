@@ -194,6 +194,6 @@ def test_negative_values_stop_the_log_error(spark):
         scores.regression_scores(df, "y", "p", 0).collect()
 
 
-def test_impurity_method():
+def test_impurity_method(spark):
     with pytest.raises(ValueError):
-        profile._impurity_of(F.lit(1), "other") if F else None
+        profile.impurity(spark.range(3), "id", "other")

@@ -283,6 +283,7 @@ def generate_timeseries(df: DataFrame, interval: str = "D", segments: list[str]
     With segments there is one column per metric, segment and value. Values
     default to the distinct values of the segment columns.
     """
+    metrics = _metrics()
     if not segments:
         totals = _bin_totals(df, METRIC_NAMES, interval, None)
         wide = _series_values(totals, METRIC_NAMES, interval).drop("segment", "value")
@@ -292,14 +293,12 @@ def generate_timeseries(df: DataFrame, interval: str = "D", segments: list[str]
     columns = []
     for segment, value in pairs:
         mine = (F.col("segment") == segment) & (F.col("value") == str(value))
-        columns += [F.max(F.when(mine, F.col(m))).alias(f"{m}_{segment}_{value}") for m in METRIC_NAMES]
-        # a pair without any row still has rates: zero in every bin
-    wide = long.groupBy(BIN).agg(*columns)
-    for segment, value in pairs:
-        for m in ("inquiry_rate", "listing_rate"):
-            name = f"{m}_{segment}_{value}"
-            wide = wide.withColumn(name, F.coalesce(F.col(f"`{name}`"), F.lit(0.0)))
-    return with_calendar(wide)
+        for m in METRIC_NAMES:
+            found = F.max(F.when(mine, F.col(m)))
+            # the rates of a segment without any row are zero in every bin
+            found = F.coalesce(found, F.lit(0.0)) if metrics[m].distinct else found
+            columns.append(found.alias(f"{m}_{segment}_{value}"))
+    return with_calendar(long.groupBy(BIN).agg(*columns))
 
 
 MAX_WIDE_VALUES = 500
