@@ -85,6 +85,14 @@ def test_default_segment_values(spark):
     assert row["avg_engagement_room_type_Private room"] == 1.0
 
 
+def test_one_value_list_for_columns_of_different_types(spark):
+    m = master_of(spark, {"m_guests": 2.0, "m_interactions": 5.0}, {"m_guests": 3.0, "m_interactions": 7.0})
+    row = resample.generate_timeseries(m, "D", ["room_type", "m_guests"], ["Private room", 2.0]).first()
+    assert row["avg_engagement_m_guests_2.0"] == 5.0
+    assert row["avg_engagement_room_type_Private room"] == 6.0
+    assert row["avg_engagement_m_guests_Private room"] is None
+
+
 def test_instant_null(spark):
     m = master_of(spark, {"contact_channel_first": "instant_book", "ts_accepted_at_first": DAY},
                   {"contact_channel_first": None, "ts_accepted_at_first": DAY}, {"contact_channel_first": "book_it"})

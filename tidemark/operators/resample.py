@@ -262,6 +262,11 @@ def metric_series(df: DataFrame, metric: str, interval: str = "D", variable: str
     return long.where(F.col(metric).isNotNull()).select(BIN, F.col(metric).alias(name))
 
 
+def _of_type(df: DataFrame, column: str, value) -> Column:
+    """A literal in the column's type; NULL, which equals nothing, where it does not convert."""
+    return F.lit(value).try_cast(df.schema[column].dataType)
+
+
 def segment_series(df: DataFrame, segments: list[str], values: list | None = None,
                    interval: str = "D") -> DataFrame:
     """All metrics in long form: a row per bin, segment and value, and one per bin overall
@@ -270,7 +275,7 @@ def segment_series(df: DataFrame, segments: list[str], values: list | None = Non
     parts = []
     for segment in segments:
         column = F.col(segment)
-        keep = column.isNotNull() if values is None else column.isin(list(values))
+        keep = column.isNotNull() if values is None else column.isin([_of_type(df, segment, v) for v in values])
         parts.append(F.when(keep, _series_struct(F.lit(segment), column)))
     series = F.array_compact(F.array(_overall_struct(), *parts))
     return _series_values(_bin_totals(df, METRIC_NAMES, interval, series), METRIC_NAMES, interval)
@@ -292,7 +297,7 @@ def generate_timeseries(df: DataFrame, interval: str = "D", segments: list[str]
     long = segment_series(df, segments, values, interval)
     columns = []
     for segment, value in pairs:
-        mine = (F.col("segment") == segment) & (F.col("value") == str(value))
+        mine = (F.col("segment") == segment) & (F.col("value") == _of_type(df, segment, value).cast("string"))
         for m in METRIC_NAMES:
             found = F.max(F.when(mine, F.col(m)))
             # the rates of a segment without any row are zero in every bin
