@@ -184,6 +184,17 @@ def test_spectrum_keeps_the_energy(spark):
     assert max(r["power"] for r in flat) < 1e-18
 
 
+def test_series_without_key(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=12)
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(x)], "i int, v double")
+    power = spectral.periodogram(df, "v", [], ["i"], window="boxcar").collect()
+    assert sum(r["power"] for r in power) == pytest.approx((x ** 2).sum())
+    plan = scaling.minmax_by_group(df, [], "v", "s")
+    assert max(r["s"] for r in plan.collect()) == 1.0
+    assert "NestedLoop" not in plan._jdf.queryExecution().toString()
+
+
 def test_models(vectors):
     rows = vectors.withColumn("y", (F.col("label") < 5).cast("int"))
     model = models.linear_classifier(rows, "embedding", "y")

@@ -34,7 +34,10 @@ def fits_one_task(df: DataFrame, by: Keys) -> bool:
 
 
 def join_on(left: DataFrame, right: DataFrame, keys: Keys, how: str = "inner") -> DataFrame:
-    """Join on equally named columns where NULL equals NULL; keeps the left keys."""
+    """Join on equally named columns where NULL equals NULL; keeps the left keys. Without keys
+    the right side is a total of one row, added as scalar subqueries."""
+    if not keys:
+        return left.select("*", *[right.select(c).scalar().alias(c) for c in right.columns])
     renamed = right.select(*[
         F.col(c).alias(f"__r_{c}") if c in keys else F.col(c) for c in right.columns
     ])
