@@ -2,12 +2,28 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from tidemark.llm import simhash
 from tidemark.llm.common import table
 from tidemark.llm.quality_rules import quality_rules
 
 QUERIES, SQL = {}, {}
 
 
+def op6_simhash(spark, folder):
+    """Fingerprint and near-duplicate component of every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    groups = simhash.simhash_groups(docs, size=4, distance=4)
+    return groups.select(
+        F.col("id").alias("doc_id"), simhash.fingerprint_text(F.col("fp")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
+QUERIES["op6_simhash"] = op6_simhash
+
+
 def op9_quality_rules(spark, folder):
     """Measurements and verdicts of the current policy for every document."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -21,8 +37,8 @@ QUERIES["op9_quality_rules"] = op9_quality_rules
 SQL["op9_quality_rules"] = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text,
-    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w,
-    list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM documents
 ), win AS (
   SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS g
@@ -39,7 +55,7 @@ WITH d AS (
     CAST(len(lines) AS BIGINT) AS n_lines, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words,
     CAST(len(regexp_replace(text, '[^\p{L}]', '', 'g')) AS BIGINT) AS n_letters,
     CAST(len(regexp_replace(text, '[^\p{Lu}]', '', 'g')) AS BIGINT) AS n_capitals,
-    CAST(len(list_filter(w, x -> suffix(x, '!!'))) AS BIGINT) AS n_bang_words
+    CAST(len(list_filter(w, lambda x: suffix(x, '!!'))) AS BIGINT) AS n_bang_words
   FROM d LEFT JOIN covered c ON d.doc_id = c.doc_id
 ), f AS (
   SELECT *, CAST(
