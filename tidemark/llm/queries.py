@@ -4,13 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import simhash
+from tidemark.llm import bpe, simhash
 from tidemark.llm.common import table
 from tidemark.llm.quality_rules import quality_rules
 
 QUERIES, SQL = {}, {}
 
 
+def op2_bpe(spark, folder):
+    """Token count and digests of the ids and of the decoded text of every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return bpe.encode_decode(docs, digests=True)
+
+
+QUERIES["op2_bpe"] = op2_bpe
+
+
 def op6_simhash(spark, folder):
     """Fingerprint and near-duplicate component of every document."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
