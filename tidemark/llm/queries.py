@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, simhash
+from tidemark.llm import bpe, packing, simhash
 from tidemark.llm.common import table
 from tidemark.llm.quality_rules import quality_rules
 
@@ -33,6 +33,15 @@ def op6_simhash(spark, folder):
 QUERIES["op6_simhash"] = op6_simhash
 
 
+def op7_packing(spark, folder):
+    """Every document's pieces placed in sequences of at most 2048 tokens."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return packing.pack(docs, capacity=2048)
+
+
+QUERIES["op7_packing"] = op7_packing
+
+
 def op9_quality_rules(spark, folder):
     """Measurements and verdicts of the current policy for every document."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
