@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, packing, simhash
+from tidemark.llm import bpe, langid, packing, simhash
 from tidemark.llm.common import table
 from tidemark.llm.quality_rules import quality_rules
 
@@ -42,6 +42,15 @@ def op7_packing(spark, folder):
 QUERIES["op7_packing"] = op7_packing
 
 
+def op8_language_id(spark, folder):
+    """Language of every document, learned from the documents not held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return langid.identify(docs)
+
+
+QUERIES["op8_language_id"] = op8_language_id
+
+
 def op9_quality_rules(spark, folder):
     """Measurements and verdicts of the current policy for every document."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
