@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, langid, packing, simhash
+from tidemark.llm import bpe, langid, packing, simhash, warc
 from tidemark.llm.common import table
 from tidemark.llm.quality_rules import quality_rules
+from tidemark.session import scratch_path
 
 QUERIES, SQL = {}, {}
 
@@ -20,6 +21,14 @@ def op2_bpe(spark, folder):
 QUERIES["op2_bpe"] = op2_bpe
 
 
+def op5_warc(spark, folder):
+    """One WARC record per page, as read back from the archives."""
+    return warc.round_trip(table(spark, folder, "pages"), scratch_path(spark, "warc"), min_bytes=0)
+
+
+QUERIES["op5_warc"] = op5_warc
+
+
 def op6_simhash(spark, folder):
     """Fingerprint and near-duplicate component of every document."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
