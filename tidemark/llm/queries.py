@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, langid, packing, simhash, warc
+from tidemark.llm import bpe, langid, packing, simhash, url_filter, warc
 from tidemark.llm.common import table
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.session import scratch_path
@@ -12,6 +12,20 @@ from tidemark.session import scratch_path
 QUERIES, SQL = {}, {}
 
 
+# host/path rules and their verdicts.
+URL_RULES = {
+    "com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block",
+}
+
+
+def op1_url_filter(spark, folder):
+    """Verdict on every page's URL."""
+    return url_filter.url_verdicts(table(spark, folder, "pages"), URL_RULES)
+
+
+QUERIES["op1_url_filter"] = op1_url_filter
+
+
 def op2_bpe(spark, folder):
     """Token count and digests of the ids and of the decoded text of every document."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
