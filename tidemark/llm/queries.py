@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, langid, packing, simhash, url_filter, warc
+from tidemark.llm import bpe, langid, packing, quality_classifier, simhash, url_filter, warc
 from tidemark.llm.common import table
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.session import scratch_path
@@ -35,6 +35,16 @@ def op2_bpe(spark, folder):
 QUERIES["op2_bpe"] = op2_bpe
 
 
+def op3_quality_classifier(spark, folder):
+    """Posterior quality of every document; its source is the host, the language section the path."""
+    docs = table(spark, folder, "documents")
+    labels = table(spark, folder, "labels")
+    return quality_classifier.classify(docs, labels, F.col("source"), F.col("lang"))
+
+
+QUERIES["op3_quality_classifier"] = op3_quality_classifier
+
+
 def op5_warc(spark, folder):
     """One WARC record per page, as read back from the archives."""
     return warc.round_trip(table(spark, folder, "pages"), scratch_path(spark, "warc"), min_bytes=0)
