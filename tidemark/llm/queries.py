@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, langid, packing, quality_classifier, simhash, url_filter, warc
+from tidemark.llm import bitsliced, bpe, langid, packing, quality_classifier, simhash, url_filter, warc
 from tidemark.llm.common import table
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.session import scratch_path
@@ -133,3 +133,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   failed & 3 <> 0 AS base_failed, failed = 0 AS kept, failed
 FROM f
 """
+
+
+def op10_exact_top_k(spark, folder):
+    """The five rows with the largest inner products for every fiftieth vector."""
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return bitsliced.top_k(vectors, F.col("id") % 50 == 0, k=5)
+
+
+QUERIES["op10_exact_top_k"] = op10_exact_top_k
+SQL["op10_exact_top_k"] = """
+WITH v AS (
+  SELECT vec_id, CAST(list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS DOUBLE[]) AS q FROM embeddings
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s
+)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
+"""
