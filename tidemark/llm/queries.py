@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import bitsliced, bpe, langid, packing, quality_classifier, simhash, url_filter, warc
+from tidemark.llm import bitsliced, bpe, langid, license_scan, packing, quality_classifier, simhash, url_filter, warc
 from tidemark.llm.common import table
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.session import scratch_path
@@ -45,6 +45,14 @@ def op3_quality_classifier(spark, folder):
 QUERIES["op3_quality_classifier"] = op3_quality_classifier
 
 
+def op4_license_scan(spark, folder):
+    """Every paragraph of the documents that states a licence."""
+    return license_scan.license_scan(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+QUERIES["op4_license_scan"] = op4_license_scan
+
+
 def op5_warc(spark, folder):
     """One WARC record per page, as read back from the archives."""
     return warc.round_trip(table(spark, folder, "pages"), scratch_path(spark, "warc"), min_bytes=0)
