@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import table
 from tidemark.llm.packing import pack
 from tidemark.llm.quality_classifier import classify
-from tidemark.llm.quality_rules import quality_rules
+from tidemark.llm.quality_rules import accepted
 from tidemark.llm.simhash import simhash_groups
 from tidemark.session import scratch_path, stored
 
@@ -27,14 +27,13 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 def keep_by_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; source and language are host and path."""
     judged = classify(docs, table(spark, sf_dir, "labels"), F.col("source"), F.col("lang"))
-    accepted = judged.groupBy(F.col("doc_id").alias("id")).agg(F.max("accepted").alias("accepted"))
-    return _without(docs, stored(accepted.where("NOT accepted").select("id")))
+    by_id = judged.groupBy(F.col("doc_id").alias("id")).agg(F.max("accepted").alias("accepted"))
+    return _without(docs, stored(by_id.where("NOT accepted").select("id")))
 
 
 def keep_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that every rule of the current policy accepts."""
-    whole = docs.select(F.struct("*").alias("__document"), "text")
-    return quality_rules(whole).where("kept").select("__document.*")
+    return accepted(docs)
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

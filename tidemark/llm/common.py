@@ -33,3 +33,8 @@ def without(text: Column, characters: str) -> Column:
 def char_count(text: Column, characters: str) -> Column:
     """How many code points of the text are among the characters."""
     return (F.length(text) - F.length(without(text, characters))).cast("long")
+
+
+def let(value: Column, body) -> Column:
+    """body(value), with the value computed once however often the body mentions it."""
+    return F.element_at(F.transform(F.array(value), body), 1)

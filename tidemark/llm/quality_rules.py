@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import BLANKS, char_count, words
+from tidemark.llm.common import char_count, let, words
 
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
@@ -64,40 +64,47 @@ POLICIES = {
 
 
 def _window_hashes(hashes: Column) -> Column:
-    """One hash for each run of eight words, in order."""
-    starts = F.sequence(F.lit(0), F.size(hashes) - WINDOW)
-    return F.transform(
-        starts, lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(WINDOW)]),
+    """One hash for each run of eight words, in order; none where there are fewer words."""
+    starts = F.when(F.size(hashes) >= WINDOW, F.sequence(F.lit(0), F.size(hashes) - WINDOW)).otherwise(
+        F.array().cast("array<int>")
     )
+    return F.transform(starts, lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(WINDOW)]))
 
 
-def _with_repeats(hashed: DataFrame) -> DataFrame:
-    """Add `n_repeat_words`, the words inside windows that occur twice or more, from `__windows`.
+def _covered(windows: Column) -> Column:
+    """Words inside windows that occur twice or more.
 
-    Only where a window occurs twice, the windows are sorted by (hash, start); the starts of those
-    that have an equal neighbour are sorted again, and each adds the words that its predecessor
-    doesn't cover. Each array is a column of its own, or every element would compute it again.
+    The windows are sorted by (hash, start); the starts of those that have an equal neighbour are
+    sorted again, and each adds the words that its predecessor doesn't cover.
     """
-    windows, order, starts = F.col("__windows"), F.col("__order"), F.col("__starts")
-    pairs = F.array_sort(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    sorted_ = hashed.withColumn("__order", F.when(F.size(F.array_distinct(windows)) < F.size(windows), pairs))
-    twice = F.filter(order, lambda x, k: (F.get(order, k - 1)["h"] == x["h"]) | (F.get(order, k + 1)["h"] == x["h"]))
-    found = sorted_.withColumn("__starts", F.array_sort(F.transform(twice, lambda x: x["i"])))
-    adds = F.transform(
-        starts,
-        lambda s, k: F.when(k == 0, F.lit(WINDOW)).otherwise(F.least(F.lit(WINDOW), s - F.get(starts, k - 1))),
-    )
-    covered = F.aggregate(adds, F.lit(0).cast("long"), lambda a, x: a + x)
-    return found.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long"))).drop(
-        "__windows", "__order", "__starts"
-    )
+    def twice(order: Column) -> Column:
+        return F.filter(order, lambda x, k: (F.get(order, k - 1)["h"] == x["h"]) | (F.get(order, k + 1)["h"] == x["h"]))
+
+    def total(starts: Column) -> Column:
+        adds = F.transform(
+            starts,
+            lambda s, k: F.when(k == 0, F.lit(WINDOW)).otherwise(F.least(F.lit(WINDOW), s - F.get(starts, k - 1))),
+        )
+        return F.aggregate(adds, F.lit(0).cast("long"), lambda a, x: a + x)
+
+    order = F.array_sort(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    return let(let(order, lambda o: F.array_sort(F.transform(twice(o), lambda x: x["i"]))), total)
+
+
+def repeated_words(hashes: Column) -> Column:
+    """How many words lie in an eight-word window that the text holds at least twice."""
+    def count(windows: Column) -> Column:
+        return F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.lit(0).cast("long")).otherwise(_covered(windows))
+
+    return let(let(hashes, _window_hashes), count)
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """Add the measurements; each text is split into words once.
 
-    The word array and the window hashes get columns of their own in subsequent projections,
-    so that no measurement computes them again.
+    The word array and its hashes get columns of their own in subsequent projections, so that no
+    measurement computes them again. A filter on the results would be pushed below these
+    projections and compute them once per mention: filter stored ledgers, or use `accepted`.
     """
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     lines = F.filter(F.split(body, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -118,10 +125,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         "n_bang_words": F.size(F.filter("__words", lambda w: F.substring(w, -2, 2) == "!!")).cast("long"),
         "__hashes": F.transform("__words", lambda w: F.xxhash64(w)),
     }).drop("__words", "__bare", "__lines")
-    hashed = counted.withColumn(
-        "__windows", F.when(F.size("__hashes") >= WINDOW, _window_hashes(F.col("__hashes")))
-    )
-    return _with_repeats(hashed.drop("__hashes"))
+    return counted.withColumn("n_repeat_words", repeated_words(F.col("__hashes"))).drop("__hashes")
 
 
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -163,3 +167,13 @@ def ablation(book: DataFrame, version: str = "v3") -> DataFrame:
 def quality_rules(docs: DataFrame, version: str = "v3") -> DataFrame:
     """Ledger and verdicts in one."""
     return apply_policy(ledger(docs), version)
+
+
+def accepted(docs: DataFrame, version: str = "v3") -> DataFrame:
+    """The documents that a policy keeps, with their own columns only.
+
+    Each row becomes a list of one row or none, which stays above the measurements in the plan.
+    """
+    book = quality_rules(docs.select(F.struct("*").alias("__document"), "text"), version)
+    one = F.array("__document")
+    return book.select(F.inline(F.when(F.col("kept"), one).otherwise(F.slice(one, 1, 0))))
