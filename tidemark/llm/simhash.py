@@ -67,6 +67,11 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     return hashed.mapInPandas(bit_majority, f"id {kind}, fp bigint")
 
 
+def signed(bits: int) -> int:
+    """The long that has these 64 bits."""
+    return bits - (1 << BITS) if bits >> (BITS - 1) else bits
+
+
 def segments(distance: int, count: int) -> list[tuple[int, int, int]]:
     """(shift, width, radius) per segment; the radii add up to distance - count + 1."""
     count = min(count, distance + 1)
@@ -86,11 +91,11 @@ def near_pairs(distinct: DataFrame, distance: int = 4, count: int = 3) -> DataFr
     a and b are their ids; every pair is found from one of its sides at least.
     """
     def part(shift: int, width: int) -> Column:
-        return F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << width) - 1))
+        return F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit(signed((1 << width) - 1)))
 
     def ball(number: int, value: Column, flips: list[int]) -> Column:
         return F.transform(
-            F.array(*[F.lit(f).cast("long") for f in flips]),
+            F.array(*[F.lit(signed(f)).cast("long") for f in flips]),
             lambda flip: F.struct(F.lit(number).alias("segment"), value.bitwiseXOR(flip).alias("value")),
         )
 
