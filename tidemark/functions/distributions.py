@@ -38,17 +38,38 @@ def _fraction(terms, limit: int = 100_000) -> float:
         step = c * d
         value *= step
         if abs(step - 1.0) < 1e-15:
-            break
-    return value
+            return value
+    raise ArithmeticError(f"no convergence in {limit} terms")
 
 
-def _lower_beta(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta function."""
-    if x <= 0 or x >= 1:
+def _stirling_rest(z: float) -> float:
+    """What Stirling's formula leaves of lgamma(z), for z of at least 10."""
+    return (1 / 12 - (1 / 360 - (1 / 1260 - 1 / (1680 * z * z)) / (z * z)) / (z * z)) / z
+
+
+def _log_gamma_rise(z: float, by: float) -> float:
+    """lgamma(z + by) - lgamma(z), without cancellation for large z."""
+    if z < 10:
+        return math.lgamma(z + by) - math.lgamma(z)
+    return (
+        (z + by - 0.5) * math.log1p(by / z) + by * (math.log(z) - 1) + _stirling_rest(z + by) - _stirling_rest(z)
+    )
+
+
+def _log_power(x: float, rest: float) -> float:
+    """log(x) from x or from 1 - x, whichever keeps more digits."""
+    return math.log(x) if x < 0.5 else math.log1p(-rest)
+
+
+def _lower_beta(a: float, b: float, x: float, rest: float) -> float:
+    """Regularised incomplete beta function at x; `rest` is 1 - x, exact where x is close to 1."""
+    if x <= 0 or rest <= 0:
         return 0.0 if x <= 0 else 1.0
     if x > (a + 1) / (a + b + 2):
-        return 1.0 - _lower_beta(b, a, 1 - x)
-    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x))
+        return 1.0 - _lower_beta(b, a, rest, x)
+    small, large = min(a, b), max(a, b)
+    log_front = _log_gamma_rise(large, small) - math.lgamma(small)
+    front = math.exp(log_front + a * _log_power(x, rest) + b * _log_power(rest, x))
 
     def terms(n):
         if n == 0:
@@ -66,7 +87,8 @@ def chi2_tail_value(statistic: float, dof: float) -> float:
 
 
 def f_tail_value(statistic: float, dof1: float, dof2: float) -> float:
-    return _lower_beta(dof2 / 2, dof1 / 2, dof2 / (dof2 + dof1 * statistic))
+    both = dof2 + dof1 * statistic
+    return _lower_beta(dof2 / 2, dof1 / 2, dof2 / both, dof1 * statistic / both)
 
 
 def _rowwise(function, *columns: pd.Series) -> pd.Series:

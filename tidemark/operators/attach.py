@@ -20,12 +20,12 @@ def attach(df: DataFrame, summary: DataFrame, keys: list[str], limit: int = BROA
     stored, as it is read twice.
     """
     small = summary.limit(limit + 1).count() <= limit
-    right = summary.withColumnsRenamed({k: f"__{k}" for k in keys})
-    on = [F.col(f"`{k}`").eqNullSafe(F.col(f"`__{k}`")) for k in keys]
+    right = summary.withColumnsRenamed({k: f"__key_{k}" for k in keys})
+    on = [F.col(f"`{k}`").eqNullSafe(F.col(f"`__key_{k}`")) for k in keys]
     if small:
         joined = df.join(F.broadcast(right), on, "left")
     else:
         df = df.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SALTS)).cast("int"))
         right = right.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         joined = df.join(right, [*on, F.col("__salt") == F.col("__copy")], "left").drop("__salt", "__copy")
-    return joined.drop(*[f"__{k}" for k in keys])
+    return joined.drop(*[f"__key_{k}" for k in keys])

@@ -131,18 +131,20 @@ def spread_start(df: DataFrame, vector: str, k: int, seed: int, distance: str) -
     distance to the centres so far. One pass per centre: the draw is a seeded race, in which
     the row with the smallest exponential waiting time wins."""
     race = "__race"
-    # the draw depends on the row's content, so that a rerun gives the same centres
-    draws = df.select(doubles(vector).alias(vector)).withColumn(race, F.xxhash64(vector))
+    # the draw depends on the row's content, so that a rerun gives the same centres; equal rows are
+    # one row that weighs as much as they do
+    merged = df.select(doubles(vector).alias(vector)).groupBy(vector).agg(F.count(F.lit(1)).alias("__n"))
+    draws = stored(merged.withColumn(race, F.xxhash64(vector)))
 
     def waiting(step: int, weight: Column) -> Column:
         u = (F.xxhash64(race, F.lit(seed), F.lit(step)).bitwiseAND(F.lit((1 << 53) - 1)) + 0.5) / F.lit(float(1 << 53))
         return F.when(weight > 0, -F.log(u) / weight)
 
-    centres = [_first_by(draws, vector, waiting(0, F.lit(1.0)))]
+    centres = [_first_by(draws, vector, waiting(0, F.col("__n")))]
     for step in range(1, k):
         near = nearest_centre(vector, centres, distance)["distance"]
         scored = draws.withColumn("__d", near).withColumn("__d", F.least("__d", F.lit(1e150)))
-        row = scored.agg(F.min_by(vector, waiting(step, F.col("__d") * F.col("__d")))).first()[0]
+        row = scored.agg(F.min_by(vector, waiting(step, F.col("__n") * F.col("__d") * F.col("__d")))).first()[0]
         if row is None:  # fewer distinct rows than centres
             break
         centres.append(list(row))
@@ -257,20 +259,23 @@ def _distance_sums(df: DataFrame, vector: str, label: str, distance: str) -> Dat
     return parts.groupBy("left", "place", "label", "copies", "other").agg(F.sum("total").alias("total"))
 
 
-# Labels up to which the summed distances are kept as columns.
-MAX_LABEL_COLUMNS = 64
+# Labels whose summed distances one pass keeps as columns.
+PASS_LABELS = 64
 
 
-def _manhattan_sums(df: DataFrame, vector: str, label: str, names: list[str]) -> DataFrame:
-    """(label, copies, sums): summed manhattan distance of every distinct point to each cluster,
-    without any pairs. Along one dimension the distances of x to all values of a cluster follow
-    from the count and the sum of the values up to x, so running sums over the sorted values of
-    each dimension are enough."""
+def _points(df: DataFrame, vector: str, label: str) -> DataFrame:
     # the stored rows keep their partitions, so the ids stay the same in every later pass
-    points = stored(
+    return stored(
         df.select(F.col(label).cast("string").alias("label"), doubles(vector).alias("v"))
         .groupBy("label", "v").agg(F.count(F.lit(1)).alias("copies"))
     ).withColumn("point", F.monotonically_increasing_id())
+
+
+def _manhattan_sums(points: DataFrame, names: list[str]) -> DataFrame:
+    """(point, label, copies, names, sums): summed manhattan distance of every distinct point to each cluster,
+    without any pairs. Along one dimension the distances of x to all values of a cluster follow
+    from the count and the sum of the values up to x, so running sums over the sorted values of
+    each dimension are enough."""
     cells = points.select("point", "label", "copies", F.posexplode("v").alias("dimension", "x"))
     x = F.col("x")
     mine = [F.when(F.col("label") == n, F.col("copies")).otherwise(0) for n in names]
@@ -280,27 +285,36 @@ def _manhattan_sums(df: DataFrame, vector: str, label: str, names: list[str]) ->
     running = running_sums(levels, ["dimension"], [x], sums)
     whole = cells.groupBy("dimension").agg(
         *[F.sum(m).alias(f"all_n{i}") for i, m in enumerate(mine)],
-        *[F.sum(m * x).alias(f"all_s{i}") for i, m in enumerate(mine)])
+        *[F.sum(m * x).alias(f"all_s{i}") for i, m in enumerate(mine)],
+        *[F.sum(m * F.abs(x)).alias(f"all_a{i}") for i, m in enumerate(mine)])
     both = running.join(whole, "dimension")
 
     def total(i: int) -> Column:
         below, above = F.col(f"b{i}"), F.col(f"all_n{i}") - F.col(f"b{i}")
         return x * below - F.col(f"s{i}") + (F.col(f"all_s{i}") - F.col(f"s{i}")) - x * above
 
-    along = both.select("dimension", "x", *[total(i).alias(f"d{i}") for i in range(len(names))])
+    def summands(i: int) -> Column:
+        return F.abs(x) * F.col(f"all_n{i}") + F.col(f"all_a{i}")
+
+    along = both.select(
+        "dimension", "x", *[total(i).alias(f"d{i}") for i in range(len(names))],
+        *[summands(i).alias(f"e{i}") for i in range(len(names))])
     per_point = cells.join(along, ["dimension", "x"]).groupBy("point", "label", "copies").agg(
-        *[F.sum(f"d{i}").alias(f"d{i}") for i in range(len(names))])
-    # the rounding residue of a zero distance counts as zero
-    return per_point.select("label", "copies", F.array(*[
-        F.when(F.abs(F.col(f"d{i}")) < 1e-9, 0.0).otherwise(F.col(f"d{i}")) for i in range(len(names))
+        *[F.sum(f"{c}{i}").alias(f"{c}{i}") for i in range(len(names)) for c in "de"])
+    # the rounding residue of a zero distance counts as zero, against the size of the summands
+    return per_point.select("point", "label", "copies", F.array(*[
+        F.when(F.abs(F.col(f"d{i}")) <= 1e-12 * F.col(f"e{i}"), 0.0).otherwise(F.col(f"d{i}")) for i in range(len(names))
     ]).alias("sums")).withColumn("names", F.array(*[F.lit(n) for n in names]))
 
 
+def _length(vector: str) -> Column:
+    return F.sqrt(F.aggregate(doubles(vector), F.lit(0.0), lambda a, x: a + x * x))
+
+
 def _cosine_sums(df: DataFrame, vector: str, label: str) -> DataFrame:
     """As _distance_sums for 1 - cosine similarity, without any pairs: a cluster's summed
     dissimilarity to x is its size less x times the sum of its unit vectors."""
-    v = doubles(vector)
-    length = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
+    v, length = doubles(vector), _length(vector)
     units = df.select(F.col(label).cast("string").alias("label"), F.transform(v, lambda x: x / length).alias("u"))
     names, means = centre_list(units, "u", "label")
     sizes = {r["label"]: r["n"] for r in update_centres(units, "u", "label").select("label", "n").collect()}
@@ -312,7 +326,7 @@ def _cosine_sums(df: DataFrame, vector: str, label: str) -> DataFrame:
         if len(u) == 0:
             return pa.array([], type=pa.list_(pa.float64()))
         d = counts - _matrix(u) @ totals.T
-        return pa.array(list(np.where(np.abs(d) < 1e-9, 0.0, d)), type=pa.list_(pa.float64()))
+        return pa.array(list(np.where(np.abs(d) < 1e-12 * (1 + counts), 0.0, d)), type=pa.list_(pa.float64()))
 
     return units.select("label", to_clusters("u").alias("sums")).withColumn("names", F.array(*[F.lit(n) for n in names]))
 
@@ -320,26 +334,39 @@ def _cosine_sums(df: DataFrame, vector: str, label: str) -> DataFrame:
 def silhouette(df: DataFrame, vector: str, label: str, distance: str = "euclidean") -> DataFrame:
     """Mean of (b - a) / max(a, b): `score` of one row.
 
-    Rows alone in their cluster are left out; a single cluster scores 0. Cosine
-    takes one pass over the rows, manhattan sorts every dimension. Euclidean
+    Rows alone in their cluster are left out, for cosine also zero vectors, which have no
+    direction; a single cluster scores 0. Cosine takes one pass over the rows, manhattan sorts
+    every dimension once for each PASS_LABELS clusters. Euclidean
     has no short form: it compares blocks with blocks, at a cost that grows
     with the square of the number of distinct rows.
     """
     _check_distance(distance)
+    if distance in COSINE_NAMES:
+        df = df.where(_length(vector) > 0)
     sizes = df.groupBy(F.col(label).cast("string").alias("other")).agg(F.count(F.lit(1)).alias("size"))
-    few = sizes.limit(MAX_LABEL_COLUMNS + 1).collect() if distance == "manhattan" else []
-    if distance in COSINE_NAMES or 0 < len(few) <= MAX_LABEL_COLUMNS:
-        n = {r["other"]: r["size"] for r in (few or sizes.limit(MAX_CENTRES).collect())}
+    if distance != "euclidean":
+        n = {r["other"]: r["size"] for r in sizes.collect()}
+        names = sorted(n)
         size = F.create_map(*[F.lit(x) for pair in n.items() for x in pair]) if n else F.create_map()
-        rows = _manhattan_sums(df, vector, label, sorted(n)) if few else (
-            _cosine_sums(df, vector, label).withColumn("copies", F.lit(1)))
-        pairs = F.arrays_zip(F.col("names"), F.col("sums"))
-        own = F.filter(pairs, lambda p: p["names"] == F.col("label"))[0]["sums"]
-        others = F.transform(F.filter(pairs, lambda p: p["names"] != F.col("label")),
-                             lambda p: p["sums"] / F.element_at(size, p["names"]))
-        points = rows.select(
-            "copies", F.element_at(size, F.col("label")).alias("size"), own.alias("own"),
-            F.array_min(others).alias("b"))
+        if distance in COSINE_NAMES:
+            passes = [_cosine_sums(df, vector, label).withColumns({"copies": F.lit(1), "point": F.monotonically_increasing_id()})]
+        else:
+            stored_points = _points(df, vector, label)
+            passes = [_manhattan_sums(stored_points, names[at:at + PASS_LABELS]) for at in range(0, len(names), PASS_LABELS)]
+        found = []
+        for rows in passes:
+            pairs = F.arrays_zip(F.col("names"), F.col("sums"))
+            own = F.get(F.filter(pairs, lambda p: p["names"] == F.col("label")), F.lit(0))["sums"]
+            others = F.transform(F.filter(pairs, lambda p: p["names"] != F.col("label")),
+                                 lambda p: p["sums"] / F.element_at(size, p["names"]))
+            found.append(rows.select(
+                "point", "copies", F.element_at(size, F.col("label")).alias("size"), own.alias("own"),
+                F.array_min(others).alias("b")))
+        points = found[0] if found else df.select(*[F.lit(None).cast("double").alias(c) for c in ("copies", "size", "own", "b")]).limit(0)
+        if len(found) > 1:
+            for more in found[1:]:
+                points = points.unionByName(more)
+            points = points.groupBy("point", "copies", "size").agg(F.max("own").alias("own"), F.min("b").alias("b"))
     else:
         sums = _distance_sums(df, vector, label, distance).join(sizes, "other")
         mine = F.col("label") == F.col("other")
@@ -366,9 +393,13 @@ def dunn(df: DataFrame, vector: str, label: str, distance: str = "euclidean") ->
             for row in batch.itertuples(index=False):
                 left, right, a, b, _ = _unpack(row)
                 widest, closest = None, None
-                for name, x in zip(left, a):
+                for place, (name, x) in enumerate(zip(left, a)):
                     d = _to_each(x, b, distance)
-                    same, other = d[right == name], d[right != name]
+                    mine = right == name
+                    other = d[~mine]
+                    if row.left == row.right:  # a row has no distance to itself
+                        mine[place] = False
+                    same = d[mine]
                     if len(same):
                         widest = max(widest or 0.0, float(same.max()))
                     if len(other):

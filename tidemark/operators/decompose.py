@@ -20,8 +20,8 @@ from pyspark.sql import types as T
 from ..functions.columns import finite
 from ..functions.vectors import doubles
 
-# Columns up to which covariances are written as one aggregate each.
-MAX_PAIR_COLUMNS = 24
+# Pairs of columns whose covariances one pass aggregates.
+PASS_PAIRS = 300
 
 
 def as_vector_column(df: DataFrame, columns: Sequence[str], name: str = "features") -> DataFrame:
@@ -30,20 +30,24 @@ def as_vector_column(df: DataFrame, columns: Sequence[str], name: str = "feature
 
 
 def covariance_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Sample covariance of every pair of columns: row_name, column_name, covariance."""
-    if len(columns) > MAX_PAIR_COLUMNS:
-        _, _, cov = vector_moments(as_vector_column(df, columns, "__v"), "__v")
-        rows = [(a, b, float(cov[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
-        return df.sparkSession.createDataFrame(rows, "row_name string, column_name string, covariance double")
+    """Sample covariance of every pair of columns: row_name, column_name, covariance.
+
+    A pair is taken over the rows that have both values, whatever the number of columns; each pass
+    over the rows aggregates up to PASS_PAIRS pairs.
+    """
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    entries = []
-    for a, b in pairs:
-        value = F.covar_samp(finite(a), finite(b))
-        entries += [
-            F.struct(F.lit(x).alias("row_name"), F.lit(y).alias("column_name"), value.alias("covariance"))
-            for x, y in sorted({(a, b), (b, a)})
-        ]
-    return df.agg(F.array(*entries).alias("__e")).select(F.inline("__e"))
+    out = None
+    for at in range(0, len(pairs), PASS_PAIRS):
+        entries = []
+        for a, b in pairs[at:at + PASS_PAIRS]:
+            value = F.covar_samp(finite(a), finite(b))
+            entries += [
+                F.struct(F.lit(x).alias("row_name"), F.lit(y).alias("column_name"), value.alias("covariance"))
+                for x, y in sorted({(a, b), (b, a)})
+            ]
+        part = df.agg(F.array(*entries).alias("__e")).select(F.inline("__e"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def vector_moments(df: DataFrame, vector: str) -> tuple[int, np.ndarray, np.ndarray]:

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .profile import text_columns, unpivoted
-from .ranking import join_on, positions
+from ..session import stored
+from .attach import attach
+from .ranking import join_summary, positions
 
 MAX_LEVELS = 1_000
 
@@ -23,7 +25,7 @@ def sorted_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def label_encode(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
     """Add the code of a column's value in sorted order; NULL stays NULL."""
     codes = sorted_codes(df, [column]).select(F.col("value").alias(column), F.col("code").alias("__code"))
-    return df.join(codes, column, "left").withColumn(name or f"{column}_code", F.col("__code")).drop("__code")
+    return join_summary(df, codes, [column]).withColumn(name or f"{column}_code", F.col("__code")).drop("__code")
 
 
 def label_decode(df: DataFrame, column: str, codes: DataFrame, name: str) -> DataFrame:
@@ -44,11 +46,11 @@ def first_seen_codes(df: DataFrame, order: str, columns: Sequence[str] | None =
 def factorize(df: DataFrame, order: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Replace every text column by its codes in order of first appearance; missing gives -1."""
     columns = list(columns or text_columns(df))
-    codes = first_seen_codes(df, order, columns)
+    codes = stored(first_seen_codes(df, order, columns))
     out = df
     for c in columns:
         mine = codes.where(F.col("column") == c).select(F.col("value").alias(c), F.col("code").alias(f"__{c}"))
-        out = out.join(mine, c, "left")
+        out = attach(out, mine, [c])
     return out.select(*[
         F.coalesce(F.col(f"__{c}"), F.lit(-1)).alias(c) if c in columns else F.col(c) for c in df.columns
     ])

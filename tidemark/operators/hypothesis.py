@@ -67,7 +67,9 @@ def anova_statistics(df: DataFrame, features: Sequence[str], target: str,
         F.sum(F.col("n") * F.col("var")).alias("within"),
         (F.count(F.lit(1)) - 1).alias("dof_between"),
         (F.sum("n") - F.count(F.lit(1))).alias("dof_within"))
-    f = F.try_divide(F.col("between") / F.col("dof_between"), F.col("within") / F.col("dof_within"))
+    # one class, or one row in each, leaves F undefined
+    mean_between = F.try_divide(F.col("between"), F.col("dof_between"))
+    f = F.try_divide(mean_between, F.try_divide(F.col("within"), F.col("dof_within")))
     return sums.select(F.col("column").alias("feature"), f.alias("f"), "dof_between", "dof_within")
 
 

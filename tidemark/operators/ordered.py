@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import finite
-from .ranking import POSITION, fits_one_task, join_on, over_series, positions, running_sums
+from .ranking import POSITION, fits_one_task, join_on, join_summary, over_series, positions, running_sums
 
 # Longest weight list written as separate lag and lead terms.
 MAX_TERMS = 64
@@ -68,7 +68,7 @@ def _whole_length_average(df: DataFrame, value: str, key: Sequence[str], order:
         {"__row": F.lit(1), "__sum": F.coalesce(x, F.lit(0.0)), "__n": x.isNotNull().cast("long")})
     sizes = sums.groupBy(*key).agg(
         F.max("__row").alias("__length"), F.max_by("__sum", "__row").alias("__all"), F.max("__n").alias("__all_n"))
-    rows = join_on(sums, sizes, key)
+    rows = join_summary(sums, sizes, key)
     half = F.floor(F.col("__length") / 2)
     after = F.when(F.col("__length") % 2 == 1, half).otherwise(half - 1)
     ends = rows.select(*key, F.col("__row").alias("__at"), F.col("__sum").alias("__s"), F.col("__n").alias("__k"))
@@ -101,7 +101,7 @@ def window_horizon(df: DataFrame, x_names: Sequence[str], y_names: Sequence[str]
     fits = fits_one_task(df, key)
     numbered = positions(df, key, ordering, POSITION, fits)
     sizes = numbered.groupBy(*key).agg(F.max(POSITION).alias("__n"))
-    rows = join_on(numbered, sizes, key)
+    rows = join_summary(numbered, sizes, key)
 
     def build(part: DataFrame, keys: list[str]) -> DataFrame:
         w = Window.partitionBy(*keys).orderBy(POSITION)

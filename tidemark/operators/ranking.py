@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import single_task_rows, stored
+from .attach import attach
 
 PART = "__part"
 POSITION = "__position"
@@ -47,6 +48,12 @@ def join_on(left: DataFrame, right: DataFrame, keys: Keys, how: str = "inner") -
     return left.join(renamed, condition, how).drop(*[f"__r_{k}" for k in keys])
 
 
+def join_summary(left: DataFrame, summary: DataFrame, keys: Keys) -> DataFrame:
+    """Add a small summary, one row per key, to the rows it was made from. It is stored, so that
+    its size is known and it is computed once; the rows are not shuffled on the key."""
+    return attach(left, stored(summary), list(keys)) if keys else join_on(left, summary, keys)
+
+
 def range_parts(df: DataFrame, by: Keys, order: Sequence[Column]) -> DataFrame:
     """Rows in even ranges of (by, order), numbered in that order by column PART.
 
@@ -144,7 +151,8 @@ def lowest_by_hash(df: DataFrame, by: Keys, id_columns: Keys, seed: int, quota:
     `quota` may use column `n`, the group's row count. The order is the hash of
     (id, seed). Counts per leading hash bits find the one hash range in which
     the quota runs out; only the rows of that range are ranked, so no group is
-    ever sorted as a whole.
+    ever sorted as a whole. What remains is one cut per group, and a filter.
+    Rows of equal id stay together.
     """
     hashed = df.withColumn("__hash", F.xxhash64(*[F.col(c) for c in id_columns], F.lit(seed)))
     hashed = hashed.withColumn("__range", F.shiftright("__hash", 64 - HASH_RANGE_BITS))
@@ -159,14 +167,14 @@ def lowest_by_hash(df: DataFrame, by: Keys, id_columns: Keys, seed: int, quota:
         .select(*by, F.col("__range").alias("__last"), (F.col("__quota") - F.col("__until") + F.col("__in_range")).alias("__rest"))
     )
     bounds = stored(bounds)
-    placed = join_on(hashed, bounds, list(by), "left")
-    clear = placed.where(~F.col("__range").eqNullSafe(F.col("__last"))).withColumn(
-        name, F.coalesce(F.col("__range") < F.col("__last"), F.lit(False)))
+    placed = join_summary(hashed, bounds, by)
     ranked = Window.partitionBy(*by, "__range").orderBy("__hash", *id_columns)
-    tied = placed.where(F.col("__range").eqNullSafe(F.col("__last"))).withColumn(
-        name, F.row_number().over(ranked) <= F.col("__rest"))
-    out = [*df.columns, name]
-    return clear.select(*out).unionByName(tied.select(*out))
+    last = placed.where(F.col("__range") == F.col("__last")).select(*by, "__hash", *id_columns, "__range", "__rest")
+    place = F.struct("__hash", *id_columns)
+    cuts = last.withColumn("__row", F.row_number().over(ranked)).where(F.col("__row") <= F.col("__rest"))
+    cuts = cuts.groupBy(*by).agg(F.max(place).alias("__cut"))
+    flagged = join_summary(hashed, cuts, by)
+    return flagged.withColumn(name, F.coalesce(place <= F.col("__cut"), F.lit(False))).select(*df.columns, name)
 
 
 # Leading hash bits counted per group: one range holds about 1/65536 of a group.

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import finite
 from ..functions.distributions import normal_score
 from .quantiles import quantile_row
-from .ranking import join_on
+from .ranking import join_summary
 
 
 def standard_parameters(train: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -52,7 +52,7 @@ def minmax_by_group(df: DataFrame, keys: Sequence[str], column: str, name: str)
     """(x - min) / (max - min) within each group; a constant group gives 0. The group's `low`
     and `high` are kept so that the scaling can be undone."""
     bounds = df.groupBy(*keys).agg(F.min(column).alias("low"), F.max(column).alias("high"))
-    joined = join_on(df, bounds, keys)
+    joined = join_summary(df, bounds, keys)
     scaled = F.coalesce(F.try_divide(F.col(column) - F.col("low"), F.col("high") - F.col("low")), F.lit(0.0))
     return joined.withColumn(name, scaled)
 
@@ -88,7 +88,9 @@ def bin_layout(df: DataFrame, column: str, method: str = "sturges", num_bins: in
         k = F.floor(1 + F.sqrt(n))
     elif method == "freedman_diaconis":
         q = quantile_row(df, column, (0.25, 0.75))
-        k = F.floor((F.col("high") - F.col("low")) / (2 * (q[1] - q[0]) / F.pow(n, F.lit(1 / 3))))
+        width = 2 * (q[1] - q[0]) / F.pow(n, F.lit(1 / 3))
+        # without spread between the quartiles there is no width: one bin
+        k = F.greatest(F.lit(1), F.coalesce(F.floor(F.try_divide(F.col("high") - F.col("low"), width)), F.lit(1)))
     elif method == "sqrt":
         k = F.floor(F.sqrt(n))
     else:

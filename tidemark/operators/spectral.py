@@ -20,7 +20,8 @@ from pyspark.sql import types as T
 
 from ..functions.columns import finite
 from ..session import single_task_rows, stored
-from .ranking import fits_one_task, join_on, positions
+from .attach import attach
+from .ranking import fits_one_task, join_on, join_summary, positions
 
 
 def _key_fields(df: DataFrame, keys: Sequence[str]) -> list[T.StructField]:
@@ -161,7 +162,7 @@ def _rows(df: DataFrame, value: str, keys: Sequence[str], order: Sequence[str],
     numbered = positions(df, keys, [F.col(c) for c in order], "__p", fits_one_task(df, keys))
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     s = F.lit(nfft).cast("long") if nfft is not None else F.col("n")
-    return join_on(numbered, sizes, keys).select(
+    return join_summary(numbered, sizes, keys).select(
         *keys, (F.col("__p") - 1).cast("long").alias("t"), finite(value).alias("x"), F.col("n").cast("long"),
         s.alias("s"))
 
@@ -213,7 +214,8 @@ def periodogram(df: DataFrame, value: str, keys: Sequence[str], order: Sequence[
     fitted = rows.groupBy(*keys).agg(
         F.avg(x).alias("mean"), F.regr_slope(x, t).alias("slope"), F.regr_intercept(x, t).alias("intercept"),
         F.sum(w).alias("w1"), F.sum(w * w).alias("w2"))
-    rows = join_on(rows, fitted, keys)
+    fitted = stored(fitted)
+    rows = attach(rows, fitted, list(keys)) if keys else join_on(rows, fitted, keys)
     if detrend in ("constant", "linear"):
         flat = x - F.col("mean") if detrend == "constant" else x - (F.col("intercept") + F.col("slope") * t)
     elif detrend is None:
@@ -221,7 +223,8 @@ def periodogram(df: DataFrame, value: str, keys: Sequence[str], order: Sequence[
     else:
         raise ValueError(f"unknown detrend: {detrend}")
     spectrum = _transform(rows.select(*keys, "t", (flat * w).alias("x"), "s"), keys)
-    spectrum = join_on(spectrum, fitted.select(*keys, "w1", "w2"), keys)
+    weights = fitted.select(*keys, "w1", "w2")
+    spectrum = attach(spectrum, weights, list(keys)) if keys else join_on(spectrum, weights, keys)
     base = F.lit(float(fs)) * F.col("w2") if scaling == "density" else F.col("w1") * F.col("w1")
     power = (F.col("re") * F.col("re") + F.col("im") * F.col("im")) / base
     k, s = F.col("k"), F.col("s")
