@@ -5,7 +5,7 @@
 2. The blocks' word lists meet in buckets by word hash. A bucket holds the table of its distinct
    words and encodes each of them once, whatever the number of blocks and texts that bear it.
 3. The ids go back to the blocks and are joined to the texts by position.
-4. Decoding joins the distinct ids of each block with the table of id and piece, which the
+4. Decoding joins the pages of ids that each block needs with the table of id and piece, which the
    vocabulary bounds, and joins the pieces back by position likewise.
 
 A block knows a word once, so a word that fills a third of the corpus is one row per block, and no
@@ -115,13 +115,18 @@ def _checksum(numbers) -> int:
 
 
 def word_pages(docs: DataFrame, path: str, buckets: int, block_chars: int) -> DataFrame:
-    """(block, bucket, checksum, numbers, words): each block's distinct words, once per bucket."""
+    """(block, bucket, checksum, numbers, sizes, words): each block's distinct words, once per bucket.
+
+    A row holds all words of one block and bucket, compressed, with their sizes and numbers.
+    """
     schema = pa.schema([
         ("block", pa.int64()), ("bucket", pa.int32()), ("checksum", pa.int64()), ("numbers", pa.binary()),
-        ("words", pa.list_(pa.string())),
+        ("sizes", pa.binary()), ("words", pa.binary()),
     ])
 
     def emit(block, numbers, _, full):
+        import zstandard
+
         if full:
             shares = [[] for _ in range(buckets)]
             for word in numbers:
@@ -129,14 +134,19 @@ def word_pages(docs: DataFrame, path: str, buckets: int, block_chars: int) -> Da
             check = _checksum(numbers)
             for bucket, share in enumerate(shares):
                 if share:
-                    share.sort()
-                    places = np.fromiter(map(numbers.__getitem__, share), dtype="<u4", count=len(share))
+                    # In order of their numbers, whose steps are small.
+                    places = np.fromiter(map(numbers.__getitem__, share), dtype=np.uint32, count=len(share))
+                    octets = [w.encode() for w in share]
                     yield pa.RecordBatch.from_pylist([{
-                        "block": block, "bucket": bucket, "checksum": check, "numbers": places.tobytes(), "words": share,
+                        "block": block, "bucket": bucket, "checksum": check,
+                        "numbers": _planes(np.diff(places, prepend=np.uint32(0))),
+                        "sizes": _planes(np.fromiter(map(len, octets), dtype=np.uint32, count=len(octets))),
+                        "words": zstandard.compress(b"".join(octets), 3),
                     }], schema)
 
     return docs.mapInArrow(
-        _numbered(path, emit, block_chars), "block bigint, bucket int, checksum bigint, numbers binary, words array<string>"
+        _numbered(path, emit, block_chars),
+        "block bigint, bucket int, checksum bigint, numbers binary, sizes binary, words binary",
     )
 
 
@@ -164,35 +174,42 @@ def encoded_words(pages: DataFrame, path: str) -> DataFrame:
     """(block, checksum, numbers, counts, ids, used): the pages' words encoded.
 
     Pages arrive bucket by bucket. The bucket's table of distinct words fills as they come, and a
-    word is encoded when it is first met; `used` are the distinct ids of a page.
+    word is encoded when it is first met; `used` has a bit for each page of the id-to-piece table.
     """
     schema = pa.schema([
         ("block", pa.int64()), ("checksum", pa.int64()), ("numbers", pa.binary()), ("counts", pa.binary()),
-        ("ids", pa.binary()), ("used", pa.list_(pa.int32())),
+        ("ids", pa.binary()), ("used", pa.int64()),
     ])
+    width = page_width(path)
 
     def encode(batches):
+        import zstandard
+
         library, bucket, known = tokenizer.library(path), None, {}
         for batch in batches:
             for page in batch.to_pylist():
                 if page["bucket"] != bucket:
                     bucket, known = page["bucket"], {}
-                fresh = [w for w in page["words"] if w not in known]
+                words, blob, at = [], zstandard.decompress(page["words"]), 0
+                for size in _unplaned(page["sizes"]).tolist():
+                    words.append(blob[at:at + size].decode())
+                    at += size
+                fresh = [w for w in words if w not in known]
                 for at in range(0, len(fresh), 4096):
                     some = fresh[at:at + 4096]
                     for word, found in zip(some, library.encode_batch_fast(some, add_special_tokens=False)):
-                        known[word] = np.array(found.ids, dtype="<i4").tobytes()
-                found = [known[w] for w in page["words"]]
-                ids = b"".join(found)
+                        known[word] = np.array(found.ids, dtype="<u4").tobytes()
+                found = [known[w] for w in words]
+                ids = np.frombuffer(b"".join(found), dtype="<u4")
                 yield pa.RecordBatch.from_pylist([{
                     "block": page["block"], "checksum": page["checksum"], "numbers": page["numbers"],
-                    "counts": np.array([len(x) // 4 for x in found], dtype="<u4").tobytes(), "ids": ids,
-                    "used": np.unique(np.frombuffer(ids, dtype="<i4")).tolist(),
+                    "counts": _planes(np.array([len(x) // 4 for x in found], dtype=np.uint32)), "ids": _planes(ids),
+                    "used": sum(1 << k for k in np.unique(ids // width).tolist()),
                 }], schema)
 
     together = pages.repartition("bucket").sortWithinPartitions("bucket", "block")
     return together.mapInArrow(
-        encode, "block bigint, checksum bigint, numbers binary, counts binary, ids binary, used array<int>"
+        encode, "block bigint, checksum bigint, numbers binary, counts binary, ids binary, used bigint"
     )
 
 
@@ -203,11 +220,21 @@ def piece_table(spark, path: str) -> DataFrame:
     return spark.createDataFrame(frame)
 
 
+def page_width(path: str) -> int:
+    """Ids of one of at most 63 pages of the id-to-piece table."""
+    return -(-(max(tokenizer.pieces(path)) + 1) // 63)
+
+
 def block_pieces(words: DataFrame, path: str) -> DataFrame:
-    """(block, pieces): for each block the pieces of the ids that it uses."""
-    used = words.select("block", F.explode("used").alias("id")).distinct()
-    joined = used.join(F.broadcast(piece_table(words.sparkSession, path)), "id", "left")
-    return joined.groupBy("block").agg(F.collect_list(F.struct("id", "piece")).alias("pieces"))
+    """(block, pieces): the pages of the id-to-piece table that hold ids of the block.
+
+    The pages that a block needs are bits of one number, combined before anything is multiplied.
+    """
+    page = (F.col("id") / page_width(path)).cast("int").alias("page")
+    table = piece_table(words.sparkSession, path).groupBy(page).agg(F.collect_list(F.struct("id", "piece")).alias("pieces"))
+    needed = words.groupBy("block").agg(F.bit_or("used").alias("used"))
+    bits = F.filter(F.sequence(F.lit(0), F.lit(62)), lambda k: F.getbit("used", k) == 1)
+    return needed.select("block", F.explode(bits).alias("page")).join(F.broadcast(table), "page").select("block", "pieces")
 
 
 def _assemble(digests: bool, schema: pa.Schema):
@@ -221,14 +248,16 @@ def _assemble(digests: bool, schema: pa.Schema):
                 words.append(row)
             else:
                 piece |= {x["id"]: x["piece"] for x in row["pieces"]}
-        size = sum(len(w["numbers"]) // 4 for w in words)
+        for page in words:
+            page["numbers"] = np.cumsum(_unplaned(page["numbers"]), dtype=np.uint32)
+        size = sum(len(w["numbers"]) for w in words)
         shown, back, counts = [None] * size, [None] * size, np.zeros(size, dtype=np.int64)
         raw = [None] * size
         text = {i: b"%d," % i for i in piece}
         for page in words:
-            places, each = np.frombuffer(page["numbers"], "<u4").tolist(), np.frombuffer(page["counts"], "<u4")
+            places, each = page["numbers"].tolist(), _unplaned(page["counts"])
             counts[places] = each
-            ids, at = np.frombuffer(page["ids"], "<i4").tolist(), 0
+            ids, at = _unplaned(page["ids"]).tolist(), 0
             for place, n in zip(places, each.tolist()):
                 own = ids[at:at + n]
                 at += n
