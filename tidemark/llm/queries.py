@@ -20,10 +20,67 @@ URL_RULES = {
 
 def op1_url_filter(spark, folder):
     """Verdict on every page's URL."""
-    return url_filter.url_verdicts(table(spark, folder, "pages"), URL_RULES)
+    return url_filter.url_verdicts(table(spark, folder, "pages"), URL_RULES).drop("score")
+
+
+def _url_filter_sql() -> str:
+    """The rules, both models and the calibration, level by level."""
+    longest = sorted(URL_RULES, key=len, reverse=True)
+    fits = {
+        r: "(host = '{0}' OR host LIKE '%.{0}') AND starts_with(path, '/{2}')".format(*r.partition("/")) for r in longest
+    }
+    case = lambda value: "CASE " + " ".join(f"WHEN {fits[r]} THEN '{value(r)}'" for r in longest) + " END"
+    levels, before = [], {"a": "1.0 / 128", "r": "1.0 / 128"}
+    for k in range(1, 5):
+        levels.append(f"""t{k} AS (
+  SELECT right(run, {k}) AS tail, sum(a) AS ac, sum(r) AS rc FROM c0 GROUP BY 1
+), x{k} AS (
+  SELECT left(tail, {k - 1}) AS context, sum(ac) AS an, sum(rc) AS rn,
+    count(*) FILTER (ac > 0) AS ad, count(*) FILTER (rc > 0) AS rd FROM t{k} GROUP BY 1
+), l{k} AS (
+  SELECT p.run, {", ".join(f"CASE WHEN {c}n = 0 THEN {before[c]} ELSE ({c}c + {c}d * ({before[c]})) / ({c}n + {c}d) END AS p{c}" for c in "ar")}
+  FROM {"c0" if k == 1 else f"l{k - 1}"} p JOIN t{k} ON tail = right(p.run, {k}) JOIN x{k} ON context = left(right(p.run, {k}), {k - 1})
+)""")
+        before = {"a": "p.pa", "r": "p.pr"}
+    nl = ",\n"
+    return f"""
+WITH u AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages
+), j AS (
+  SELECT *, {case(lambda r: r)} AS rule, {case(lambda r: URL_RULES[r])} AS ruled FROM u
+), d AS (
+  SELECT host, path, any_value(ruled) AS v, count(*) AS n FROM j WHERE host <> '' OR path <> '' GROUP BY 1, 2
+), g AS (
+  SELECT host, path, v, n, substr(repeat(chr(2), 3) || host || path || chr(3), i, 4) AS run
+  FROM (SELECT *, unnest(range(1, length(host || path) + 2)) AS i FROM d)
+), c0 AS (
+  SELECT run, CAST(coalesce(sum(n) FILTER (v = 'allow'), 0) AS DOUBLE) AS a,
+    CAST(coalesce(sum(n) FILTER (v = 'block'), 0) AS DOUBLE) AS r FROM g GROUP BY 1
+), {nl.join(levels)}, s AS (
+  SELECT host, path, v, n, avg(log2(pa) - log2(pr)) AS score FROM g JOIN l4 USING (run) GROUP BY 1, 2, 3, 4
+), b AS (
+  SELECT CAST(floor(greatest(-8.0, least(8.0, score)) / 0.01) AS INTEGER) AS bin,
+    coalesce(sum(n) FILTER (v = 'allow'), 0) AS allow, coalesce(sum(n) FILTER (v = 'block'), 0) AS block
+  FROM s WHERE v IS NOT NULL GROUP BY 1
+), e AS (
+  SELECT CASE WHEN lead(bin) OVER w IS NULL THEN bin + 1 ELSE greatest(bin + 1, least(0, lead(bin) OVER w)) END AS border,
+    sum(allow) OVER w / sum(allow) OVER () + (sum(block) OVER () - sum(block) OVER w) / sum(block) OVER () AS error
+  FROM b WHERE (SELECT sum(allow) > 0 AND sum(block) > 0 FROM b) WINDOW w AS (ORDER BY bin)
+  UNION ALL SELECT min(bin), 1.0 FROM b HAVING min(bin) IS NOT NULL AND sum(allow) > 0 AND sum(block) > 0
+), best AS (
+  SELECT coalesce((SELECT border FROM e ORDER BY error, abs(border), border LIMIT 1), 0) * 0.01 AS least
+)
+SELECT page_id, j.host, j.path, rule,
+  coalesce(ruled, CASE WHEN score >= (SELECT least FROM best) THEN 'allow' ELSE 'block' END) AS verdict
+FROM j LEFT JOIN s ON j.host = s.host AND j.path = s.path
+"""
 
 
 QUERIES["op1_url_filter"] = op1_url_filter
+SQL["op1_url_filter"] = _url_filter_sql()
 
 
 def op2_bpe(spark, folder):
@@ -59,6 +116,21 @@ def op5_warc(spark, folder):
 
 
 QUERIES["op5_warc"] = op5_warc
+SQL["op5_warc"] = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages
+), d AS (
+  SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, array_to_string(list_transform(range(0, 32), lambda k:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      1 + (CAST('0x' || substr(h, 1 + 5 * (k // 4), 5) AS INTEGER) >> (15 - 5 * (k % 4))) % 32, 1)), '') AS payload_digest
+  FROM p
+), m AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM d
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> last THEN last END AS refers_to
+FROM m
+"""
 
 
 def op6_simhash(spark, folder):
