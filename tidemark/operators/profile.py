@@ -63,18 +63,27 @@ def _missing(df: DataFrame, columns: Sequence[str], sentinels: Sequence) -> Data
     return df.agg(F.array(*counts).alias("__m")).select(F.inline("__m"))
 
 
+# Types described by their texts.
+TEXT_LIKE = ("date", "timestamp", "timestamp_ntz", "boolean")
+
+
 def describe(df: DataFrame, missing_values: Sequence = (), columns: Sequence[str] | None = None) -> DataFrame:
     """One row per column: count, mean, std, min, q25, q50, q75, max, mode, mode_text, skew, dtype,
     cardinality, missing.
 
     A numeric mode is the median of all most frequent values; `mode_text` is
     the smallest most frequent text. Skew is the population skew, for columns
-    with more than one value. Numbers are NULL for text columns.
+    with more than one value. Numbers are NULL for text columns. Dates, times
+    and booleans are described as their texts; nested columns are left out.
     """
     chosen = list(columns) if columns is not None else df.columns
     numbers = [c for c in numeric_columns(df) if c in chosen]
     texts = [c for c in text_columns(df) if c in chosen]
+    others = [c for c, kind in df.dtypes if kind in TEXT_LIKE and c in chosen]
     names = _missing(df, numbers + texts, missing_values)
+    if others:
+        names = names.unionByName(_missing(df, others, ()))
+    texts = texts + others
     parts = []
     if numbers:
         cells = unpivoted(df, numbers)

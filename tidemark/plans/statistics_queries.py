@@ -23,7 +23,8 @@ _COUNTS = "(SELECT {c} AS v, count(*) AS k FROM {t} WHERE {c} IS NOT NULL GROUP
 _TOP = f"SELECT v, k FROM {_COUNTS} QUALIFY k = max(k) OVER ()"
 
 
-def _describe_sql(numbers: str, texts: str, n_cols: dict[str, str], t_cols: list[str], missing: dict[str, str]) -> str:
+def _describe_sql(numbers: str, texts: str, n_cols: dict[str, str], t_cols: list[str], missing: dict[str, str],
+                  others: dict[str, tuple[str, str]] | None = None) -> str:
     parts = []
     for name, dtype in n_cols.items():
         gone = missing.get(name, "")
@@ -40,6 +41,10 @@ def _describe_sql(numbers: str, texts: str, n_cols: dict[str, str], t_cols: list
         parts.append(f"""SELECT '{name}', count({name}), NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
   (SELECT min(v) FROM ({_TOP.replace('{c}', name).replace('{t}', texts)})), NULL, 'string',
   count(DISTINCT {name}), count(*) FILTER ({name} IS NULL {gone}) FROM {texts}""")
+    for name, (dtype, source) in (others or {}).items():
+        parts.append(f"""SELECT '{name}', count({name}), NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+  (SELECT min(CAST(v AS VARCHAR)) FROM ({_TOP.replace('{c}', name).replace('{t}', source)})), NULL, '{dtype}',
+  count(DISTINCT {name}), count(*) FILTER ({name} IS NULL) FROM {source}""")
     return " UNION ALL ".join(parts)
 
 
@@ -51,9 +56,14 @@ _DESCRIBED = six("mean", "std", "min", "q25", "q50", "q75", "max", "mode", "skew
     {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double"},
     ["o_orderstatus", "o_orderpriority"],
     {"o_orderpriority": "OR o_orderpriority = '4-NOT SPECIFIED'",
-     **{name: f"OR {name} = 0" for name in ("o_orderkey", "o_custkey", "o_totalprice")}}), _DESCRIBED)
+     **{name: f"OR {name} = 0" for name in ("o_orderkey", "o_custkey", "o_totalprice")}},
+    {"o_orderdate": ("timestamp_ntz", "orders"),
+     "is_open": ("boolean", "(SELECT CASE WHEN o_orderkey % 7 > 0 THEN o_orderstatus = 'O' END AS is_open FROM orders)")}),
+    _DESCRIBED)
 def describe(spark, folder):
-    return profile.describe(table(spark, folder, "orders"), ["4-NOT SPECIFIED", 0])
+    orders = table(spark, folder, "orders").withColumn(
+        "is_open", F.when(F.col("o_orderkey") % 7 > 0, F.col("o_orderstatus") == "O"))
+    return profile.describe(orders, ["4-NOT SPECIFIED", 0])
 
 
 @query("moments", _union(f"""SELECT '{{c}}' AS "column", count({{c}}) AS n, avg({{c}}) AS mean, median({{c}}) AS median,
