@@ -12,7 +12,7 @@ PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 # Tag pattern (a dot stops at a line feed only) and token pattern.
 TAG = "(?d)<.*?>"
-TOKEN = r"\s+|\S+"
+TOKEN = r"[\p{L}\p{N}_]+(?:['\u2019][\p{L}\p{N}_]+)*|[^\p{L}\p{N}_]+"
 
 # Contractions and their expansions.
 CONTRACTIONS = {
@@ -58,14 +58,29 @@ def strip_punctuation(text: Column | str) -> Column:
 
 
 def expand_contractions(text: Column | str) -> Column:
-    """Replace whole tokens; white space between tokens is kept as it is."""
-    words = contraction_words()
+    """Replace contractions at word boundaries; all that stands between words is kept as it is.
+
+    Straight and curly apostrophes count alike. A capital first letter stays, and a contraction in
+    capitals is expanded in capitals. Texts without any of the words are passed through.
+    """
+    words, text = contraction_words(), as_column(text)
     lookup = F.create_map(*[F.lit(v) for pair in words.items() for v in pair])
-    tokens = F.regexp_extract_all(as_column(text), F.lit(TOKEN), F.lit(0))
-    # the set test is hashed, so the map is searched for matching tokens only
-    expanded = F.transform(
-        tokens, lambda t: F.when(t.isin(list(words)), F.try_element_at(lookup, t)).otherwise(t))
-    return F.array_join(expanded, "")
+    tokens = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
+
+    def expanded(token: Column) -> Column:
+        key = F.lower(F.translate(token, "\u2019", "'"))
+        full = F.try_element_at(lookup, key)
+        first = F.substring(token, 1, 1)
+        cased = (
+            F.when((F.length(token) > 1) & (token == F.upper(token)), F.upper(full))
+            .when(first == F.upper(first), F.concat(F.upper(F.substring(full, 1, 1)), F.substring(full, 2, 1_000)))
+            .otherwise(full)
+        )
+        # the set test is hashed, so the map is searched for matching tokens only
+        return F.when(key.isin(list(words)), cased).otherwise(token)
+
+    some = F.lit(r"(?i)\b(?:" + "|".join(w.replace("'", "['\u2019]") for w in words) + r")\b")
+    return F.when(F.regexp_like(text, some), F.array_join(F.transform(tokens, expanded), "")).otherwise(text)
 
 
 def clean_text(text: Column | str, remove_html_tags: bool = True, lowercase_text: bool = True,

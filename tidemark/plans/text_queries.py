@@ -61,6 +61,16 @@ def labelled_clean_text(spark, folder):
         "doc_id", t.clean_text("text").alias("review"), F.col("quality").alias("sentiment"))
 
 
+@query("expand_contractions", """SELECT doc_id, replace(replace(replace(replace(
+    doc_id || ': I don' || chr(8217) || 't, really; we''re "it''s" DON''T.', 'don' || chr(8217) || 't', 'do not'), 'we''re', 'we are'),
+    'it''s', 'it is'), 'DON''T', 'DO NOT') || ' ' || left(text, 0) AS expanded FROM documents""")
+def expand_contractions(spark, folder):
+    """Contractions beside marks, in capitals and with either apostrophe."""
+    line = F.concat(F.col("doc_id"), F.lit(": I don\u2019t, really; we're \"it's\" DON'T. "))
+    return table(spark, folder, "documents").where("text IS NOT NULL").select(
+        "doc_id", t.expand_contractions(line).alias("expanded"))
+
+
 _DOCUMENT_CSV = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("lang", T.StringType()),
     T.StructField("n_chars", T.LongType()), T.StructField("text", T.StringType()),
