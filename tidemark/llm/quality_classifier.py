@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import without, words
+from tidemark.llm.common import smallest_hashes, without, words
 from tidemark.operators.attach import attach
 from tidemark.session import stored
 
@@ -123,8 +123,8 @@ def classify(
     )
     rows = stored(narrow.join(known, "id", "left"))
 
-    sample = rows.where("label IS NOT NULL").select("id", "label", *FEATURES).orderBy(F.xxhash64(F.col("id").cast("string")), "id")
-    train = sample.limit(max_train_rows).select("label", *FEATURES).toPandas()
+    labelled = rows.where("label IS NOT NULL").select("id", "label", *FEATURES)
+    train = smallest_hashes(labelled, F.col("id").cast("string"), max_train_rows).select("label", *FEATURES).toPandas()
     model = fit(train[list(FEATURES)].to_numpy(dtype=float), train["label"].to_numpy(dtype=float))
     if model is None:
         evidence, probability = F.lit(0.0), F.lit(0.5)
