@@ -22,7 +22,7 @@ STEP = {"H": "INTERVAL 1 HOUR", "D": "INTERVAL 1 DAY", "W": "INTERVAL 7 DAYS", "
 def bins_between(first: Column, last: Column, interval: str) -> Column:
     """Every bin label from first to last as an array."""
     if interval not in STEP:
-        raise ValueError(f"Invalid interval: {interval}")
+        raise ValueError(f"no calendar bin is called {interval!r}")
     labels = F.sequence(first, last, F.expr(STEP[interval]))
     if interval == "M":
         starts = F.sequence(F.trunc(first, "month"), F.trunc(last, "month"), F.expr(STEP[interval]))
@@ -114,7 +114,7 @@ METRIC_NAMES = (
 def _check_columns(df: DataFrame, names) -> None:
     for name in names:
         if name not in df.columns:
-            raise ValueError(f"Column '{name}' not found in DataFrame")
+            raise ValueError(f"the table has no column {name!r}")
 
 
 def segment_filter(df: DataFrame, variable: str | None, value) -> DataFrame:
