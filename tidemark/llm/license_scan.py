@@ -162,12 +162,15 @@ def classify(words: list[str], model: dict) -> tuple[str, float] | None:
 
 
 def background_sample(docs: DataFrame, text: str = "text", count: int = MAX_BACKGROUND) -> list[str]:
-    """Up to `count` paragraphs with the smallest hashes, each once."""
-    lines = docs.select(F.explode(F.split(F.col(f"`{text}`"), "\n")).alias("line")).where("trim(line) <> ''")
-    picked = lines.select(F.xxhash64("line").alias("h"), F.substring("line", 1, BACKGROUND_CHARS).alias("line"))
-    # Each task keeps its own smallest hashes; copies of a line follow each other and count once.
-    best = picked.orderBy("h", "line").limit(count).collect()
-    return list(dict.fromkeys(r["line"] for r in best))
+    """Up to `count` paragraphs: of documents spread over all, the one with the smallest hash."""
+    body = docs.select(F.col(f"`{text}`").alias("text")).where("trim(text) <> ''")
+    total = body.count()
+    cut = -(2**63) + min(2**64 - 1, 2**64 * 3 * count // (2 * max(1, total)))
+    lines = F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")
+    first = F.array_min(F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("h"), F.substring(x, 1, BACKGROUND_CHARS).alias("line"))))
+    # Copies have one hash and one paragraph; they are merged before anything moves.
+    picked = body.where(F.xxhash64("text") <= cut).select(first.alias("p")).select("p.h", "p.line").groupBy("h", "line").count()
+    return [r["line"] for r in picked.orderBy("h", "line").limit(count).collect()]
 
 
 def scan(docs: DataFrame, model: dict, id_column: str = "doc_id", text: str = "text") -> DataFrame:
