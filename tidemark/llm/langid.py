@@ -8,8 +8,8 @@ text's exact code length in a language is the sum of -log2 of these probabilitie
 and depends only on how often each run of ORDER + 1 bytes occurs.
 
 Training counts byte runs of every length in Spark, over all training rows, per language; partial
-counts are combined before they move. A tree keeps its `max_nodes` most frequent runs per length;
-this bounds the model, not the rows that it learns from. Scoring streams whole texts through two
+counts are combined before they move. The trees keep the most frequent runs of each length, at most
+`max_nodes` together; this bounds the model, not the rows that it learns from. Scoring streams whole texts through two
 table lookups per byte, which find the longest known run and its code length in every language at
 once; unknown runs take the escape path, computed once for each distinct run.
 
@@ -145,8 +145,16 @@ def train(training: DataFrame, max_nodes: int = MAX_NODES) -> list[tuple[list[st
     out = []
     for length in range(1, ORDER + 2):
         short = F.col("run").bitwiseAND(F.lit((1 << 8 * length) - 1)).alias("run")
-        table = longest.groupBy("lang", short).agg(F.sum("n").alias("n"))
-        best = table.orderBy(F.desc("n"), "run", "lang").limit(max_nodes).toArrow()
+        table = stored(longest.groupBy("lang", short).agg(F.sum("n").alias("n")))
+        # Runs by steps of their count: the least count that keeps the tree within its bound.
+        step = F.floor(16 * F.log2("n")).cast("int").alias("step")
+        least, kept = 0, 0
+        for row in table.groupBy(step).count().orderBy(F.desc("step")).collect():
+            kept += row["count"]
+            if kept > max_nodes:
+                least = row["step"] + 1
+                break
+        best = table.where(F.floor(16 * F.log2("n")).cast("int") >= least).orderBy("lang", "run").toArrow()
         out.append((best["lang"].to_pylist(), best["run"].to_numpy(), best["n"].to_numpy()))
     return out
 
