@@ -33,6 +33,26 @@ def test_matches_brute_force(spark):
         assert got == brute(rows, 5, lambda i: i % 10 == 0)
 
 
+def test_ids_repeated_more_often_than_k(spark):
+    rng = random.Random(5)
+    rows = [(i, [rng.gauss(0, 0.2) for _ in range(12)]) for i in range(300)]
+    for i in (10, 20, 30, 40):
+        # Own rows that score above all others.
+        rows += [(i, [3 * x for x in rows[i][1]])] * 9
+    # One id has most rows of the table.
+    rows += [(50, [rng.gauss(0, 0.2) for _ in range(12)]) for _ in range(400)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    for options in ({}, {"block_rows": 100, "chunk_queries": 5}, {"dropped": 0}):
+        got = sorted(tuple(r) for r in bitsliced.top_k(frame, F.col("id") % 10 == 0, k=5, **options).collect())
+        assert got == brute(rows, 5, lambda i: i % 10 == 0)
+
+
+def test_one_id_is_dealt_over_the_blocks(spark):
+    rows = bitsliced.stored(spark.range(2000).selectExpr("7L AS id", "array(id) AS v"))
+    sizes = [len(r["ids"]) // 8 for r in bitsliced.build_index(rows, 10).collect()]
+    assert len(sizes) == 10 and sum(sizes) == 2000 and max(sizes) < 300
+
+
 def test_slices_add_up():
     rng = np.random.default_rng(3)
     values, weights = rng.integers(0, 200, (130, 9)), rng.integers(-300, 300, (4, 9))

@@ -69,8 +69,9 @@ def _index_block(key, rows):
 
 
 def build_index(rows: DataFrame, blocks: int) -> DataFrame:
-    """The index of (id, v): a row per vector length and block, dealt by a hash of the id."""
-    dealt = rows.select(F.size("v").alias("dims"), F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), "id", "v")
+    """The index of stored (id, v): a row per vector length and block, dealt by a hash of the id and a row number."""
+    block = F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(blocks)).cast("int")
+    dealt = rows.select(F.size("v").alias("dims"), block.alias("block"), "id", "v")
     return dealt.groupBy("dims", "block").applyInPandas(
         _index_block, "dims int, block int, width int, ids binary, exact binary, slices binary"
     )
@@ -125,7 +126,10 @@ def add_slices(slices: np.ndarray, weights: np.ndarray) -> tuple[list[np.ndarray
 
 
 def select_rows(total: list[np.ndarray], valid: np.ndarray, k: int, slack: np.ndarray) -> np.ndarray:
-    """Bitmaps of the rows whose sum is at least the k-th largest less the query's slack."""
+    """Bitmaps of the valid rows whose sum is at least the k-th largest less the query's slack.
+
+    `valid` is one bitmap for all queries or one for each.
+    """
     queries = len(slack)
     above, level = np.zeros_like(total[0]), np.broadcast_to(valid, total[0].shape).copy()
     kth = [0] * queries
@@ -162,19 +166,22 @@ def _search(k: int, dropped: int):
             for at in range(0, len(asked), BATCH):
                 some = asked.iloc[at:at + BATCH]
                 weights = np.array(some["v"].tolist(), dtype=np.int64).reshape(len(some), dims)
+                # A query's own rows are no candidates, however many they are; they leave before the k-th is read.
+                open_rows = np.repeat(valid[None], len(some), axis=0)
+                for q, own in enumerate(some["id"].tolist()):
+                    for row in range(np.searchsorted(ids, own), np.searchsorted(ids, own, "right")):
+                        open_rows[q, row >> 6] &= ~(np.uint64(1) << np.uint64(row & 63))
                 if dims:
                     total, _ = add_slices(slices, weights)
                     # The dropped bits add between sum of negative and sum of positive weights.
                     error = np.abs(weights.astype(object)).sum(axis=1) * ((1 << low) - 1)
                     slack = np.array([-(-int(e) // (1 << low)) for e in error], dtype=object)
-                    # One more than k, as the query's own row may be among them.
-                    chosen = select_rows(total, valid, k + 1, slack)
+                    chosen = select_rows(total, open_rows, k, slack)
                 else:
-                    chosen = np.broadcast_to(valid, (len(some), words))
+                    chosen = open_rows
                 picked = np.unpackbits(np.ascontiguousarray(chosen).view(np.uint8), axis=1, count=n, bitorder="little")
                 for q, own in enumerate(some["id"].tolist()):
                     place = np.flatnonzero(picked[q])
-                    place = place[ids[place] != own]
                     score = exact[place] @ weights[q]
                     best = np.lexsort((ids[place], -score))[:k]
                     out.append(pd.DataFrame({"query_id": own, "vec_id": ids[place][best], "score": score[best]}))
