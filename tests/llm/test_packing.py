@@ -34,6 +34,17 @@ def test_pieces_and_places_on_edges(spark, edges):
     assert sorted(map(str, got)) == sorted(map(str, want))
 
 
+def test_very_long_runs_of_blanks(spark):
+    path = tokenizer.default_path()
+    texts = ["a" + blank * 1_200_000 + "b<|endoftext|> c" for blank in (" ", "\n", "\t ")]
+    for text in texts:
+        assert tokenizer.whole_texts(path)(text) == tokenizer.library(path).encode(text, add_special_tokens=False).ids
+    docs = spark.createDataFrame([(1, texts[0]), (2, texts[1]), (3, "short")], "doc_id long, text string")
+    rows = packing.pack(docs, capacity=2048).collect()
+    check(rows, 2048)
+    assert {r["doc_id"] for r in rows} == {1, 2, 3}
+
+
 def test_reaches_the_lower_bound_over_many_groups(spark):
     rng = random.Random(2)
     lengths = [min(2048, int(rng.lognormvariate(6, 1)) + 1) for _ in range(3000)]

@@ -47,7 +47,8 @@ def whole_texts(path: str):
     """A function from a text to its ids, the same as the library gives, without offsets.
 
     The vocabulary of the file numbers the 256 bytes first and then the merges in order, so ids are
-    merge ranks; this is checked. Where a file differs, the library itself encodes.
+    merge ranks; this is checked. Where a file differs, the library itself encodes, as it does a text
+    that tiktoken's pattern matcher gives up on, such as one with a run of a million blanks.
     """
     import tiktoken
 
@@ -62,9 +63,19 @@ def whole_texts(path: str):
     plain = splitter.get("type") == "ByteLevel" and splitter.get("use_regex") and not splitter["add_prefix_space"]
     special = {x["content"]: x["id"] for x in content["added_tokens"]}
     known = not any(x["lstrip"] or x["rstrip"] or x["single_word"] or x["normalized"] for x in content["added_tokens"])
+
+    def by_library(text):
+        return library(path).encode(text, add_special_tokens=False).ids
+
     if not (ranked and plain and known and content["normalizer"] is None):
-        encode = library(path).encode
-        return lambda text: encode(text, add_special_tokens=False).ids
+        return by_library
     ranks = {bytes(byte[c] for c in token): i for token, i in vocab.items()}
     core = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
-    return lambda text: core.encode(text, allowed_special="all", disallowed_special=())
+
+    def encode(text):
+        try:
+            return core.encode(text, allowed_special="all", disallowed_special=())
+        except ValueError:
+            return by_library(text)
+
+    return encode
