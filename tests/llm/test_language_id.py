@@ -85,6 +85,26 @@ def test_bounded_model_still_predicts(spark):
     assert langid.predict(frame, counts).where("lang_pred <> 'und'").count() == 80
 
 
+def test_no_run_is_left_out(spark):
+    # More than 100,000 distinct runs, most of one language; the other has few documents.
+    rng = random.Random(6)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    rows = [(i, letters(2500), "hot") for i in range(100)]
+    rows += [(200 + i, letters(rng.randint(5, 400)), "rare") for i in range(12)]
+    rows += [(300 + i, letters(rng.randint(3, 9)), "rare" if i % 4 else "hot") for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    taught = spark.createDataFrame([r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2], frame.schema)
+    counts = langid.train(taught, max_nodes=10**9)
+    assert len(counts[-1][1]) > 100_000
+    want = {r["doc_id"]: r for r in langid.predict(frame.coalesce(1), counts).collect()}
+    longest = langid.count_runs(taught).localCheckpoint()
+    for got in (langid.identify(frame), langid.predict_whole(frame.coalesce(1), longest, cells=50_000)):
+        got = {r["doc_id"]: r for r in got.collect()}
+        assert got.keys() == want.keys()
+        for doc, r in got.items():
+            assert r["lang_pred"] == want[doc]["lang_pred"] and math.isclose(r["score"], want[doc]["score"], rel_tol=1e-9)
+
+
 def test_no_training_rows(spark, nothing):
     assert langid.identify(nothing).count() == 0
     frame = spark.createDataFrame([(1, "words", None)], "doc_id long, text string, lang string")

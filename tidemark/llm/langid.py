@@ -8,10 +8,12 @@ text's exact code length in a language is the sum of -log2 of these probabilitie
 and depends only on how often each run of ORDER + 1 bytes occurs.
 
 Training counts byte runs of every length in Spark, over all training rows, per language; partial
-counts are combined before they move. The trees keep the most frequent runs of each length, at most
-`max_nodes` together; this bounds the model, not the rows that it learns from. Scoring streams whole texts through two
-table lookups per byte, which find the longest known run and its code length in every language at
-once; unknown runs take the escape path, computed once for each distinct run.
+counts are combined before they move. Every run is kept, however rare: code lengths in all languages
+are joined level by level into stored tables, one row for each known run and one for each context's
+escape. The tables are dealt by run into parts of bounded size, which the workers read one after
+another. Scoring streams whole texts in batches, looks up the distinct runs of a batch in the parts,
+and weighs the code lengths by how often each document holds the run; a run that no language knows
+takes the escape path through the tables.
 
 The prediction is the language with the shortest code; the score is its posterior under equal
 priors, with the code lengths per byte scaled to a text of `SCORE_BYTES` bytes at most, so that long
@@ -34,7 +36,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ORDER = 3
-MAX_NODES = 100_000
+# Code lengths (runs times languages) of one part of a table, that a worker holds for good, and of
+# the runs that a worker looks up at once.
+PART_CELLS = 4_000_000
+HELD_CELLS = 16_000_000
+BATCH_CELLS = 8_000_000
 SCORE_BYTES = 200
 # Bytes that stand before a text: three blanks.
 LEAD = b"   "
@@ -137,8 +143,12 @@ def freeze(counts: list[tuple[list[str], np.ndarray, np.ndarray]]) -> Model:
     return model
 
 
-def train(training: DataFrame, max_nodes: int = MAX_NODES) -> list[tuple[list[str], np.ndarray, np.ndarray]]:
-    """The frozen counts, columns (lang, run, n) of at most `max_nodes` rows for each run length."""
+def train(training: DataFrame, max_nodes: int | None = None) -> list[tuple[list[str], np.ndarray, np.ndarray]]:
+    """The frozen counts, columns (lang, run, n) for each run length, brought to the driver.
+
+    With `max_nodes` the most frequent runs of each length, at most so many for all languages
+    together. `identify` uses the whole tables of `code_tables` instead.
+    """
     from tidemark.session import stored
 
     longest = stored(count_runs(training))
@@ -151,7 +161,7 @@ def train(training: DataFrame, max_nodes: int = MAX_NODES) -> list[tuple[list[st
         least, kept = 0, 0
         for row in table.groupBy(step).count().orderBy(F.desc("step")).collect():
             kept += row["count"]
-            if kept > max_nodes:
+            if max_nodes is not None and kept > max_nodes:
                 least = row["step"] + 1
                 break
         best = table.where(F.floor(16 * F.log2("n")).cast("int") >= least).orderBy("lang", "run").toArrow()
@@ -159,38 +169,133 @@ def train(training: DataFrame, max_nodes: int = MAX_NODES) -> list[tuple[list[st
     return out
 
 
-def predict(docs: DataFrame, counts: list, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, lang_pred, score) of every row."""
-    packed = docs.sparkSession.sparkContext.broadcast(counts)
+def _by_language(rows: DataFrame, key: str, langs: list[str], columns: list[str]) -> DataFrame:
+    """One row per key, each column an array over the languages, 0 where a language has no row."""
+    entries = F.collect_list(F.struct("lang", F.struct(*columns).alias("of")))
+    wide = rows.groupBy(key).agg(F.map_from_entries(entries).alias("entries"))
+    names = F.array(*map(F.lit, langs))
+    of = lambda c: F.transform(names, lambda x: F.coalesce(F.try_element_at("entries", x)[c], F.lit(0)))
+    return wide.select(key, *(of(c).alias(c) for c in columns))
+
+
+def code_tables(longest: DataFrame, langs: list[str]) -> list[tuple[DataFrame, DataFrame]]:
+    """For each run length from 1: (run, bits) of the runs that any language knows, with their code
+    lengths, and (run, bits) of their contexts, with the code lengths of the escapes.
+
+    `longest` has stored counts (lang, run, n); `bits` is an array over the languages. A run's code
+    needs its context, and the code of the run without its first byte; both are known where it is.
+    """
+    from tidemark.session import stored
+
+    out = []
+    for length in range(1, ORDER + 2):
+        run = F.col("run").bitwiseAND(F.lit((1 << 8 * length) - 1)).alias("run")
+        counts = longest.groupBy("lang", run).agg(F.sum("n").alias("c"))
+        context = F.shiftright("run", 8).alias("context")
+        totals = counts.groupBy("lang", context).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("d"))
+        contexts = stored(_by_language(totals, "context", langs, ["n", "d"]))
+        escape = F.transform(F.arrays_zip("n", "d"), lambda x: F.when(x["n"] > 0, -F.log2(x["d"] / (x["n"] + x["d"]))).otherwise(0.0))
+        known = _by_language(counts, "run", langs, ["c"]).withColumn("context", context).join(contexts, "context")
+        if out:
+            shorter = out[-1][0].select(F.col("run").alias("tail"), F.col("bits").alias("below"))
+            known = known.withColumn("tail", F.col("run").bitwiseAND(F.lit((1 << 8 * (length - 1)) - 1))).join(shorter, "tail")
+        else:
+            known = known.withColumn("below", F.array_repeat(F.lit(8.0), len(langs)))
+        bits = F.transform(
+            F.arrays_zip("c", "n", "d", "below"),
+            lambda x: F.when(x["c"] > 0, -F.log2(x["c"] / (x["n"] + x["d"])))
+            .when(x["n"] > 0, x["below"] - F.log2(x["d"] / (x["n"] + x["d"]))).otherwise(x["below"]),
+        )
+        known = stored(known.select("run", bits.alias("bits")))
+        out.append((known, contexts.select(F.col("context").alias("run"), escape.alias("bits"))))
+    return out
+
+
+def _parts(rows: DataFrame, width: int, cells: int) -> tuple[list, int]:
+    """Broadcast (runs in order, code lengths) of a table, at most about `cells` each, and the table's cells."""
+    total = rows.count() * width
+    parts = max(1, -(-total // cells)) | 1
+    out = []
+    for part in range(parts):
+        table = rows.where(F.col("run") % parts == part).toArrow()
+        run = table["run"].to_numpy()
+        bits = table["bits"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(run), width)
+        order = np.argsort(run)
+        out.append(rows.sparkSession.sparkContext.broadcast((run[order].astype(np.uint32), bits[order])))
+    return out, total
+
+
+def _lookup(tables: list, width: int, hold: bool):
+    """A function from distinct runs to their code lengths (run, language)."""
+
+    def add(parts, wanted, at, out):
+        """Add the code lengths of the wanted runs to rows `at`; returns which were found."""
+        found = np.zeros(len(wanted), dtype=bool)
+        for part in parts:
+            run, bits = part.value
+            if not hold:
+                # The worker reads the part again from its disk for the next batch.
+                vars(part).pop("_value", None)
+            if not len(run):
+                continue
+            place = np.minimum(np.searchsorted(run, wanted), len(run) - 1)
+            hit = run[place] == wanted
+            out[at[hit]] += bits[place[hit]]
+            found |= hit
+        return found
+
+    def code_lengths(wanted):
+        out, at = np.zeros((len(wanted), width)), np.arange(len(wanted))
+        for length in range(ORDER + 1, 0, -1):
+            known, escapes = tables[length - 1]
+            unknown = ~add(known, wanted, at, out)
+            wanted, at = wanted[unknown], at[unknown]
+            if not len(wanted):
+                return out
+            add(escapes, wanted >> np.uint32(8), at, out)
+            wanted = wanted & np.uint32((1 << 8 * (length - 1)) - 1)
+        out[at] += 8.0
+        return out
+
+    return code_lengths
+
+
+def _scored(docs: DataFrame, langs: list[str], lookup, id_column: str, text: str) -> DataFrame:
+    """(id, lang_pred, score) of every row; `lookup()` makes a worker's function from runs to code lengths."""
+    limit = max(100_000, BATCH_CELLS // max(1, len(langs)))
 
     def score(batches):
-        model, unknown = None, {}
+        code_lengths, waiting, size = None, [], 0
+
+        def flush():
+            nonlocal code_lengths
+            code_lengths = code_lengths or lookup()
+            lang, posterior = [UNDETERMINED] * len(waiting), [0.0] * len(waiting)
+            some = [k for k, (_, run, _) in enumerate(waiting) if run is not None]
+            if some:
+                distinct, place = np.unique(np.concatenate([waiting[k][1] for k in some]), return_inverse=True)
+                costs, start = code_lengths(distinct), 0
+                for k in some:
+                    _, run, n = waiting[k]
+                    bits = n @ costs[place[start:start + len(run)]]
+                    start += len(run)
+                    best, length = int(np.argmin(bits)), int(n.sum())
+                    scaled = (bits[best] - bits) / length * min(length, SCORE_BYTES)
+                    lang[k], posterior[k] = langs[best], float(1 / np.exp2(scaled).sum())
+            return pd.DataFrame({"key": [key for key, _, _ in waiting], "lang_pred": lang, "score": posterior})
+
         for batch in batches:
-            model = model or freeze(packed.value)
-            langs, k = model.langs, len(model.langs)
-            out_lang, out_score = [], []
-            for body in batch["text"]:
-                if not k or not body or not any(map(str.isalpha, body)):
-                    out_lang.append(UNDETERMINED)
-                    out_score.append(0.0)
-                    continue
-                found = runs(normal_bytes(body), ORDER + 1)
-                rows = model.second[model.first[found >> np.uint32(8)].astype(np.int64) * 256 + (found & np.uint32(255))]
-                bits = model.codes[rows].sum(axis=0)
-                missed = rows == 0
-                if missed.any():
-                    for run, n in zip(*(x.tolist() for x in np.unique(found[missed], return_counts=True))):
-                        cost = unknown.get(run)
-                        if cost is None:
-                            if len(unknown) > 200_000:
-                                unknown.clear()
-                            cost = unknown[run] = np.array([model.code_length(i, run) for i in range(k)])
-                        bits = bits + n * cost
-                best = int(np.argmin(bits))
-                scaled = (bits[best] - bits) / len(found) * min(len(found), SCORE_BYTES)
-                out_lang.append(langs[best])
-                out_score.append(float(1 / np.exp2(scaled).sum()))
-            yield pd.DataFrame({"key": batch["key"], "lang_pred": out_lang, "score": out_score})
+            for key, body in zip(batch["key"], batch["text"]):
+                run = n = None
+                if langs and body and any(map(str.isalpha, body)):
+                    run, n = np.unique(runs(normal_bytes(body), ORDER + 1), return_counts=True)
+                    size += len(run)
+                waiting.append((key, run, n))
+                if size >= limit or len(waiting) >= 10_000:
+                    yield flush()
+                    waiting, size = [], 0
+        if waiting:
+            yield flush()
 
     kind = docs.schema[id_column].dataType.simpleString()
     source = docs.select(F.col(f"`{id_column}`").cast("string").alias("key"), F.col(f"`{text}`").alias("text"))
@@ -198,6 +303,37 @@ def predict(docs: DataFrame, counts: list, id_column: str = "doc_id", text: str
     return scored.select(F.col("key").cast(kind).alias(id_column), "lang_pred", "score")
 
 
+def predict(docs: DataFrame, counts: list, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, lang_pred, score) of every row, by the counts of `train`."""
+    packed = docs.sparkSession.sparkContext.broadcast(counts)
+
+    def lookup():
+        model = freeze(packed.value)
+
+        def code_lengths(wanted):
+            rows = model.second[model.first[wanted >> np.uint32(8)].astype(np.int64) * 256 + (wanted & np.uint32(255))]
+            out = model.codes[rows]
+            for k in np.flatnonzero(rows == 0).tolist():
+                out[k] = [model.code_length(i, int(wanted[k])) for i in range(len(model.langs))]
+            return out
+
+        return code_lengths
+
+    return _scored(docs, sorted({lang for part in counts for lang in part[0]}), lookup, id_column, text)
+
+
+def predict_whole(docs: DataFrame, longest: DataFrame, id_column: str = "doc_id", text: str = "text", cells: int = PART_CELLS) -> DataFrame:
+    """(id, lang_pred, score) of every row, by all runs of the stored counts of `count_runs`."""
+    langs = sorted(r["lang"] for r in longest.select("lang").distinct().collect())
+    tables, held = [], 0
+    if langs:
+        for known, escapes in code_tables(longest, langs):
+            (a, m), (b, n) = (_parts(rows, len(langs), cells) for rows in (known, escapes))
+            tables.append((a, b))
+            held += m + n
+    return _scored(docs, langs, lambda: _lookup(tables, len(langs), held <= HELD_CELLS), id_column, text)
+
+
 def held_out(id_column: Column) -> Column:
     """Rows kept from training: crc32 of the id as text has remainder 2 by 4."""
     return F.coalesce(F.pmod(F.crc32(id_column.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
@@ -205,7 +341,9 @@ def held_out(id_column: Column) -> Column:
 
 def identify(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """(id, held_out, lang_pred, score): learn from the rows not held out, predict all."""
+    from tidemark.session import stored
+
     rows = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"))
-    counts = train(rows.where(~held_out(F.col("id"))))
-    scored = predict(rows.select("id", "text"), counts, "id")
+    longest = stored(count_runs(rows.where(~held_out(F.col("id")))))
+    scored = predict_whole(rows.select("id", "text"), longest, "id")
     return scored.select(F.col("id").alias(id_column), held_out(F.col("id")).alias("held_out"), "lang_pred", "score")
