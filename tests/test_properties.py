@@ -140,6 +140,18 @@ def brute_silhouette(x, labels, distance):
     return np.mean(out) if out else 0.0
 
 
+@pytest.mark.parametrize("distance", ["euclidean", "manhattan", "cosine_similarity"])
+def test_kmeans_runs_until_no_row_moves(vectors, distance):
+    centres = cluster.kmeans_fit(vectors, "embedding", 10, distance=distance, seed=3)
+    labelled = cluster.assign_clusters(vectors, "embedding", centres, distance, "near")
+    means = {r["near"]: r["centre"] for r in cluster.update_centres(labelled, "embedding", "near").collect()}
+    moved = [means.get(i, c) for i, c in enumerate(centres)]
+    again = cluster.assign_clusters(labelled, "embedding", moved, distance, "again")
+    assert again.where("near <> again").count() == 0
+    with pytest.warns(RuntimeWarning, match="not converged"):
+        cluster.kmeans_fit(vectors, "embedding", 10, distance=distance, seed=3, max_iter=1)
+
+
 def test_silhouette_with_copies_and_many_blocks(spark, monkeypatch):
     monkeypatch.setattr(cluster, "BLOCK_ROWS", 16)
     rng = np.random.default_rng(5)

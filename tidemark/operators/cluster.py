@@ -6,7 +6,9 @@ grows with the data stays in Spark.
 
 from __future__ import annotations
 
+import itertools
 import math
+import warnings
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -157,22 +159,29 @@ def random_start(df: DataFrame, vector: str, k: int, seed: int) -> list[list[flo
     return [list(r[0]) for r in rows.collect()]
 
 
-def kmeans_fit(df: DataFrame, vector: str, k: int = 2, init: str = "k-means++", max_iter: int = 100,
+def kmeans_fit(df: DataFrame, vector: str, k: int = 2, init: str = "k-means++", max_iter: int | None = None,
                distance: str = "euclidean", seed: int = 0) -> list[list[float]]:
     """Centres after Lloyd rounds. Centres are means whatever the distance; the rounds stop when
-    no row changes its cluster or after max_iter. A round is one aggregation; only the k
-    centres come back."""
+    no row changes its cluster, or after max_iter with a warning. Rounds that come back to earlier
+    centres can't end, and raise. A round is one aggregation; only the k centres come back."""
     _check_distance(distance)
     if init not in ("k-means++", "random"):
         raise ValueError(f"unknown init: {init}")
     if distance == "euclidean" and init == "k-means++":
-        model = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="features", tol=0.0).fit(
+        most = 100 if max_iter is None else max_iter
+        model = KMeans(k=k, maxIter=most, seed=seed, featuresCol="features", tol=0.0).fit(
             df.select(_vector(vector).alias("features")))
-        return [[float(x) for x in c] for c in model.clusterCenters()]
-    centres = random_start(df, vector, k, seed) if init == "random" else spread_start(df, vector, k, seed, distance)
+        centres = [[float(x) for x in c] for c in model.clusterCenters()]
+        if model.summary.numIter < most:
+            return centres
+        if max_iter is not None:
+            warnings.warn(f"k-means has not converged in {max_iter} rounds", RuntimeWarning, stacklevel=2)
+            return centres
+    else:
+        centres = random_start(df, vector, k, seed) if init == "random" else spread_start(df, vector, k, seed, distance)
     rows = df.select(doubles(vector).alias("__v"))
-    previous = None
-    for _ in range(max_iter):
+    previous, seen = None, set()
+    for _ in itertools.count() if max_iter is None else range(max_iter):
         labelled = rows.withColumn("__near", nearest_centre("__v", centres, distance))
         before = nearest_centre("__v", previous, distance)["label"] if previous else F.lit(-1)
         summary = Summarizer.metrics("mean").summary(_vector("__v"))
@@ -187,6 +196,13 @@ def kmeans_fit(df: DataFrame, vector: str, k: int = 2, init: str = "k-means++",
             far = labelled.orderBy(F.col("__near.distance").desc(), "__v").limit(len(lost)).collect()
             means.update({i: list(r["__v"]) for i, r in zip(lost, far)})
         previous, centres = centres, [means.get(i, centres[i]) for i in range(len(centres))]
+        state = hash(tuple(round(x, 9) for c in centres for x in c))
+        # Equal centres twice in a row are the end, which the next round finds.
+        if max_iter is None and state in seen and max(abs(x - y) for a, b in zip(previous, centres) for x, y in zip(a, b)) > 1e-6:
+            raise RuntimeError("k-means comes back to earlier centres and does not converge")
+        seen.add(state)
+    else:
+        warnings.warn(f"k-means has not converged in {max_iter} rounds", RuntimeWarning, stacklevel=2)
     return centres
 
 
@@ -437,7 +453,7 @@ def score(df: DataFrame, vector: str, label: str, metric: str = "inertia", dista
 
 def elbow_test(train: DataFrame, vector: str, validation: DataFrame | None = None, ks: Sequence[int] = (2, 3, 4, 5),
                distances: Sequence[str] = ("euclidean",), scores: Sequence[str] = ("inertia",),
-               seed: int = 0, max_iter: int = 100) -> DataFrame:
+               seed: int = 0, max_iter: int | None = None) -> DataFrame:
     """Scores of a fit for every k and distance, on the validation rows (default: the training
     rows). One row per combination."""
     rows = train.select(vector).persist()

@@ -68,7 +68,7 @@ def kmeans_fit(spark, folder):
     """Cluster of every vector after a fit with each distance."""
     rows = _embeddings(spark, folder)
     for name, distance in (("euclidean", "euclidean"), ("manhattan", "manhattan"), ("cosine", "cosine_similarity")):
-        centres = cluster.kmeans_fit(rows, "embedding", 10, distance=distance, seed=3, max_iter=20)
+        centres = cluster.kmeans_fit(rows, "embedding", 10, distance=distance, seed=3)
         rows = cluster.assign_clusters(rows, "embedding", centres, distance, name)
     return rows.select("vec_id", "euclidean", "manhattan", "cosine")
 
@@ -130,4 +130,4 @@ def cluster_scores(spark, folder):
 def elbow_test(spark, folder):
     return cluster.elbow_test(
         _embeddings(spark, folder), "embedding", ks=(2, 4), distances=("euclidean", "cosine_similarity"),
-        scores=("inertia", "silhouette"), seed=5, max_iter=10)
+        scores=("inertia", "silhouette"), seed=5)
