@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,3 +50,18 @@ def smallest_hashes(rows: DataFrame, key: Column, count: int) -> DataFrame:
     total = rows.count()
     cut = -(2**63) + min(2**64 - 1, 2**64 * 3 * count // (2 * max(1, total)))
     return rows.where(F.xxhash64(key) <= cut).orderBy(F.xxhash64(key)).limit(count)
+
+
+def pack_numbers(numbers: np.ndarray) -> bytes:
+    """Numbers below 2^32 as four byte planes, compressed: most are small."""
+    import zstandard
+
+    low = numbers.astype("<u4").view(np.uint8).reshape(-1, 4)
+    return zstandard.compress(np.ascontiguousarray(low.T).tobytes(), 3)
+
+
+def unpack_numbers(data: bytes) -> np.ndarray:
+    import zstandard
+
+    planes = np.frombuffer(zstandard.decompress(data), dtype=np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import bitsliced, bpe, hard_negatives, langid, license_scan, packing, quality_classifier, simhash, url_filter, warc
+from tidemark.llm import alignment, bitsliced, bpe, hard_negatives, langid, license_scan, packing, quality_classifier, simhash, url_filter, warc
 from tidemark.llm.common import table
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.session import scratch_path
@@ -263,3 +263,11 @@ WITH v AS (
 )
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
 """
+
+
+def op13_alignment(spark, folder):
+    """Groups, links and corpus-wide link counts of two tokenizers over every document."""
+    return alignment.alignment_counts(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+QUERIES["op13_alignment"] = op13_alignment
