@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import alignment, bitsliced, bpe, hard_negatives, langid, license_scan, packing, quality_classifier, simhash, url_filter, warc
+from tidemark.llm import alignment, bilinear, bitsliced, bpe, hard_negatives, langid, license_scan, packing, quality_classifier, simhash, url_filter, warc
 from tidemark.llm.common import table
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.session import scratch_path
@@ -235,6 +235,14 @@ SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
 """
 
 
+def op11_language_scores(spark, folder):
+    """Log-probabilities of every document by word counts and by the log-bilinear model."""
+    return bilinear.language_scores(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+QUERIES["op11_language_scores"] = op11_language_scores
+
+
 def op12_hard_negatives(spark, folder):
     """Five rows of other labels just below each of the five nearest rows of every hundredth vector's label."""
     vectors = table(spark, folder, "embeddings")
