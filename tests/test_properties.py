@@ -1,6 +1,5 @@
 """Properties of fits, tests and files that have no SQL counterpart."""
 
-import zipfile
 
 import numpy as np
 import pytest
@@ -9,7 +8,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import distributions as d
 from tidemark.operators import cluster, decompose, hypothesis, models, scaling, spectral, splitting
-from tidemark.sources import archives, image_files, sinks, tables
+from tidemark.sources import image_files, sinks, tables
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -218,17 +217,6 @@ def test_models(vectors):
     assert scored.where((F.col("probability_1") >= 0.3).cast("int") != F.col("prediction")).count() == 0
 
 
-def test_zip_files(spark, tmp_path):
-    for n in range(3):
-        with zipfile.ZipFile(tmp_path / f"a{n}.zip", "w") as z:
-            z.writestr("x.csv", f'id,review\n{n},"two\nlines, and a comma"\n{n + 10},\n')
-            z.writestr("folder/", "")
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("review", T.StringType())])
-    rows = archives.read_zip_csv(archives.zip_files(spark, str(tmp_path)), schema).collect()
-    assert sorted((r["id"], r["review"]) for r in rows) == sorted(
-        [(n, "two\nlines, and a comma") for n in range(3)] + [(n + 10, None) for n in range(3)])
-
-
 def test_image_catalog(spark, tmp_path):
     for folder, names in (("imagesTr", ["BRATS_001.nii.gz", "BRATS_002.nii.gz", "._BRATS_003.nii.gz", "BRATS_004.txt"]),
                           ("labelsTr", ["BRATS_001.nii.gz"]), ("imagesTs", ["BRATS_009.nii.gz"])):

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as t
-from ..sources.archives import read_zip_csv, zip_csv
+from ..sources.archives import WRITTEN, read_zip_csv, write_zip_csv
 from ..sources.image_files import file_catalog
-from ..sources.tables import table
+from ..session import scratch_path
+from ..sources.tables import read_csv, table
 from .registry import query
 
 
@@ -81,7 +82,18 @@ _DOCUMENT_CSV = T.StructType([
 def scan_zip_csv(spark, folder):
     """The documents packed into zipped CSV files and read back from them."""
     documents = table(spark, folder, "documents").select(*_DOCUMENT_CSV.names)
-    return read_zip_csv(zip_csv(documents), _DOCUMENT_CSV).select(*_DOCUMENT_CSV.names)
+    path = scratch_path(spark, "zips")
+    write_zip_csv(documents, path)
+    return read_zip_csv(spark, path, _DOCUMENT_CSV, WRITTEN).select(*_DOCUMENT_CSV.names)
+
+
+@query("scan_csv_multiline", "SELECT doc_id, lang, n_chars, nullif(text, '') AS text FROM documents")
+def scan_csv_multiline(spark, folder):
+    """The documents, whose texts hold line feeds and quotes, through quoted CSV read by splits."""
+    path = scratch_path(spark, "documents_csv")
+    documents = table(spark, folder, "documents").select(*_DOCUMENT_CSV.names)
+    documents.write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
+    return read_csv(spark, path, _DOCUMENT_CSV)
 
 
 _IMAGE = """CASE p_partkey % 4 WHEN 0 THEN 'BRATS_' || p_partkey || '.nii.gz' WHEN 1 THEN '._BRATS_' || p_partkey || '.nii.gz'
