@@ -57,6 +57,29 @@ def scan_csv(spark, folder):
     return tables.read_csv_lines(spark, path, customer.schema)
 
 
+def _through_csv(spark, folder, name, schema):
+    """A base table written as CSV and loaded with its declared types."""
+    path = scratch_path(spark, f"{name}_csv")
+    funnel_base(spark, folder)[name].write.option("header", True).option("escape", '"').options(
+        timestampNTZFormat="yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
+    return tables.read_csv(spark, path, schema)
+
+
+@query("load_contacts", f"WITH {q.CONTACTS} SELECT * FROM contacts")
+def load_contacts(spark, folder):
+    return _through_csv(spark, folder, "contacts", tables.CONTACTS)
+
+
+@query("load_listings", f"WITH {q.LISTINGS} SELECT * FROM listings")
+def load_listings(spark, folder):
+    return _through_csv(spark, folder, "listings", tables.LISTINGS)
+
+
+@query("load_users", f"WITH {q.USERS} SELECT * FROM users")
+def load_users(spark, folder):
+    return _through_csv(spark, folder, "users", tables.USERS)
+
+
 @query("named_views", f"""WITH {q.MASTER}
 SELECT guest_country, count(*) AS n, count(DISTINCT id_listing_anon) AS n_listings
 FROM master GROUP BY guest_country""")
