@@ -12,6 +12,11 @@ def doubles(c: Column | str) -> Column:
     return as_column(c).cast("array<double>")
 
 
+def complete(c: Column | str) -> Column:
+    """True for a vector that is there and has no NULL or NaN element."""
+    return F.coalesce(F.forall(doubles(c), lambda x: x.isNotNull() & ~F.isnan(x)), F.lit(False))
+
+
 def _total(c: Column) -> Column:
     return F.aggregate(c, F.lit(0.0), lambda acc, v: acc + v)
 

@@ -21,8 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.vectors import doubles
+from ..functions.vectors import complete, doubles
 from ..session import stored
+from . import balls
 from .ranking import running_sums
 
 # Distances of one vector (or rows of a matrix) to the rows of another matrix.
@@ -398,35 +399,31 @@ def silhouette(df: DataFrame, vector: str, label: str, distance: str = "euclidea
         F.try_divide(F.sum(value * F.col("copies")), F.sum("copies").cast("double")), F.lit(0.0)).alias("score"))
 
 
-def dunn(df: DataFrame, vector: str, label: str, distance: str = "euclidean") -> DataFrame:
-    """Smallest distance between clusters over the largest within one; 0 if undefined."""
+def dunn_details(df: DataFrame, vector: str, label: str, distance: str = "euclidean") -> DataFrame:
+    """One row: the Dunn `score`, the distances `closest` and `widest` that it divides, the number of
+    `pairs` of distinct rows and how many were `compared`; blocks whose bounds can't matter are not.
+
+    For cosine the unit vectors' chords are compared, whose half square is the dissimilarity; zero
+    vectors take no part. NULL vectors and those with NULL or NaN elements are left out.
+    """
     _check_distance(distance)
-    blocks, count = _blocks(df, vector, label)
+    rows = df.where(complete(vector))
+    v = doubles(vector)
+    if distance in COSINE_NAMES:
+        rows, v = rows.where(_length(vector) > 0), F.transform(v, lambda x: x / _length(vector))
+    found = balls.extremes(rows, v, F.col(label), distance == "manhattan")
+    closest, widest = found.closest, found.widest
+    if distance in COSINE_NAMES:
+        closest, widest = (x if x is None else x * x / 2 for x in (closest, widest))
+    score = closest / widest if closest is not None and widest else 0.0
+    return df.sparkSession.createDataFrame(
+        [(score, closest, widest, found.pairs, found.compared)],
+        "score double, closest double, widest double, pairs bigint, compared bigint")
 
-    def extremes(batches):
-        for batch in batches:
-            out = []
-            for row in batch.itertuples(index=False):
-                left, right, a, b, _ = _unpack(row)
-                widest, closest = None, None
-                for place, (name, x) in enumerate(zip(left, a)):
-                    d = _to_each(x, b, distance)
-                    mine = right == name
-                    other = d[~mine]
-                    if row.left == row.right:  # a row has no distance to itself
-                        mine[place] = False
-                    same = d[mine]
-                    if len(same):
-                        widest = max(widest or 0.0, float(same.max()))
-                    if len(other):
-                        closest = min(np.inf if closest is None else closest, float(other.min()))
-                out.append((widest, closest))
-            if out:
-                yield pd.DataFrame(out, columns=["widest", "closest"], dtype="float64")
-
-    pairs = _block_pairs(blocks, count, ordered=True).mapInPandas(extremes, "widest double, closest double")
-    score = F.try_divide(F.min("closest"), F.max("widest"))
-    return pairs.agg(F.coalesce(score, F.lit(0.0)).alias("score"))
+
+def dunn(df: DataFrame, vector: str, label: str, distance: str = "euclidean") -> DataFrame:
+    """Smallest distance between clusters over the largest within one; 0 if undefined."""
+    return dunn_details(df, vector, label, distance).select("score")
 
 
 Score = Callable[[DataFrame, str, str, str], DataFrame]

@@ -120,6 +120,26 @@ def dunn(spark, folder):
     return cluster.dunn(_embeddings(spark, folder), "embedding", "label")
 
 
+_ORDER_GROUPS = """g AS (SELECT DISTINCT CAST(floor(o_totalprice / 60000) AS INTEGER) * 100 + o_custkey % 2 AS label,
+    [CAST(o_totalprice AS DOUBLE) / 1000 + 100 * floor(o_totalprice / 60000), 40.0 * (o_custkey % 2) + (o_orderkey % 97) / 10.0] AS v FROM orders)"""
+
+
+@query("dunn_separated", f"""WITH {_ORDER_GROUPS}, d AS (SELECT a.label = b.label AS same, list_distance(a.v, b.v) AS d
+    FROM g a JOIN g b ON a.v <> b.v OR a.label <> b.label)
+  SELECT min(d) FILTER (NOT same) / max(d) FILTER (same) AS score, min(d) FILTER (NOT same) AS closest,
+    max(d) FILTER (same) AS widest, (SELECT count(*) * (count(*) - 1) // 2 FROM g) AS pairs, true AS few_compared FROM d""",
+       six("score", "closest", "widest"))
+def dunn_separated(spark, folder):
+    """Groups of orders that lie apart: exact extremes from a small part of all pairs."""
+    price, odd = F.col("o_totalprice"), F.col("o_custkey") % 2
+    step = F.floor(price / 60000)
+    rows = table(spark, folder, "orders").select(
+        (step * 100 + odd).cast("int").alias("label"),
+        F.array(price / 1000 + 100 * step, 40.0 * odd + (F.col("o_orderkey") % 97) / 10.0).alias("v"))
+    found = cluster.dunn_details(rows, "v", "label")
+    return found.select("score", "closest", "widest", "pairs", (F.col("compared") < F.col("pairs") * 0.5).alias("few_compared"))
+
+
 @query("cluster_scores", f"""WITH {_CELLS}, {_pairs_sql('cosine_dissimilarity')}
   SELECT {_WCSS} AS inertia, {_SILHOUETTE} AS silhouette, {_DUNN} AS dunn""", six("inertia", "silhouette", "dunn"))
 def cluster_scores(spark, folder):
