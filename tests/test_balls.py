@@ -55,3 +55,19 @@ def test_dunn_without_pairs(spark):
     for rows in ([], [(1, [1.0])], [(1, [1.0]), (1, [1.0])], [(1, [1.0]), (2, [3.0])], [(1, [1.0]), (1, [3.0])], [(1, None)]):
         frame = spark.createDataFrame(rows, "label int, v array<double>")
         assert cluster.dunn(frame, "v", "label").first()["score"] == 0.0
+
+
+def test_silhouette_estimate_is_within_its_bound(spark):
+    rng = random.Random(11)
+    rows = [(k, label, v) for k, (label, v) in enumerate(clusters(rng, 600, 9.0))] + [(900, 77, [0.0, 0.0, 0.0]), (901, 1, None)]
+    frame = spark.createDataFrame(rows, "id int, label int, v array<double>")
+    exact = cluster.silhouette(frame.where("v IS NOT NULL"), "v", "label").first()["score"]
+    bounds = []
+    for size in (60, 240):
+        got = cluster.silhouette_estimate(frame, "v", "label", ["id"], sample_rows=size, seed=size).first()
+        assert abs(got["score"] - exact) <= got["bound"] and size <= got["n_sampled"] <= size + 6 and got["n_rows"] == 600
+        bounds.append(got["bound"])
+    assert bounds[1] < bounds[0] / 1.9
+    whole = cluster.silhouette_estimate(frame, "v", "label", ["id"], sample_rows=10_000).first()
+    assert math.isclose(whole["score"], exact, rel_tol=1e-6) and whole["bound"] == 0.0
+    assert cluster.silhouette_estimate(frame.where("label = 1"), "v", "label", ["id"]).first()["score"] == 0.0

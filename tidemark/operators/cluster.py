@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from ..functions.vectors import complete, doubles
 from ..session import stored
 from . import balls
-from .ranking import running_sums
+from .ranking import join_summary, lowest_by_hash, running_sums
 
 # Distances of one vector (or rows of a matrix) to the rows of another matrix.
 MAX_CENTRES = 10_000
@@ -348,6 +348,13 @@ def _cosine_sums(df: DataFrame, vector: str, label: str) -> DataFrame:
     return units.select("label", to_clusters("u").alias("sums")).withColumn("names", F.array(*[F.lit(n) for n in names]))
 
 
+def _silhouette_value(a: Column, b: Column) -> Column:
+    """(b - a) / max(a, b) of the mean distances to the own and the nearest other cluster."""
+    return (
+        F.when((a == 0) & (b == 0), 0.0).when(b == 0, -1.0).when(a == 0, 1.0)
+        .otherwise((b - a) / F.greatest(a, b)))
+
+
 def silhouette(df: DataFrame, vector: str, label: str, distance: str = "euclidean") -> DataFrame:
     """Mean of (b - a) / max(a, b): `score` of one row.
 
@@ -391,14 +398,70 @@ def silhouette(df: DataFrame, vector: str, label: str, distance: str = "euclidea
             F.max(F.when(mine, F.col("size"))).alias("size"), F.max(F.when(mine, F.col("total"))).alias("own"),
             F.min(F.when(~mine, F.col("total") / F.col("size"))).alias("b"))
     a, b = F.col("a"), F.col("b")
-    value = (
-        F.when((a == 0) & (b == 0), 0.0).when(b == 0, -1.0).when(a == 0, 1.0)
-        .otherwise((b - a) / F.greatest(a, b)))
+    value = _silhouette_value(a, b)
     scored = points.where((F.col("size") > 1) & b.isNotNull()).withColumn("a", F.col("own") / (F.col("size") - 1))
     return scored.agg(F.coalesce(
         F.try_divide(F.sum(value * F.col("copies")), F.sum("copies").cast("double")), F.lit(0.0)).alias("score"))
 
 
+def silhouette_estimate(df: DataFrame, vector: str, label: str, id_columns: Sequence[str], sample_rows: int = 2_000,
+                        confidence: float = 0.999, seed: int = 0) -> DataFrame:
+    """The euclidean silhouette from a stratified sample: (score, bound, n_sampled, n_rows) of one row.
+
+    Every cluster gives its share of `sample_rows`, at least one row, by a hash of its id. A sampled
+    row's distances are taken to all rows, in one pass, so its value is exact; the score is the mean of
+    the clusters' means, weighted by their sizes. Values lie in [-1, 1], so by Hoeffding's inequality,
+    with Serfling's factor for draws without replacement, the exact score lies within `bound` with
+    the given confidence; a cluster that is sampled whole adds nothing to the bound. Rows alone in
+    their cluster and incomplete vectors are left out, as is everything if there is one cluster.
+    The sample and its sums, one number per sampled row and cluster, are all that leaves a task.
+    """
+    named = df.where(complete(vector)).select(F.col(label).cast("string").alias("label"), doubles(vector).alias("v"), *id_columns)
+    sizes = stored(named.groupBy("label").agg(F.count(F.lit(1)).alias("size")))
+    counted = sizes.where("size > 1")
+    n_rows = counted.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    share = F.ceil(F.lit(float(sample_rows)) * F.col("n") / F.lit(float(max(n_rows, 1))))
+    several = join_summary(named, counted, ["label"]).where(F.col("size").isNotNull())
+    flagged = lowest_by_hash(several, ["label"], id_columns, seed, F.least(share, F.col("n")), "chosen")
+    sample = flagged.where("chosen").select("label", "v").collect()
+    schema = "score double, bound double, n_sampled bigint, n_rows bigint"
+    if not sample or sizes.count() < 2:
+        return df.sparkSession.createDataFrame([(0.0, 0.0, len(sample), n_rows)], schema)
+    points = np.array([r["v"] for r in sample])
+    squares = (points ** 2).sum(axis=1)
+    types = pa.schema([("label", pa.string()), ("sums", pa.list_(pa.float64()))])
+
+    def distances(batches):
+        totals: dict = {}
+        for batch in batches:
+            names = batch.column(0).dictionary_encode()
+            rows, codes = _matrix(batch.column(1)), names.indices.to_numpy()
+            for at in range(0, len(rows), 1_000):
+                some, which = rows[at:at + 1_000], codes[at:at + 1_000]
+                away = np.sqrt(np.maximum((some ** 2).sum(axis=1)[:, None] + squares - 2 * some @ points.T, 0))
+                for code in np.unique(which).tolist():
+                    name = names.dictionary[code].as_py()
+                    totals[name] = totals.get(name, 0) + away[which == code].sum(axis=0)
+        if totals:
+            yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.string()), pa.array(list(totals.values()), types.field(1).type)], schema=types)
+
+    parts = named.select("label", "v").mapInArrow(distances, "label string, sums array<double>")
+    cells = parts.select(F.col("label").alias("other"), F.posexplode("sums").alias("place", "total")).groupBy("other", "place").agg(F.sum("total").alias("total"))
+    owners = df.sparkSession.createDataFrame([(k, r["label"]) for k, r in enumerate(sample)], "place int, label string")
+    met = cells.join(owners, "place").join(sizes.select(F.col("label").alias("other"), "size"), "other")
+    mine = F.col("other") == F.col("label")
+    values = met.groupBy("place", "label").agg(
+        F.max(F.when(mine, F.col("total") / (F.col("size") - 1))).alias("a"), F.min(F.when(~mine, F.col("total") / F.col("size"))).alias("b"))
+    strata = values.withColumn("value", _silhouette_value(F.col("a"), F.col("b"))).groupBy("label").agg(
+        F.avg("value").alias("mean"), F.count(F.lit(1)).alias("m")).join(sizes, "label")
+    weight = F.col("size") / F.lit(float(n_rows))
+    spread = F.lit(2.0 * math.log(2.0 / (1.0 - confidence))) * F.sum(
+        weight * weight / F.col("m") * F.when(F.col("m") == F.col("size"), 0.0).otherwise(1.0 - (F.col("m") - 1) / F.col("size")))
+    return strata.agg(
+        F.sum(weight * F.col("mean")).alias("score"), F.sqrt(spread).alias("bound"), F.sum("m").alias("n_sampled"),
+        F.lit(n_rows).cast("bigint").alias("n_rows"))
+
+
 def dunn_details(df: DataFrame, vector: str, label: str, distance: str = "euclidean") -> DataFrame:
     """One row: the Dunn `score`, the distances `closest` and `widest` that it divides, the number of
     `pairs` of distinct rows and how many were `compared`; blocks whose bounds can't matter are not.

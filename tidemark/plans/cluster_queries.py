@@ -105,6 +105,21 @@ def silhouette(spark, folder):
     return cluster.silhouette(_embeddings(spark, folder), "embedding", "label")
 
 
+@query("silhouette_estimate", f"""WITH {_pairs_sql('euclidean')}, s AS (SELECT label, count(*) AS size FROM embeddings GROUP BY 1),
+  m AS (SELECT size, least(size, CAST(ceil(200.0 * size / sum(size) OVER ()) AS BIGINT)) AS m,
+    CAST(size AS DOUBLE) / sum(size) OVER () AS w FROM s WHERE size > 1)
+  SELECT {_SILHOUETTE} AS exact, true AS within, sum(size)::BIGINT AS n_rows, sum(m)::BIGINT AS n_sampled,
+    sqrt(2 * ln(2 / 0.001) * sum(w * w / m * CASE WHEN m = size THEN 0 ELSE 1 - (m - 1) / CAST(size AS DOUBLE) END)) AS bound FROM m""",
+       six("exact", "bound"))
+def silhouette_estimate(spark, folder):
+    """The estimate from some 200 rows with its bound, and whether the exact score lies within."""
+    rows = _embeddings(spark, folder)
+    found = cluster.silhouette_estimate(rows, "embedding", "label", ["vec_id"], sample_rows=200, seed=3)
+    exact = cluster.silhouette(rows, "embedding", "label").select("score").scalar()
+    return found.withColumn("exact", exact).select(
+        "exact", (F.abs(F.col("score") - F.col("exact")) <= F.col("bound")).alias("within"), "n_rows", "n_sampled", "bound")
+
+
 @query("silhouette_cosine", f"WITH {_pairs_sql('cosine_dissimilarity')} SELECT {_SILHOUETTE} AS score", six("score"))
 def silhouette_cosine(spark, folder):
     return cluster.silhouette(_embeddings(spark, folder), "embedding", "label", "cosine_dissimilarity")
