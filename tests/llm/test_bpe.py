@@ -61,3 +61,16 @@ def test_whole_text_ids_are_the_library_s():
         if not 0xD800 <= point < 0xE000:
             text = f"a{chr(point)}b {chr(point)}!{chr(point)}1 <|endoftext|>{chr(point)}\n"
             assert encode(text) == library.encode(text, add_special_tokens=False).ids, hex(point)
+
+
+def test_split_of_latin_texts_agrees_on_every_code_point():
+    import re
+
+    library, byte, split = tokenizer.library(PATH), tokenizer.byte_characters(), bpe.splitter(PATH)
+    further, seen = re.compile(bpe.SIMPLE).search, 0
+    for point in range(0x250):
+        c = chr(point)
+        text = f"a{c}b {c}!{c}1{c}_{c}{c} {c}  {c}'s \n{c}"
+        seen += not further(text)
+        assert split(text) == [bytes(byte[x] for x in w).decode() for w, _ in library.pre_tokenizer.pre_tokenize_str(text)], hex(point)
+    assert seen > 500

@@ -21,40 +21,52 @@ string inside a text becomes that token; ids may be NULL or repeat, each row kee
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import tokenizer
+from tidemark.llm.common import pack_numbers, unpack_numbers
 from tidemark.session import stored
 
 # Characters of a block: bounds what one task holds of texts' words.
 BLOCK_CHARS = 32_000_000
-# Documents of one row of numbers.
-CHUNK_DOCS = 512
-# Code points on which the `regex` module's classes agree with the library's (tested one by one).
+# Documents and characters of one row of numbers.
+CHUNK_DOCS, CHUNK_CHARS = 512, 1_000_000
+# Bytes of text for each bucket of words: bounds the table of distinct words that a task holds.
+BUCKET_BYTES = 64_000_000
+# Code points on which the `regex` module's classes agree with the library's, and those on which the
+# `re` module's agree too, where a letter is a word character but no digit or low line (tested one by one).
 AGREED = r"[^\u0000-\u052F\u2000-\u2064\u20A0-\u20BF\u2100-\u214F]"
+SIMPLE = r"[^\x00-\x1B\x20-\x7E\u00C0-\u024F]"
 
 
 def splitter(path: str):
     """A function from a text to its words, the same as the library's pre-tokens.
 
-    Texts with characters outside the agreed ranges are split by the library itself.
+    Texts of Latin letters are split by `re`, which is the fastest; those with characters outside
+    the agreed ranges by the library itself.
     """
     import public_tokenizers
     import regex
 
-    library = tokenizer.library(path)
-    find, other = regex.compile(public_tokenizers.PATTERN).findall, regex.compile(AGREED).search
+    library, pattern = tokenizer.library(path), public_tokenizers.PATTERN
+    find, other, further = regex.compile(pattern).findall, regex.compile(AGREED).search, re.compile(SIMPLE).search
+    simple = pattern.replace(r"[^\s\p{L}\p{N}]", r"(?:[^\s\w]|_)").replace(r"\p{L}", r"[^\W\d_]").replace(r"\p{N}", r"\d")
+    find_simple = find if r"\p" in simple else re.compile(simple).findall
     specials = [x.content for x in library.get_added_tokens_decoder().values()]
     cut = regex.compile("(" + "|".join(map(regex.escape, specials)) + ")").split if specials else lambda t: [t]
     byte = tokenizer.byte_characters()
 
     def ordinary(text: str) -> list[str]:
+        if not further(text):
+            return find_simple(text)
         if not other(text):
             return find(text)
         return [bytes(byte[c] for c in w).decode() for w, _ in library.pre_tokenizer.pre_tokenize_str(text)]
@@ -67,51 +79,59 @@ def splitter(path: str):
     return split
 
 
-def _planes(numbers: np.ndarray) -> bytes:
-    """Numbers as three byte planes, compressed: most words have small numbers."""
-    import zstandard
-
-    low = numbers.astype("<u4").view(np.uint8).reshape(-1, 4)
-    return zstandard.compress(b"".join(np.ascontiguousarray(low[:, k]).tobytes() for k in range(4)), 3)
-
-
-def _unplaned(data: bytes) -> np.ndarray:
-    import zstandard
-
-    planes = np.frombuffer(zstandard.decompress(data), dtype=np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
-
-
 def _numbered(path: str, emit, block_chars: int):
-    """A task over (id, text): numbers the words block by block and hands each block to `emit`."""
+    """A task over (id, text): numbers the words block by block in the order they come.
 
-    class Numbers(dict):
-        def __missing__(self, word):
-            self[word] = number = len(self)
-            return number
+    `emit` gets the block, its distinct words as a binary array, and its chunks: keys, counts of
+    words and their numbers by position.
+    """
 
     def run(batches):
         split, part, serial = splitter(path), TaskContext.get().partitionId(), 0
-        numbers, chars, docs = Numbers(), 0, []
+        held, keys, counts, found, chars, fresh = [], [], [], [], 0, 0
+
+        def close():
+            held.append((keys.copy(), counts.copy(), pa.array(found, pa.string()).cast(pa.binary())))
+            for x in (keys, counts, found):
+                x.clear()
+
+        def flush():
+            numbered = pa.concat_arrays([w for *_, w in held]).dictionary_encode()
+            ends = np.cumsum([len(w) for *_, w in held])
+            chunks = [(k, c, n) for (k, c, _), n in zip(held, np.split(numbered.indices.to_numpy(), ends[:-1]))]
+            yield from emit(part << 32 | serial, numbered.dictionary, chunks)
+
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = list(map(numbers.__getitem__, split(text or "")))
-                docs.append((key, np.array(found, dtype=np.uint32)))
-                chars += len(text or "")
-                full = chars >= block_chars
-                if len(docs) >= CHUNK_DOCS or full:
-                    yield from emit(part << 32 | serial, numbers, docs, full)
-                    docs = []
-                if full:
-                    numbers, chars, serial = Numbers(), 0, serial + 1
-        if chars or docs:
-            yield from emit(part << 32 | serial, numbers, docs, True)
+                own = split(text or "")
+                keys.append(key)
+                counts.append(len(own))
+                found += own
+                fresh += len(text or "")
+                if len(keys) >= CHUNK_DOCS or fresh >= CHUNK_CHARS or chars + fresh >= block_chars:
+                    close()
+                    chars, fresh = chars + fresh, 0
+                if chars >= block_chars:
+                    yield from flush()
+                    held, chars, serial = [], 0, serial + 1
+        if keys:
+            close()
+        if held:
+            yield from flush()
 
     return run
 
 
-def _checksum(numbers) -> int:
-    return zlib.crc32("\0".join(numbers).encode())
+def _octets(array) -> tuple[np.ndarray, memoryview]:
+    """The offsets and the data of a binary array."""
+    width = np.int64 if pa.types.is_large_binary(array.type) else np.int32
+    offsets = np.frombuffer(array.buffers()[1], dtype=width)[array.offset:array.offset + len(array) + 1]
+    return offsets.astype(np.int64), memoryview(array.buffers()[2] or b"").cast("B")
+
+
+def _checksum(words) -> int:
+    offsets, data = _octets(words)
+    return zlib.crc32(data[offsets[0]:offsets[-1]], zlib.crc32(np.diff(offsets).tobytes()))
 
 
 def word_pages(docs: DataFrame, path: str, buckets: int, block_chars: int) -> DataFrame:
@@ -124,25 +144,22 @@ def word_pages(docs: DataFrame, path: str, buckets: int, block_chars: int) -> Da
         ("sizes", pa.binary()), ("words", pa.binary()),
     ])
 
-    def emit(block, numbers, _, full):
+    def emit(block, words, _):
         import zstandard
 
-        if full:
-            shares = [[] for _ in range(buckets)]
-            for word in numbers:
-                shares[zlib.crc32(word.encode()) % buckets].append(word)
-            check = _checksum(numbers)
-            for bucket, share in enumerate(shares):
-                if share:
-                    # In order of their numbers, whose steps are small.
-                    places = np.fromiter(map(numbers.__getitem__, share), dtype=np.uint32, count=len(share))
-                    octets = [w.encode() for w in share]
-                    yield pa.RecordBatch.from_pylist([{
-                        "block": block, "bucket": bucket, "checksum": check,
-                        "numbers": _planes(np.diff(places, prepend=np.uint32(0))),
-                        "sizes": _planes(np.fromiter(map(len, octets), dtype=np.uint32, count=len(octets))),
-                        "words": zstandard.compress(b"".join(octets), 3),
-                    }], schema)
+        check = _checksum(words)
+        share = pd.util.hash_array(np.array(words.to_pylist(), dtype=object), categorize=False) % np.uint64(buckets)
+        # Within a bucket in order of their numbers, whose steps are small.
+        order = np.argsort(share, kind="stable")
+        offsets, data = _octets(words.take(pa.array(order)))
+        share = share[order]
+        begins = np.flatnonzero(np.concatenate([[True], share[1:] != share[:-1]])) if len(share) else []
+        for i, j in zip(begins, [*begins[1:], len(share)]):
+            yield pa.RecordBatch.from_pylist([{
+                "block": block, "bucket": int(share[i]), "checksum": check,
+                "numbers": pack_numbers(np.diff(order[i:j], prepend=0)), "sizes": pack_numbers(np.diff(offsets[i:j + 1])),
+                "words": zstandard.compress(data[offsets[i]:offsets[j]], 3),
+            }], schema)
 
     return docs.mapInArrow(
         _numbered(path, emit, block_chars),
@@ -157,12 +174,12 @@ def text_numbers(docs: DataFrame, path: str, block_chars: int) -> DataFrame:
         ("counts", pa.list_(pa.int32())), ("numbers", pa.binary()),
     ])
 
-    def emit(block, numbers, docs, full):
-        yield pa.RecordBatch.from_pylist([{
-            "block": block, "checksum": _checksum(numbers) if full else None, "keys": [k for k, _ in docs],
-            "counts": [len(n) for _, n in docs],
-            "numbers": _planes(np.concatenate([n for _, n in docs] or [np.empty(0, np.uint32)])),
-        }], schema)
+    def emit(block, words, chunks):
+        for place, (keys, counts, numbers) in enumerate(chunks):
+            yield pa.RecordBatch.from_pylist([{
+                "block": block, "checksum": _checksum(words) if place == 0 else None, "keys": keys, "counts": counts,
+                "numbers": pack_numbers(numbers),
+            }], schema)
 
     return docs.mapInArrow(
         _numbered(path, emit, block_chars),
@@ -185,26 +202,25 @@ def encoded_words(pages: DataFrame, path: str) -> DataFrame:
     def encode(batches):
         import zstandard
 
-        library, bucket, known = tokenizer.library(path), None, {}
+        whole = tokenizer.whole_texts(path)
+
+        class Known(dict):
+            def __missing__(self, word):
+                self[word] = found = np.array(whole(word.decode()), dtype="<u4").tobytes()
+                return found
+
+        bucket, known = None, Known()
         for batch in batches:
             for page in batch.to_pylist():
                 if page["bucket"] != bucket:
-                    bucket, known = page["bucket"], {}
-                words, blob, at = [], zstandard.decompress(page["words"]), 0
-                for size in _unplaned(page["sizes"]).tolist():
-                    words.append(blob[at:at + size].decode())
-                    at += size
-                fresh = [w for w in words if w not in known]
-                for at in range(0, len(fresh), 4096):
-                    some = fresh[at:at + 4096]
-                    for word, found in zip(some, library.encode_batch_fast(some, add_special_tokens=False)):
-                        known[word] = np.array(found.ids, dtype="<u4").tobytes()
-                found = [known[w] for w in words]
+                    bucket, known = page["bucket"], Known()
+                data, ends = zstandard.decompress(page["words"]), np.cumsum(unpack_numbers(page["sizes"])).tolist()
+                found = [known[data[i:j]] for i, j in zip([0, *ends], ends)]
                 ids = np.frombuffer(b"".join(found), dtype="<u4")
                 yield pa.RecordBatch.from_pylist([{
                     "block": page["block"], "checksum": page["checksum"], "numbers": page["numbers"],
-                    "counts": _planes(np.array([len(x) // 4 for x in found], dtype=np.uint32)), "ids": _planes(ids),
-                    "used": sum(1 << k for k in np.unique(ids // width).tolist()),
+                    "counts": pack_numbers(np.fromiter(map(len, found), dtype=np.uint32, count=len(found)) // 4),
+                    "ids": pack_numbers(ids), "used": sum(1 << k for k in np.unique(ids // width).tolist()),
                 }], schema)
 
     together = pages.repartition("bucket").sortWithinPartitions("bucket", "block")
@@ -237,55 +253,64 @@ def block_pieces(words: DataFrame, path: str) -> DataFrame:
     return needed.select("block", F.explode(bits).alias("page")).join(F.broadcast(table), "page").select("block", "pieces")
 
 
+def _by_word(pieces: list[bytes], ids: np.ndarray, ends: np.ndarray):
+    """A binary array with a row per word: the pieces of its ids, one after another."""
+    flat = pa.array(pieces, pa.large_binary()).take(pa.array(ids))
+    offsets, _ = _octets(flat)
+    bounds = np.ascontiguousarray(offsets[np.concatenate([[0], ends])])
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(bounds), flat.buffers()[2] or pa.py_buffer(b"")])
+
+
 def _assemble(digests: bool, schema: pa.Schema):
     """Join ids and pieces to the texts of one block by position."""
 
-    def rows(left, right):
-        words, piece, checks = [], {}, set()
+    def join(left: pa.Table, right: pa.Table) -> pa.Table:
+        pages, piece, checks = [], {}, set()
         for row in right.to_pylist():
             if row["pieces"] is None:
                 checks.add(row["checksum"])
-                words.append(row)
+                pages.append([unpack_numbers(row[c]) for c in ("numbers", "counts", "ids")])
             else:
                 piece |= {x["id"]: x["piece"] for x in row["pieces"]}
-        for page in words:
-            page["numbers"] = np.cumsum(_unplaned(page["numbers"]), dtype=np.uint32)
-        size = sum(len(w["numbers"]) for w in words)
-        shown, back, counts = [None] * size, [None] * size, np.zeros(size, dtype=np.int64)
-        raw = [None] * size
-        text = {i: b"%d," % i for i in piece}
-        for page in words:
-            places, each = page["numbers"].tolist(), _unplaned(page["counts"])
-            counts[places] = each
-            ids, at = _unplaned(page["ids"]).tolist(), 0
-            for place, n in zip(places, each.tolist()):
-                own = ids[at:at + n]
-                at += n
-                shown[place] = b"".join([text[i] for i in own])
-                back[place] = b"".join([piece[i] for i in own])
-                raw[place] = own
         left = left.to_pylist()
         wrong = {x["checksum"] for x in left if x["checksum"] is not None} ^ checks
-        if wrong and size:
+        if wrong and pages:
             raise ValueError("the source gave other texts when it was read again")
+        # Ids of all words, first in the order of the pages, then in that of the words' numbers.
+        none = np.empty(0, np.int64)
+        places = np.concatenate([none, *(np.cumsum(n, dtype=np.int64) for n, _, _ in pages)])
+        each = np.concatenate([none, *(c for _, c, _ in pages)]).astype(np.int64)
+        ids = np.concatenate([none, *(i for *_, i in pages)]).astype(np.int64)
+        order = np.argsort(places)
+        sizes = each[order]
+        ends = np.cumsum(sizes)
+        ids = ids[np.arange(len(ids)) + np.repeat((np.cumsum(each) - each)[order] - (ends - sizes), sizes)]
+        known = np.array(sorted(piece), dtype=np.int64)
+        rows = np.searchsorted(known, ids)
+        back = _by_word([piece[i] for i in known.tolist()], rows, ends)
+        listed = _by_word([b"%d," % i for i in known.tolist()], rows, ends) if digests else None
+        out = []
         for chunk in left:
-            numbers, at = _unplaned(chunk["numbers"]), 0
-            for key, n in zip(chunk["keys"], chunk["counts"]):
-                own = numbers[at:at + n]
-                at += n
-                places = own.tolist()
-                decoded = b"".join(map(back.__getitem__, places)).decode("utf-8", "replace")
-                if digests:
-                    listed = b"".join(map(shown.__getitem__, places))[:-1]
-                    yield {
-                        "key": key, "n_tokens": int(counts[own].sum()), "ids_sha256": hashlib.sha256(listed).hexdigest(),
-                        "decoded_sha256": hashlib.sha256(decoded.encode()).hexdigest(),
-                    }
-                else:
-                    yield {"key": key, "ids": [i for p in places for i in raw[p]], "decoded": decoded}
-
-    def join(left: pa.Table, right: pa.Table) -> pa.Table:
-        return pa.Table.from_pylist(list(rows(left, right)), schema)
+            numbers = unpack_numbers(chunk["numbers"]).astype(np.int64)
+            bounds = np.cumsum(np.concatenate([[0], chunk["counts"]]).astype(np.int64))
+            tokens = np.concatenate([[0], np.cumsum(sizes[numbers])])[bounds]
+            at, data = _octets(back.take(pa.array(numbers)))
+            at = at[bounds].tolist()
+            # Bytes that are no UTF-8 become the replacement character.
+            decoded = [bytes(data[i:j]).decode("utf-8", "replace") for i, j in zip(at, at[1:])]
+            if digests:
+                at, data = _octets(listed.take(pa.array(numbers)))
+                at = at[bounds].tolist()
+                columns = [
+                    np.diff(tokens), [hashlib.sha256(data[i:max(i, j - 1)]).hexdigest() for i, j in zip(at, at[1:])],
+                    [hashlib.sha256(d.encode()).hexdigest() for d in decoded],
+                ]
+            else:
+                own, begin = sizes[numbers], (ends - sizes)[numbers]
+                flat = ids[np.arange(tokens[-1]) + np.repeat(begin - (np.cumsum(own) - own), own)]
+                columns = [[flat[i:j] for i, j in zip(tokens, tokens[1:])], decoded]
+            out.append(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip([chunk["keys"], *columns], schema)], schema=schema))
+        return pa.concat_tables(out) if out else schema.empty_table()
 
     return join
 
@@ -296,13 +321,16 @@ def encode_decode(
 ) -> DataFrame:
     """(id, ids, decoded) of every row, or with `digests` (id, n_tokens, ids_sha256, decoded_sha256).
 
-    `buckets` divides the distinct words; by default four for each shuffle partition.
+    `buckets` divides the distinct words; by default one for each 64 MB of text, and at least four for
+    each shuffle partition.
     """
     path = path or tokenizer.default_path()
     spark = docs.sparkSession
-    buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = docs.schema[id_column].dataType.simpleString()
     source = docs.select(F.col(f"`{id_column}`").cast("string").alias("key"), F.col(f"`{text}`").alias("text"))
+    if not buckets:
+        size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     words = stored(encoded_words(word_pages(source, path, buckets, block_chars), path))
     nothing = F.lit(None)
     right = words.select("block", "checksum", "numbers", "counts", "ids").withColumn(
