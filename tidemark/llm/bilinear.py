@@ -44,7 +44,7 @@ from tidemark.llm.common import pack_numbers, unpack_numbers
 from tidemark.session import scratch_path, stored
 
 CLASSES, ENDINGS, WIDTH = 1024, 256, 16
-NOISE, BATCH, ROUNDS, RATE = 32, 512, 2, 0.2
+NOISE, BATCH, ROUNDS, RATE = 32, 1024, 2, 0.2
 # What a word's count is raised by, as in the base score.
 SMOOTHING = 0.1
 # Characters of a block and of the texts of one row.
@@ -93,11 +93,18 @@ def first_parameters(frequency: np.ndarray, width: int = WIDTH) -> Parameters:
 
 
 def _by_row(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct indices and the sums of their rows."""
+    """Distinct indices and the sums of their rows, as differences of running sums over the sorted rows."""
     order = np.argsort(index, kind="stable")
-    found = index[order]
-    starts = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
-    return found[starts], np.add.reduceat(values[order], starts, axis=0)
+    found = index.take(order)
+    ends = np.flatnonzero(np.concatenate([found[1:] != found[:-1], [True]]))
+    sums = np.cumsum(values.take(order, axis=0), axis=0).take(ends, axis=0)
+    sums[1:] -= sums[:-1].copy()
+    return found.take(ends), sums
+
+
+def _chance(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(-x)), which doesn't overflow."""
+    return 0.5 + 0.5 * np.tanh(0.5 * x)
 
 
 class Trainer:
@@ -113,28 +120,39 @@ class Trainer:
 
     def _move(self, name: str, index, gradient) -> None:
         past, value = getattr(self.past, name), getattr(self.p, name)
-        past[index] += gradient * gradient
-        value[index] -= self.rate * gradient / np.sqrt(past[index])
+        if index is ...:
+            past += gradient * gradient
+            value -= self.rate * gradient / np.sqrt(past)
+            return
+        rows = past.take(index, axis=0)
+        rows += gradient * gradient
+        past[index] = rows
+        np.sqrt(rows, out=rows)
+        np.divide(gradient, rows, out=rows)
+        rows *= self.rate
+        value[index] = value.take(index, axis=0) - rows
 
     def step(self, near: np.ndarray, far: np.ndarray, after: np.ndarray) -> None:
         """One minibatch: the classes before and the class that follows."""
         p, n = self.p, np.float32(1 / len(after))
-        drawn = np.minimum(np.searchsorted(self.cumulated, self.rng.random(self.noise) * self.cumulated[-1]), len(p.bias) - 1)
-        a, b, out, wrong = p.inner[near], p.inner[far], p.outer[after], p.outer[drawn]
+        drawn = np.searchsorted(self.cumulated, self.rng.random(self.noise) * self.cumulated[-1])
+        drawn = np.minimum(drawn, len(p.bias) - 1).astype(after.dtype)
+        a, b = p.inner.take(near, axis=0), p.inner.take(far, axis=0)
+        out, wrong = p.outer.take(after, axis=0), p.outer.take(drawn, axis=0)
         context = a @ p.near + b @ p.far
         # Probability that the true class is noise, and that each noise class is true.
-        right = np.einsum("ij,ij->i", context, out) + p.bias[after] - self.offset[after]
-        false = context @ wrong.T + (p.bias[drawn] - self.offset[drawn])
-        up = -n / (1 + np.exp(np.clip(right, -30, 30)))
-        down = n / (1 + np.exp(-np.clip(false, -30, 30)))
+        right = np.einsum("ij,ij->i", context, out) + (p.bias - self.offset).take(after)
+        false = context @ wrong.T + (p.bias - self.offset).take(drawn)
+        up, down = -n * _chance(-right), n * _chance(false)
         back = up[:, None] * out + down @ wrong
         moves = [
             ("near", ..., a.T @ back), ("far", ..., b.T @ back),
             ("inner", *_by_row(np.concatenate([near, far]), np.concatenate([back @ p.near.T, back @ p.far.T]))),
         ]
-        index = np.concatenate([after, drawn])
-        both = np.concatenate([np.column_stack([up[:, None] * context, up]), np.column_stack([down.T @ context, down.sum(axis=0)])])
-        index, sums = _by_row(index, both)
+        both = np.empty((len(after) + len(drawn), context.shape[1] + 1), dtype=context.dtype)
+        both[:len(after), :-1], both[:len(after), -1] = up[:, None] * context, up
+        both[len(after):, :-1], both[len(after):, -1] = down.T @ context, down.sum(axis=0)
+        index, sums = _by_row(np.concatenate([after, drawn]), both)
         moves += [("outer", index, sums[:, :-1]), ("bias", index, sums[:, -1])]
         for move in moves:
             self._move(*move)
@@ -143,6 +161,8 @@ class Trainer:
         """All tokens once, in random order."""
         order = self.rng.permutation(len(after))
         self.seen += len(after)
+        # Small numbers sort faster.
+        near, far, after = (x.astype(np.uint16 if len(self.p.bias) <= 65_536 else np.int64) for x in (near, far, after))
         for at in range(0, len(order), batch):
             some = order[at:at + batch]
             self.step(near[some], far[some], after[some])
