@@ -260,3 +260,21 @@ def test_scalers_invert(spark):
     forward = scaling.minmax_by_group(df, ["k"], "v", "s")
     assert sorted(r["s"] for r in forward.collect()) == [0.0, 0.0, 1.0]
     assert all(r["v"] == r["back"] for r in scaling.minmax_inverse(forward, "s", "back").collect())
+
+
+def test_order_keys_follow_the_bits_of_doubles(spark):
+    import random
+    import struct
+
+    from tidemark.operators.quantiles import with_order_key
+
+    rng = random.Random(3)
+    bits = [rng.getrandbits(64) for _ in range(3000)] + [0, 1, 2, (1 << 52) - 1, 1 << 52, (1 << 52) + 1, 0x7FEFFFFFFFFFFFFF, 0x7FF0000000000000]
+    bits += [e << 52 | m for e in range(0, 2047, 7) for m in (0, 1, (1 << 52) - 1)]
+    values = [struct.unpack("<d", struct.pack("<Q", b))[0] for b in bits]
+    values += [-v for v in values] + [0.1, 1 / 3, -0.0, 1e300]
+    values = [v for v in values if v == v]
+    rows = with_order_key(spark.createDataFrame([(v,) for v in values], "v double"), "v", "k").collect()
+    for r in rows:
+        size = struct.unpack("<q", struct.pack("<d", abs(r["v"])))[0]
+        assert r["k"] == (-size if r["v"] < 0 else size), r["v"]

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from ..functions.columns import finite
 from .quantiles import quantiles
-from .ranking import fits_one_task, join_on
+from ..session import stored
+from .ranking import join_on
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -40,6 +41,27 @@ def value_counts(cells: DataFrame, keys: Sequence[str] = ("column", "value")) ->
     return cells.where(F.col("value").isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_value"))
 
 
+def _listed(counts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The counts, with a row that counts nothing for each column, so that none is missing."""
+    names = F.array(*map(F.lit, columns))
+    value = counts.schema["value"].dataType
+    empty = counts.sparkSession.range(1).select(
+        F.explode(names).alias("column"), F.lit(None).cast(value).alias("value"), F.lit(0).cast("long").alias("n_value"))
+    return counts.unionByName(empty)
+
+
+def _weighted_moments(counts: DataFrame) -> DataFrame:
+    """(column, n, mean, min, max, m2, m3, m4): sizes and sums of powers of the distances to the mean,
+    from stored counts of values."""
+    v, w = F.col("value"), F.col("n_value")
+    first = counts.groupBy("column").agg(
+        F.sum(w).alias("n"), F.try_divide(F.sum(v * w), F.sum(w).cast("double")).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"))
+    away = v - F.col("mean")
+    powers = counts.join(F.broadcast(first.select("column", "mean")), "column").groupBy("column").agg(
+        *[F.sum(w * F.pow(away, F.lit(float(k)))).alias(f"m{k}") for k in (2, 3, 4)])
+    return first.join(powers, "column")
+
+
 def _with_modes(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Cardinality and highest count per column, and the values reaching it."""
     top = counts.groupBy("column").agg(
@@ -86,15 +108,13 @@ def describe(df: DataFrame, missing_values: Sequence = (), columns: Sequence[str
     texts = texts + others
     parts = []
     if numbers:
-        cells = unpivoted(df, numbers)
-        fits = fits_one_task(df, [])  # no column holds more cells than the table rows
-        v = F.col("value")
-        stats = cells.groupBy("column").agg(
-            F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-            F.min(v).alias("min"), F.max(v).alias("max"), F.skewness(v).alias("__skew"))
-        top, modes = _with_modes(value_counts(cells))
-        quart = quantiles(cells, "value", [0.25, 0.5, 0.75], ["column"], fits).select("column", F.col("q").alias("__q"))
-        middle = quantiles(modes, "value", [0.5], ["column"], fits).select("column", F.col("q")[0].alias("mode"))
+        counts = _listed(stored(value_counts(unpivoted(df, numbers))), numbers)
+        stats = _weighted_moments(counts).select(
+            "column", F.col("n").alias("count"), "mean", F.sqrt(F.try_divide(F.col("m2"), F.col("n") - 1)).alias("std"),
+            "min", "max", F.try_divide(F.sqrt("n") * F.col("m3"), F.pow("m2", F.lit(1.5))).alias("__skew"))
+        top, modes = _with_modes(counts.where("value IS NOT NULL"))
+        quart = quantiles(counts, "value", [0.25, 0.5, 0.75], ["column"], "n_value").select("column", F.col("q").alias("__q"))
+        middle = quantiles(modes, "value", [0.5], ["column"]).select("column", F.col("q")[0].alias("mode"))
         both = stats.join(top, "column", "left").join(quart, "column", "left").join(middle, "column", "left")
         parts.append(both.select(
             "column", "count", "mean", "std", "min", F.col("__q")[0].alias("q25"), F.col("__q")[1].alias("q50"),
@@ -102,9 +122,9 @@ def describe(df: DataFrame, missing_values: Sequence = (), columns: Sequence[str
             F.when(F.col("cardinality") > 1, F.col("__skew")).alias("skew"),
             F.coalesce("cardinality", F.lit(0)).alias("cardinality")))
     if texts:
-        cells = unpivoted(df, texts, cast="string")
-        stats = cells.groupBy("column").agg(F.count("value").alias("count"))
-        top, modes = _with_modes(value_counts(cells))
+        counts = _listed(stored(value_counts(unpivoted(df, texts, cast="string"))), texts)
+        stats = counts.groupBy("column").agg(F.sum("n_value").alias("count"))
+        top, modes = _with_modes(counts.where("value IS NOT NULL"))
         smallest = modes.groupBy("column").agg(F.min("value").alias("mode_text"))
         both = stats.join(top, "column", "left").join(smallest, "column", "left")
         none = F.lit(None).cast("double")
@@ -118,14 +138,14 @@ def describe(df: DataFrame, missing_values: Sequence = (), columns: Sequence[str
 def moments(df: DataFrame, columns: Sequence[str], ddof: int = 0) -> DataFrame:
     """One row per column: n, mean, median, mode (smallest) and its count, sdev, and the
     bias-corrected skew and kurtosis."""
-    cells = unpivoted(df, columns)
-    v, n = F.col("value"), F.col("n")
-    stats = cells.groupBy("column").agg(
-        F.count(v).alias("n"), F.avg(v).alias("mean"), F.var_pop(v).alias("__var"),
-        F.skewness(v).alias("__g1"), F.kurtosis(v).alias("__g2"))
-    top, modes = _with_modes(value_counts(cells))
+    counts, n = stored(value_counts(unpivoted(df, columns))), F.col("n")
+    stats = _weighted_moments(counts).select(
+        "column", "n", "mean", (F.col("m2") / n).alias("__var"),
+        F.try_divide(F.sqrt("n") * F.col("m3"), F.pow("m2", F.lit(1.5))).alias("__g1"),
+        (F.try_divide(n * F.col("m4"), F.col("m2") * F.col("m2")) - 3).alias("__g2"))
+    top, modes = _with_modes(counts)
     smallest = modes.groupBy("column").agg(F.min("value").alias("mode"))
-    middle = quantiles(cells, "value", [0.5], ["column"], fits_one_task(df, [])).select(
+    middle = quantiles(counts, "value", [0.5], ["column"], "n_value").select(
         "column", F.col("q")[0].alias("median"))
     sdev = F.sqrt(F.try_divide(F.col("__var") * n, n - ddof))
     skew = F.col("__g1") * F.try_divide(F.sqrt(n * (n - 1)), n - 2)
@@ -139,7 +159,7 @@ def moments(df: DataFrame, columns: Sequence[str], ddof: int = 0) -> DataFrame:
 
 def iqr(df: DataFrame, columns: Sequence[str], span: tuple[float, float] = (0.25, 0.75)) -> DataFrame:
     """Distance between two quantiles of each column; `span` in fractions."""
-    q = quantiles(unpivoted(df, columns), "value", list(span), ["column"], fits_one_task(df, []))
+    q = quantiles(unpivoted(df, columns), "value", list(span), ["column"])
     return q.select("column", (F.col("q")[1] - F.col("q")[0]).alias("iqr"))
 
 

@@ -1,127 +1,117 @@
-"""Exact interpolated quantiles of groups of any size."""
+"""Exact interpolated quantiles of groups of any size, by radix selection."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import finite
 from ..session import stored
-from .ranking import fits_one_task, join_on
+from .attach import BROADCAST_ROWS
+from .ranking import join_on
 
-# The sketch brackets each quantile within a few times 1/ACCURACY of its rank.
-ACCURACY = 10_000
-SLICES = 1_000
+# Bits of a double that the rounds of counting fix: first sign, exponent and twelve of the fraction,
+# of which real columns use few values, then the rest.
+ROUND_BITS = (24, 20, 20)
+# The bits of a double's fraction, its exponent's bias and the exponent of infinity.
+FRACTION_BITS, BIAS, INFINITE = 52, 1023, 2047
 
 
-def quantiles(df: DataFrame, value: Column | str, probabilities: Sequence[float],
-              by: Sequence[str] = (), fits: bool | None = None) -> DataFrame:
+def with_order_key(df: DataFrame, value: str, name: str) -> DataFrame:
+    """Add a long that orders like the double `value`: the bits of its size, negated below zero.
+
+    The exponent is the floor of the binary logarithm; where its rounding misses it by one, the
+    quotient by the power of two lies outside [1, 2) and sets it right. The other steps are exact.
+    NULL stays NULL; -0.0 and 0.0 are one value. The steps are columns of their own, so that none is
+    computed twice.
+    """
+    size, guess, ratio = (F.col(c) for c in ("__size", "__guess", "__ratio"))
+    # Below the smallest normal number the fraction has no leading one and the exponent is 0.
+    tiny = (size * F.lit(2.0 ** 537) * F.lit(2.0 ** 537)).cast("long")
+    odd = F.when(size < F.lit(2.0 ** (1 - BIAS)), tiny).otherwise(F.lit(INFINITE << FRACTION_BITS))
+    # One more in the fraction's place of a leading one carries into the exponent.
+    fraction = F.when(ratio >= 2.0, ratio * 0.5).when(ratio < 1.0, ratio * 2.0 - 1.0).otherwise(ratio - 1.0)
+    shift = F.when(ratio < 1.0, BIAS - 1).otherwise(BIAS)
+    normal = F.shiftleft((guess + shift).cast("long"), FRACTION_BITS) + (fraction * F.lit(2.0 ** FRACTION_BITS)).cast("long")
+    bits = F.when((size >= F.lit(2.0 ** (1 - BIAS))) & (size < float("inf")), normal).otherwise(odd)
+    v = F.col(value)
+    steps = df.withColumn("__size", F.abs(v)).withColumn(
+        "__guess", F.least(F.greatest(F.floor(F.log2(size)), F.lit(1 - BIAS)), F.lit(BIAS)).cast("double")
+    ).withColumn("__ratio", size / F.pow(F.lit(2.0), guess)).withColumn("__bits", bits)
+    return steps.withColumn(name, F.when(v < 0, -F.col("__bits")).otherwise(F.col("__bits"))).drop("__size", "__guess", "__ratio", "__bits")
+
+
+def quantiles(df: DataFrame, value: Column | str, probabilities: Sequence[float], by: Sequence[str] = (),
+              weight: Column | str | None = None) -> DataFrame:
     """One row per group: `by`, row count `n` and array `q`, one entry per probability.
 
-    The result is the linear interpolation between the two nearest ranks.
-    NULL and NaN are ignored; a group without values has no row. Without `by`
-    there is one row (if there is any value).
+    The result is the linear interpolation between the two nearest ranks. NULL and NaN are
+    ignored; a group without values has no row. Without `by` there is one row (if there is any
+    value). With `weight` a row counts that often.
 
-    Groups that fit one task are counted per distinct value and ranked by one
-    window. Otherwise a mergeable sketch gives a narrow bracket around each
-    rank, one pass counts the values below and inside the brackets, and the
-    exact ranks are read off inside a thin slice of a bracket. A caller that
-    knows a bound on the group sizes passes `fits` and saves the count.
+    Each of three rounds counts the next bits of the values' order-preserving bits, for all rows in
+    the first round and then only for those that share the leading bits of a wanted rank; the counts
+    combine before they move, and the digit in which a rank falls is read from running sums over the
+    digits that occur. Nothing is sorted, sampled or held; skew and size don't matter.
     """
-    rows = df.select(*by, finite(value).alias("__v")).where(F.col("__v").isNotNull())
-    probabilities, by = list(probabilities), list(by)
-    if fits is None:
-        fits = fits_one_task(rows, by)
-    if not fits:
-        return _bracketed(rows, probabilities, by)
-    counts = rows.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__c"))
-    group = Window.partitionBy(*by)
-    so_far = group.orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counts.withColumn("__until", F.sum("__c").over(so_far)).withColumn("n", F.sum("__c").over(group))
-    return _at_ranks(ranked, probabilities, by)
-
-
-def _any(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
-
-
-def _bracketed(rows: DataFrame, probabilities: list[float], by: list[str]) -> DataFrame:
-    margin = 4.0 / ACCURACY
-    edges = [e for p in sorted(probabilities) for e in (max(0.0, p - margin), min(1.0, p + margin))]
-    # In a small group the margin is less than a rank, so there the bracket is the whole range.
-    ends = F.array(*[F.min("__v"), F.max("__v")] * len(probabilities))
-    narrow = F.count(F.lit(1)) > 10 * ACCURACY
-    sketch = rows.groupBy(*by).agg(
-        F.when(narrow, F.percentile_approx("__v", edges, ACCURACY)).otherwise(ends).alias("__e"))
-    # The same edges must be seen by every later pass, so they are fixed first.
-    if by:
-        rows = join_on(rows, stored(sketch), by)
-        edge = [F.col("__e")[i] for i in range(len(edges))]
-    else:
-        edge = [F.lit(e) for e in sketch.first()[0]]
-    v = F.col("__v")
-    lows, highs = edge[0::2], edge[1::2]
-    # cell: how many edges lie below the value, a number that grows with it
-    cell = reduce(lambda a, b: a + b, [(v >= lo).cast("int") + (v > hi).cast("int") for lo, hi in zip(lows, highs)])
-    inside = [(v >= lo) & (v <= hi) for lo, hi in zip(lows, highs)]
-    within = reduce(
-        lambda rest, part: F.when(part[0], _slice_of(v, part[1], part[2])).otherwise(rest),
-        list(zip(inside, lows, highs))[::-1], F.lit(0),
-    )
-    counts = rows.select(
-        *by, cell.alias("__cell"), within.alias("__slice"), F.when(_any(inside), v).alias("__v")
-    ).groupBy(*by, "__cell", "__slice", "__v").agg(F.count(F.lit(1)).alias("__c"))
-
-    slices = counts.groupBy(*by, "__cell", "__slice").agg(F.sum("__c").alias("__c"))
-    group = Window.partitionBy(*by)
-    earlier = group.orderBy("__cell", "__slice").rowsBetween(Window.unboundedPreceding, -1)
-    slices = slices.withColumn("n", F.sum("__c").over(group)).withColumn(
-        "__before", F.coalesce(F.sum("__c").over(earlier), F.lit(0)))
-    ranks = [_ranks(p) for p in probabilities]
-    holds = _any([
-        (F.col("__before") <= r) & (r < F.col("__before") + F.col("__c")) for pair in ranks for r in pair
-    ])
-    wanted = slices.where(holds).select(*by, "__cell", "__slice", "__before", "n")
-    fine = join_on(counts, wanted, [*by, "__cell", "__slice"])
-    so_far = Window.partitionBy(*by, "__cell", "__slice").orderBy("__v").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    fine = fine.withColumn("__until", F.col("__before") + F.sum("__c").over(so_far))
-
-    return _at_ranks(fine, probabilities, by)
-
-
-def _ranks(p: float) -> tuple[Column, Column]:
-    position = (F.col("n") - 1) * F.lit(float(p))
-    return F.floor(position), F.ceil(position)
-
-
-def _at_ranks(counted: DataFrame, probabilities: list[float], by: list[str]) -> DataFrame:
-    """Read the quantiles off rows (value, count, running count until and including it)."""
-
-    def at(rank: Column) -> Column:
-        here = (F.col("__until") - F.col("__c") <= rank) & (rank < F.col("__until"))
-        missed = F.raise_error(F.lit("quantile rank outside its sketch bracket")).cast("double")
-        return F.max(F.when(here, F.coalesce(F.col("__v"), missed)))
-
-    picked = counted.groupBy(*by, "n").agg(*[
-        c for i, p in enumerate(probabilities)
-        for c in (at(_ranks(p)[0]).alias(f"__l{i}"), at(_ranks(p)[1]).alias(f"__h{i}"))
-    ])
+    by, probabilities = list(by), [float(p) for p in probabilities]
+    amount = F.lit(1) if weight is None else (F.col(weight) if isinstance(weight, str) else weight)
+    rows = df.select(*by, finite(value).alias("__v"), amount.cast("long").alias("__w")).where("__v IS NOT NULL")
+    keyed = with_order_key(rows, "__v", "__key")
+    wanted, few, shift = None, False, 64
+    for bits in ROUND_BITS:
+        shift -= bits
+        digit = F.shiftright("__key", shift)
+        counts = [F.sum("__w").alias("__c")] + ([F.min("__v").alias("__x")] if shift == 0 else [])
+        if wanted is None:
+            digits = keyed.groupBy(*by, digit.alias("__digit")).agg(*counts)
+            group = Window.partitionBy(*by)
+        else:
+            prefix = F.shiftright("__key", shift + bits).alias("__prefix")
+            names = [*by, "__prefix"]
+            keys = wanted.select(*names).distinct().withColumnsRenamed({k: f"__r{i}" for i, k in enumerate(names)})
+            same = [F.col(k).eqNullSafe(F.col(f"__r{i}")) for i, k in enumerate(names)]
+            # A join, not a filter: that would be pushed below the steps of the key and repeat them.
+            inside = keyed.select("*", prefix).join(F.broadcast(keys) if few else keys, same, "left_semi")
+            digits = inside.groupBy(*by, "__prefix", digit.bitwiseAND(F.lit((1 << bits) - 1)).alias("__digit")).agg(*counts)
+            group = Window.partitionBy(*by, "__prefix")
+        so_far = group.orderBy("__digit").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        placed = digits.withColumn("__until", F.sum("__c").over(so_far))
+        if wanted is None:
+            position = (F.sum("__c").over(group) - 1) * F.lit(1.0)
+            ranks = [r for p in probabilities for r in (F.floor(position * p), F.ceil(position * p))]
+            wishes = F.array(*[F.struct(F.lit(i).alias("__i"), r.alias("__rest")) for i, r in enumerate(ranks)])
+            found = placed.select("*", F.sum("__c").over(group).alias("n"), wishes.alias("__wishes")).select(
+                *by, "n", "__digit", "__c", "__until", F.inline("__wishes"))
+            leading = F.col("__digit")
+        else:
+            found = join_on(placed, F.broadcast(wanted) if few else wanted, [*by, "__prefix"])
+            leading = F.shiftleft("__prefix", bits) + F.col("__digit")
+        before = F.col("__until") - F.col("__c")
+        here = found.where((before <= F.col("__rest")) & (F.col("__rest") < F.col("__until")))
+        wanted = here.select(
+            *by, "n", "__i", (F.col("__rest") - before).alias("__rest"), leading.alias("__prefix"),
+            *(["__x"] if shift == 0 else []))
+        if shift:
+            wanted, few = _kept(wanted)
+    values = F.transform(F.array_sort(F.collect_list(F.struct("__i", "__x"))), lambda s: s["__x"])
     out = []
     for i, p in enumerate(probabilities):
-        h = (F.col("n") - 1) * F.lit(float(p))
-        low, high = F.col(f"__l{i}"), F.col(f"__h{i}")
-        out.append(low + (h - F.floor(h)) * (high - low))
-    return picked.select(*by, "n", F.array(*out).alias("q"))
-
-
-def _slice_of(v: Column, low: Column, high: Column) -> Column:
-    """Which of SLICES equal steps between low and high holds v."""
-    step = F.try_divide((v - low) * SLICES, high - low)
-    return F.coalesce(F.least(F.floor(step), F.lit(SLICES - 1)).cast("int"), F.lit(0))
+        h = (F.col("n") - 1) * F.lit(p)
+        low, high = F.col("__x")[2 * i], F.col("__x")[2 * i + 1]
+        # Two equal neighbours are their own mean, also where they are infinite.
+        out.append(F.when(low == high, low).otherwise(low + (h - F.floor(h)) * (high - low)))
+    return wanted.groupBy(*by, "n").agg(values.alias("__x")).select(*by, "n", F.array(*out).alias("q"))
+
+
+def _kept(wanted: DataFrame) -> tuple[DataFrame, bool]:
+    """The wanted ranks, computed once, and whether they are few: then they are constants, else stored."""
+    few = wanted.limit(BROADCAST_ROWS + 1).toArrow()
+    if few.num_rows > BROADCAST_ROWS:
+        return stored(wanted), False
+    return wanted.sparkSession.createDataFrame(few, wanted.schema), True
 
 
 def quantile_row(df: DataFrame, value: Column | str, probabilities: Sequence[float]) -> list[Column]:
