@@ -97,3 +97,22 @@ def test_sequences_hold_the_ids(spark):
 
 def test_empty_table(spark, nothing):
     assert packing.pack(nothing).count() == 0
+
+
+def test_production_settings_beat_best_fit():
+    """Lengths at which best fit is far from the bound: sequences of exactly three pieces, and a range."""
+    rng = random.Random(1)
+    triplets = []
+    for _ in range(1333):
+        a = rng.randint(520, 1000)
+        b = rng.randint(300, 2048 - a - 300)
+        triplets += [a, b, 2048 - a - b]
+    for lengths, most in ((triplets, 1370), ([rng.randint(500, 1100) for _ in range(4000)], None)):
+        plain = packing.Packing(lengths, 2048)
+        plain.best_fit(list(range(len(lengths))))
+        first = [packing.evolve(lengths, 2048, [], f"0-{island}-0") for island in range(packing.ISLANDS)]
+        last = [packing.evolve(lengths, 2048, [first[k].bins, first[k - 1].bins], f"0-{k}-1") for k in range(packing.ISLANDS)]
+        best = min(last, key=packing.Packing.score)
+        assert sorted(p for members in best.bins for p in members) == list(range(len(lengths)))
+        assert all(sum(lengths[p] for p in members) == filled <= 2048 for members, filled in zip(best.bins, best.fill))
+        assert len(best.bins) < len(plain.bins) and (most is None or len(best.bins) <= most)

@@ -5,7 +5,9 @@
 2. Pieces are dealt to groups of bounded size by a hash of their key. On each group several islands
    evolve a population of packings. The genes are whole sequences: crossover injects well-filled
    sequences of one parent into the other, removes sequences that now hold a piece twice, and
-   best-fits the displaced pieces. After each epoch an island sends its elite to the next one.
+   places the displaced pieces: first in exchange for shorter ones that they fill a sequence better
+   than, then by best fit or by new sequences that one or two pieces complete. Mutation dissolves
+   sequences that aren't full in the same way. After each epoch an island sends its elite to the next.
 3. Each group's best packing keeps its well-filled sequences. The emptiest sixteenth is dealt to
    fewer groups and packed again, until one group is left; that one keeps all.
 
@@ -36,12 +38,12 @@ END_ID = 0
 GROUP_PIECES = 4000
 ISLANDS = 2
 EPOCHS = 2
-GENERATIONS = 6
-POPULATION = 4
+GENERATIONS = 40
+POPULATION = 6
 # One in so many of a group's sequences, the emptiest ones, is passed on to the next level.
 RETRY = 16
-# Generations without a sequence saved after which an island waits for its epoch to end.
-PATIENCE = 3
+# Generations without a better packing after which an island waits for its epoch to end.
+PATIENCE = 20
 
 
 def cut_pieces(
@@ -122,6 +124,81 @@ class Packing:
                 room[left].append(number)
                 open_rooms |= 1 << left
 
+    def swap(self, displaced: list[int], numbers: list[int]) -> list[int]:
+        """Fill the given sequences better: a displaced piece takes the place of a shorter one that
+        leaves just room for it. Returns the pieces that are displaced then, shorter ones."""
+        by_length: dict[int, list[int]] = {}
+        held = 0
+        for piece in displaced:
+            by_length.setdefault(self.lengths[piece], []).append(piece)
+            held |= 1 << self.lengths[piece]
+        for number in numbers:
+            room = self.capacity - self.fill[number]
+            if not room:
+                continue
+            best = None
+            for place, piece in enumerate(self.bins[number]):
+                length = self.lengths[piece]
+                # The longest displaced piece that fits in this one's place.
+                fits = held & ((1 << (length + room + 1)) - 1)
+                gain = fits.bit_length() - 1 - length
+                if gain > 0 and (best is None or gain > best[0]):
+                    best = gain, place
+                    if gain == room:
+                        break
+            if best:
+                gain, place = best
+                members = list(self.bins[number])
+                piece = members[place]
+                length = self.lengths[piece] + gain
+                members[place] = by_length[length].pop()
+                if not by_length[length]:
+                    held ^= 1 << length
+                by_length.setdefault(length - gain, []).append(piece)
+                held |= 1 << (length - gain)
+                self.bins[number], self.fill[number] = members, self.fill[number] + gain
+        return [p for pieces in by_length.values() for p in pieces]
+
+    def complete(self, pieces: list[int], skip: float = 0.0, rng: random.Random | None = None) -> None:
+        """New sequences, one after another: the longest piece left, then the one or two pieces that fill
+        what room is left best, until none fits. With `skip` a seed is passed over now and then."""
+        by_length: dict[int, list[int]] = {}
+        for piece in pieces:
+            by_length.setdefault(self.lengths[piece], []).append(piece)
+        held = sum(1 << length for length in by_length)
+
+        def take(length: int) -> int:
+            nonlocal held
+            piece = by_length[length].pop()
+            if not by_length[length]:
+                held ^= 1 << length
+            return piece
+
+        while held:
+            length = held.bit_length() - 1
+            while rng and rng.random() < skip and (shorter := held & ((1 << length) - 1)):
+                length = shorter.bit_length() - 1
+            members, room = [take(length)], self.capacity - length
+            while (fits := held & ((1 << (room + 1)) - 1)):
+                one = first = fits.bit_length() - 1
+                best, chosen = one, (one,)
+                # Pairs, longer piece first; shorter ones can't beat the best found any more.
+                while best < room and 2 * first > best:
+                    rest = min(room - first, first)
+                    others = held & ((1 << (rest + 1)) - 1)
+                    if len(by_length[first]) == 1:
+                        others &= ~(1 << first)
+                    if others and first + others.bit_length() - 1 > best:
+                        best, chosen = first + others.bit_length() - 1, (first, others.bit_length() - 1)
+                    below = held & ((1 << first) - 1)
+                    if not below:
+                        break
+                    first = below.bit_length() - 1
+                members += map(take, chosen)
+                room -= best
+            self.bins.append(members)
+            self.fill.append(self.capacity - room)
+
     def score(self) -> tuple[int, int]:
         """Fewer sequences first; then uneven filling, which leaves room to close one."""
         return len(self.bins), -sum(f * f for f in self.fill)
@@ -141,17 +218,29 @@ def crossover(a: Packing, b: Packing, rng: random.Random) -> Packing:
             displaced += [p for p in members if p not in taken]
     child = Packing(a.lengths, a.capacity)
     child.copy_of(injected + kept)
-    child.best_fit(displaced)
+    refill(child, displaced, rng)
     return child
 
 
+def refill(packing: Packing, displaced: list[int], rng: random.Random) -> None:
+    """Place displaced pieces: in exchange for shorter ones, then where they fit best or in new sequences."""
+    open_bins = [k for k, filled in enumerate(packing.fill) if filled < packing.capacity]
+    rng.shuffle(open_bins)
+    left = packing.swap(displaced, open_bins)
+    if rng.random() < 0.5:
+        packing.best_fit(left)
+    else:
+        packing.complete(left, 0.2, rng)
+
+
 def mutate(packing: Packing, rng: random.Random) -> Packing:
-    """Dissolve the emptiest sequence and some random ones; best-fit their pieces."""
+    """Dissolve the emptiest sequence and some that aren't full; place their pieces anew."""
     emptiest = min(range(len(packing.bins)), key=packing.fill.__getitem__)
-    gone = {emptiest, *rng.sample(range(len(packing.bins)), min(len(packing.bins), rng.randint(1, 8)))}
+    loose = [k for k, filled in enumerate(packing.fill) if filled < packing.capacity]
+    gone = {emptiest, *rng.sample(loose, min(len(loose), rng.randint(2, 40)))}
     child = Packing(packing.lengths, packing.capacity)
     child.copy_of([m for k, m in enumerate(packing.bins) if k not in gone])
-    child.best_fit([p for k in sorted(gone) for p in packing.bins[k]])
+    refill(child, [p for k in sorted(gone) for p in packing.bins[k]], rng)
     return child
 
 
@@ -166,6 +255,9 @@ def evolve(lengths, capacity, elites, seed, generations=GENERATIONS, population=
     if not people:
         people.append(Packing(lengths, capacity))
         people[0].best_fit(list(range(len(lengths))))
+        if len(people[0].bins) > bound:
+            people.append(Packing(lengths, capacity))
+            people[1].complete(list(range(len(lengths))))
     best, idle = min(people, key=Packing.score), 0
     while len(people) < population and len(best.bins) > bound:
         people.append(mutate(rng.choice(people), rng))
@@ -177,7 +269,7 @@ def evolve(lengths, capacity, elites, seed, generations=GENERATIONS, population=
         people.append(mutate(crossover(a, b, rng), rng))
         people.sort(key=Packing.score)
         del people[population:]
-        idle = 0 if len(people[0].bins) < len(best.bins) else idle + 1
+        idle = 0 if people[0].score() < best.score() else idle + 1
     return min(people, key=Packing.score)
 
 
