@@ -17,6 +17,11 @@ def complete(c: Column | str) -> Column:
     return F.coalesce(F.forall(doubles(c), lambda x: x.isNotNull() & ~F.isnan(x)), F.lit(False))
 
 
+def whole(c: Column | str) -> Column:
+    """The vector as doubles; NULL if it isn't complete."""
+    return F.when(complete(c), doubles(c))
+
+
 def _total(c: Column) -> Column:
     return F.aggregate(c, F.lit(0.0), lambda acc, v: acc + v)
 

@@ -21,13 +21,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.vectors import complete, doubles
+from ..functions.vectors import complete, doubles, whole
 from ..session import stored
 from . import balls
 from .ranking import join_summary, lowest_by_hash, running_sums
 
-# Distances of one vector (or rows of a matrix) to the rows of another matrix.
-MAX_CENTRES = 10_000
 COSINE_NAMES = ("cosine_similarity", "cosine_dissimilarity")
 DISTANCE_NAMES = ("euclidean", "manhattan", *COSINE_NAMES)
 
@@ -53,9 +51,9 @@ def _to_each(x: np.ndarray, others: np.ndarray, distance: str) -> np.ndarray:
 
 
 def _matrix(v: pa.Array) -> np.ndarray:
-    """Rows of an Arrow list column, all of one length, as a matrix."""
+    """Rows of an Arrow list column, all of one length, as a matrix; NULL rows are left out."""
     flat = v.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(v), -1)
+    return flat.reshape(len(v) - v.null_count, -1)
 
 
 def _distances(points: np.ndarray, centres: np.ndarray, distance: str) -> np.ndarray:
@@ -66,21 +64,24 @@ NEAREST = T.StructType([T.StructField("label", T.IntegerType()), T.StructField("
 
 
 def nearest_centre(vector: Column | str, centres: Sequence[Sequence[float]], distance: str = "euclidean") -> Column:
-    """Struct (label, distance) of the closest centre; equal distances take the lower label."""
+    """Struct (label, distance) of the closest centre; equal distances take the lower label. Both are
+    NULL for a NULL vector or one with a NULL or NaN element."""
     _check_distance(distance)
     table = np.asarray(centres, dtype=float)
 
     @F.arrow_udf(NEAREST)
     def nearest(v: pa.Array) -> pa.Array:
-        if len(v) == 0:
-            return pa.array([], type=pa.struct([("label", pa.int32()), ("distance", pa.float64())]))
-        d = _distances(_matrix(v), table, distance)
-        d = np.where(np.isnan(d), np.inf, d)
-        label = d.argmin(axis=1)
+        there = v.is_valid().to_numpy(zero_copy_only=False)
+        label, away = np.zeros(len(v), dtype=np.int32), np.zeros(len(v))
+        if there.any():
+            d = _distances(_matrix(v), table, distance)
+            d = np.where(np.isnan(d), np.inf, d)
+            label[there] = d.argmin(axis=1)
+            away[there] = d.min(axis=1)
         return pa.StructArray.from_arrays(
-            [pa.array(label.astype(np.int32)), pa.array(d[np.arange(len(d)), label])], ["label", "distance"])
+            [pa.array(label, mask=~there), pa.array(away, mask=~there)], ["label", "distance"])
 
-    return nearest(doubles(vector))
+    return nearest(whole(vector))
 
 
 def assign_clusters(df: DataFrame, vector: str, centres: Sequence[Sequence[float]],
@@ -90,19 +91,18 @@ def assign_clusters(df: DataFrame, vector: str, centres: Sequence[Sequence[float
 
 def distances_to(df: DataFrame, vector: str, references: Sequence[Sequence[float]], keep: Sequence[str],
                  distance: str = "euclidean") -> DataFrame:
-    """(keep..., reference, distance): every row against a short list of reference vectors."""
+    """(keep..., reference, distance): every row against a short list of reference vectors. Distances
+    of an incomplete vector are NULL."""
     _check_distance(distance)
-    if len(references) > MAX_CENTRES:
-        raise ValueError(f"at most {MAX_CENTRES} reference vectors")
     table = np.asarray(references, dtype=float)
 
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def all_distances(v: pa.Array) -> pa.Array:
-        if len(v) == 0:
-            return pa.array([], type=pa.list_(pa.float64()))
-        return pa.array(list(_distances(_matrix(v), table, distance)), type=pa.list_(pa.float64()))
+        there = v.is_valid().to_numpy(zero_copy_only=False)
+        found = iter(_distances(_matrix(v), table, distance) if there.any() else [])
+        return pa.array([next(found) if t else [None] * len(table) for t in there], type=pa.list_(pa.float64()))
 
-    return df.select(*keep, F.posexplode(all_distances(doubles(vector))).alias("reference", "distance"))
+    return df.select(*keep, F.posexplode(all_distances(whole(vector))).alias("reference", "distance"))
 
 
 def _vector(c: str) -> Column:
@@ -110,18 +110,15 @@ def _vector(c: str) -> Column:
 
 
 def update_centres(df: DataFrame, vector: str, label: str) -> DataFrame:
-    """(label, centre, n): the mean vector of every cluster."""
+    """(label, centre, n): the mean of every cluster's complete vectors."""
     summary = Summarizer.metrics("mean", "count").summary(_vector(vector))
-    return df.groupBy(label).agg(summary.alias("__s")).select(
+    return df.where(complete(vector)).groupBy(label).agg(summary.alias("__s")).select(
         label, vector_to_array("__s.mean").alias("centre"), F.col("__s.count").alias("n"))
 
 
 def centre_list(df: DataFrame, vector: str, label: str) -> tuple[list, list[list[float]]]:
     """Labels in order and their mean vectors, for use as constants."""
-    rows = update_centres(df, vector, label).limit(MAX_CENTRES + 1).collect()
-    if len(rows) > MAX_CENTRES:
-        raise ValueError(f"more than {MAX_CENTRES} clusters")
-    rows.sort(key=lambda r: r[label])
+    rows = sorted(update_centres(df, vector, label).collect(), key=lambda r: r[label])
     return [r[label] for r in rows], [list(r["centre"]) for r in rows]
 
 
@@ -163,12 +160,15 @@ def random_start(df: DataFrame, vector: str, k: int, seed: int) -> list[list[flo
 def kmeans_fit(df: DataFrame, vector: str, k: int = 2, init: str = "k-means++", max_iter: int | None = None,
                distance: str = "euclidean", seed: int = 0) -> list[list[float]]:
     """Centres after Lloyd rounds. Centres are means whatever the distance; the rounds stop when
-    no row changes its cluster, or after max_iter with a warning. Rounds that come back to earlier
-    centres can't end, and raise. A round is one aggregation; only the k centres come back."""
+    no row changes its cluster, or after max_iter with a warning. With distances whose centres aren't
+    means, rounds can come back to earlier centres: then the ones of the cycle with the smallest summed
+    distance are the result. Incomplete vectors take no part. A round is one aggregation; only the k
+    centres come back."""
     _check_distance(distance)
+    df = df.where(complete(vector))
     if init not in ("k-means++", "random"):
         raise ValueError(f"unknown init: {init}")
-    if distance == "euclidean" and init == "k-means++":
+    if distance == "euclidean" and init == "k-means++" and k > 1:
         most = 100 if max_iter is None else max_iter
         model = KMeans(k=k, maxIter=most, seed=seed, featuresCol="features", tol=0.0).fit(
             df.select(_vector(vector).alias("features")))
@@ -181,13 +181,13 @@ def kmeans_fit(df: DataFrame, vector: str, k: int = 2, init: str = "k-means++",
     else:
         centres = random_start(df, vector, k, seed) if init == "random" else spread_start(df, vector, k, seed, distance)
     rows = df.select(doubles(vector).alias("__v"))
-    previous, seen = None, set()
+    previous, seen, path = None, {}, []
     for _ in itertools.count() if max_iter is None else range(max_iter):
         labelled = rows.withColumn("__near", nearest_centre("__v", centres, distance))
         before = nearest_centre("__v", previous, distance)["label"] if previous else F.lit(-1)
         summary = Summarizer.metrics("mean").summary(_vector("__v"))
         found = labelled.withColumn("__before", before).groupBy(F.col("__near.label").alias("label")).agg(
-            vector_to_array(summary["mean"]).alias("centre"),
+            vector_to_array(summary["mean"]).alias("centre"), F.sum("__near.distance").alias("away"),
             F.count(F.when(F.col("__before") != F.col("__near.label"), 1)).alias("changed")).collect()
         if previous is not None and sum(r["changed"] for r in found) == 0:
             break
@@ -199,9 +199,11 @@ def kmeans_fit(df: DataFrame, vector: str, k: int = 2, init: str = "k-means++",
         previous, centres = centres, [means.get(i, centres[i]) for i in range(len(centres))]
         state = hash(tuple(round(x, 9) for c in centres for x in c))
         # Equal centres twice in a row are the end, which the next round finds.
-        if max_iter is None and state in seen and max(abs(x - y) for a, b in zip(previous, centres) for x, y in zip(a, b)) > 1e-6:
-            raise RuntimeError("k-means comes back to earlier centres and does not converge")
-        seen.add(state)
+        # The summed distance belongs to the centres before.
+        path.append((sum(r["away"] for r in found), previous))
+        if state in seen and max(abs(x - y) for a, b in zip(previous, centres) for x, y in zip(a, b)) > 1e-6:
+            return min(path[seen[state]:], key=lambda x: x[0])[1]
+        seen.setdefault(state, len(path))
     else:
         warnings.warn(f"k-means has not converged in {max_iter} rounds", RuntimeWarning, stacklevel=2)
     return centres
@@ -209,6 +211,7 @@ def kmeans_fit(df: DataFrame, vector: str, k: int = 2, init: str = "k-means++",
 
 def wcss(df: DataFrame, vector: str, label: str) -> DataFrame:
     """Sum of squared distances to the own cluster's mean: column `score` of one row."""
+    df = df.where(complete(vector))
     summary = Summarizer.metrics("variance", "count").summary(_vector(vector))
     per_cluster = df.groupBy(label).agg(summary.alias("__s"))
     spread = F.aggregate(vector_to_array("__s.variance"), F.lit(0.0), lambda a, v: a + v)
@@ -365,6 +368,7 @@ def silhouette(df: DataFrame, vector: str, label: str, distance: str = "euclidea
     with the square of the number of distinct rows.
     """
     _check_distance(distance)
+    df = df.where(complete(vector))
     if distance in COSINE_NAMES:
         df = df.where(_length(vector) > 0)
     sizes = df.groupBy(F.col(label).cast("string").alias("other")).agg(F.count(F.lit(1)).alias("size"))

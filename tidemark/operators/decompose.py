@@ -6,6 +6,7 @@ come to the driver. Projections are matrix products on Arrow batches.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import finite
-from ..functions.vectors import doubles
+from ..functions.vectors import complete, doubles, whole
 
 # Pairs of columns whose covariances one pass aggregates.
 PASS_PAIRS = 300
@@ -51,8 +52,9 @@ def covariance_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def vector_moments(df: DataFrame, vector: str) -> tuple[int, np.ndarray, np.ndarray]:
-    """Row count, mean and sample covariance of an array column, by two tree aggregations."""
-    rows = df.select(array_to_vector(doubles(vector)).alias("v"))
+    """Row count, mean and sample covariance of the complete rows of an array column, by two tree
+    aggregations."""
+    rows = df.where(complete(vector)).select(array_to_vector(doubles(vector)).alias("v"))
     summary = rows.agg(Summarizer.metrics("count", "mean", "std").summary(F.col("v")).alias("s")).first()["s"]
     mean, sd = summary["mean"].toArray(), summary["std"].toArray()
     corr = Correlation.corr(rows, "v").first()[0].toArray()
@@ -72,20 +74,20 @@ def eig_sorted(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def project(vector: Column | str, matrix: np.ndarray, centre: np.ndarray | None = None) -> Column:
-    """Array of products of a row's vector, less `centre`, with the columns of `matrix` (p x k)."""
+    """Array of products of a row's vector, less `centre`, with the columns of `matrix` (p x k); NULL
+    for an incomplete vector."""
     table = np.asarray(matrix, dtype=float)
     shift = np.zeros(table.shape[0]) if centre is None else np.asarray(centre, dtype=float)
 
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def products(v: pa.Array) -> pa.Array:
-        if len(v) == 0:
-            return pa.array([], type=pa.list_(pa.float64()))
-        rows = v.flatten().to_numpy(zero_copy_only=False).reshape(len(v), -1)
-        out = (rows - shift) @ table
-        ends = np.arange(0, out.size + 1, max(1, out.shape[1]), dtype=np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(out.ravel()))
+        there = v.is_valid().to_numpy(zero_copy_only=False)
+        rows = v.flatten().to_numpy(zero_copy_only=False).reshape(there.sum(), -1)
+        out = (rows - shift) @ table if len(rows) else np.empty((0, table.shape[1]))
+        ends = np.concatenate([[0], np.cumsum(there)]).astype(np.int32) * np.int32(table.shape[1])
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(out.ravel()), mask=pa.array(~there))
 
-    return products(doubles(vector))
+    return products(whole(vector))
 
 
 def with_scores(df: DataFrame, vector: str, matrix: np.ndarray, centre: np.ndarray | None = None) -> DataFrame:
@@ -144,7 +146,7 @@ def standardized(df: DataFrame, columns: Sequence[str] | None = None, vector: st
     source = df if vector else as_vector_column(df, columns, name)
     fit_on = source if train is None else (train if vector else as_vector_column(train, columns, name))
     column = vector or name
-    summary = fit_on.select(array_to_vector(doubles(column)).alias("v")).agg(
+    summary = fit_on.where(complete(column)).select(array_to_vector(doubles(column)).alias("v")).agg(
         Summarizer.metrics("count", "mean", "variance").summary(F.col("v")).alias("s")).first()["s"]
     n = summary["count"]
     width = np.sqrt(summary["variance"].toArray() * (n - 1) / n)
@@ -174,6 +176,14 @@ class Reduction:
         return spark.createDataFrame(rows, "feature string, component int, loading double")
 
 
+@dataclass
+class Factors(Reduction):
+    """A factor model: also the loadings (p x k) and each column's own noise."""
+
+    loadings_matrix: np.ndarray
+    noise: np.ndarray
+
+
 def pca_to_share(df: DataFrame, vector: str, share: float) -> Reduction:
     """The fewest components whose variance reaches the given share of the total."""
     _, mean, cov = vector_moments(df, vector)
@@ -189,39 +199,45 @@ def factor_count(values: np.ndarray) -> int:
     return int((size > 1.0).sum())
 
 
-def factor_fit(df: DataFrame, vector: str, n_factors: int | None = None, tolerance: float = 1e-2,
-               max_iter: int = 1_000) -> Reduction:
-    """Maximum-likelihood factor analysis on the covariance matrix; the map gives the expected
-    factors of a row."""
+def factor_fit(df: DataFrame, vector: str, n_factors: int | None = None, tolerance: float = 1e-9,
+               max_iter: int = 100_000) -> "Factors":
+    """Maximum-likelihood factor analysis by expectation and maximisation on the covariance matrix.
+
+    The rounds need only p x p numbers. They start at the leading directions and end when a round
+    raises the likelihood per row by less than `tolerance` of its size; a fit that hasn't ended after
+    `max_iter` rounds warns. The map gives the expected factors of a row.
+    """
     n, mean, cov = vector_moments(df, vector)
-    k = factor_count(eig_sorted(cov)[0]) if n_factors is None else n_factors
-    k = max(1, k)
     spread = cov * (n - 1) / n
-    total = np.diag(spread).copy()
-    tiny = 1e-12
-    noise, last = np.ones_like(total), -np.inf
+    values, vectors = eig_sorted(cov)
+    k = max(1, factor_count(values) if n_factors is None else n_factors)
+    floor = 1e-10 * max(values[0], 1e-300)
+    noise = np.clip(np.diag(spread) / 2, floor, None)
+    loadings = vectors[:, :k] * np.sqrt(np.clip(values[:k], floor, None) / 2)
+    before = -np.inf
     for _ in range(max_iter):
-        # given the noise, the best loadings are the leading directions of the whitened covariance
-        root = np.sqrt(noise) + tiny
-        values, vectors = eig_sorted(spread / np.outer(root, root))
-        lead = np.clip(values[:k], 1.0, None)
-        loadings = vectors[:, :k] * np.sqrt(lead - 1.0) * root[:, None]
-        rest = values[k:].sum()
-        likelihood = -0.5 * n * (
-            np.log(np.clip(values[:k], tiny, None)).sum() + k + rest + np.log(2 * np.pi) * len(total)
-            + 2 * np.log(root).sum())
-        if likelihood - last < tolerance:
+        # The factors expected given the rows, as a map, and their second moments.
+        weighted = loadings / noise[:, None]
+        inner = np.linalg.inv(np.eye(k) + loadings.T @ weighted)
+        expect = inner @ weighted.T
+        moved = spread @ expect.T
+        # The likelihood per row, by the determinant and inverse of a k x k matrix.
+        fit = np.log(noise).sum() - np.linalg.slogdet(inner)[1] + (np.diag(spread) / noise).sum() - np.trace(weighted.T @ moved)
+        likelihood = -0.5 * (fit + len(noise) * np.log(2 * np.pi))
+        if likelihood - before < tolerance * (1 + abs(likelihood)):
             break
-        last = likelihood
-        noise = np.clip(total - (loadings ** 2).sum(axis=1), tiny, None)
-    weighted = loadings / noise[:, None]
-    posterior = np.linalg.inv(np.eye(k) + loadings.T @ weighted)
-    return Reduction(weighted @ posterior, mean, (loadings ** 2).sum(axis=0))
+        before = likelihood
+        loadings = moved @ np.linalg.inv(inner + expect @ moved)
+        noise = np.clip(np.diag(spread) - (loadings * moved).sum(axis=1), floor, None)
+    else:
+        warnings.warn(f"factor analysis has not converged in {max_iter} rounds", RuntimeWarning, stacklevel=2)
+    return Factors(expect.T, mean, (loadings ** 2).sum(axis=0), loadings, noise)
 
 
 def lda_fit(df: DataFrame, vector: str, label: str) -> Reduction:
     """Directions with the largest between-class variance for unit within-class variance, at most
     classes - 1. The within-class scatter is the total less the between-class scatter."""
+    df = df.where(complete(vector))
     n, mean, cov = vector_moments(df, vector)
     summary = Summarizer.metrics("mean", "count").summary(array_to_vector(doubles(vector)))
     classes = df.groupBy(label).agg(summary.alias("s")).select(

@@ -10,7 +10,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vectors import doubles
+from ..functions.vectors import complete, doubles
 from .ordered import roc_curve
 from .scores import classification_scores, stacked_scores, with_threshold
 
@@ -25,7 +25,7 @@ def linear_classifier(train: DataFrame, vector: str, label: str, weight: float =
     """Logistic regression with an L1/L2 penalty."""
     fit = LogisticRegression(
         featuresCol="__features", labelCol="__label", regParam=weight, elasticNetParam=l1_share, maxIter=max_iter)
-    return fit.fit(_prepared(train, vector, label))
+    return fit.fit(_prepared(train.where(complete(vector)), vector, label))
 
 
 def loss_history(model: Model, df: DataFrame) -> DataFrame:
@@ -37,6 +37,7 @@ def loss_history(model: Model, df: DataFrame) -> DataFrame:
 def mlp_classifier(train: DataFrame, vector: str, label: str, hidden: Sequence[int] = (16,), classes: int = 2,
                    max_iter: int = 100, seed: int = 0) -> Model:
     """Feed-forward network with sigmoid hidden layers and a softmax output."""
+    train = train.where(complete(vector))
     inputs = len(train.select(doubles(vector)).first()[0])
     fit = MultilayerPerceptronClassifier(
         featuresCol="__features", labelCol="__label", layers=[inputs, *hidden, classes], maxIter=max_iter, seed=seed)
@@ -46,14 +47,16 @@ def mlp_classifier(train: DataFrame, vector: str, label: str, hidden: Sequence[i
 def batch_predict(model: Model, df: DataFrame, vector: str, label: str | None = None,
                   threshold: float | None = 0.5) -> DataFrame:
     """Score a table: its columns, the probability of class 1 and the label at the threshold.
-    Without a threshold the most likely class is the prediction."""
-    scored = model.transform(_prepared(df, vector, label))
+    Without a threshold the most likely class is the prediction. Both are NULL for a vector that is
+    NULL or has a NULL or NaN element."""
+    scored = model.transform(_prepared(df.where(complete(vector)), vector, label))
     scored = scored.withColumn("probability_1", vector_to_array("probability")[1])
     if threshold is None:
         scored = scored.withColumn("prediction", F.col("prediction").cast("int"))
     else:
         scored = with_threshold(scored.drop("prediction"), "probability_1", threshold)
-    return scored.select(*df.columns, "probability_1", "prediction")
+    scored = scored.select(*df.columns, "probability_1", "prediction")
+    return scored.unionByName(df.where(~complete(vector)), allowMissingColumns=True)
 
 
 def evaluate(model: Model, parts: dict[str, DataFrame], vector: str, label: str, threshold: float = 0.5) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ..functions.columns import finite
 from ..session import stored
 from .attach import BROADCAST_ROWS
-from .ranking import join_on
 
 # Bits of a double that the rounds of counting fix: first sign, exponent and twelve of the fraction,
 # of which real columns use few values, then the rest.
@@ -56,54 +55,63 @@ def quantiles(df: DataFrame, value: Column | str, probabilities: Sequence[float]
     combine before they move, and the digit in which a rank falls is read from running sums over the
     digits that occur. Nothing is sorted, sampled or held; skew and size don't matter.
     """
-    by, probabilities = list(by), [float(p) for p in probabilities]
+    by, shares = list(by), F.lit([float(p) for p in probabilities]).cast("array<double>")
     amount = F.lit(1) if weight is None else (F.col(weight) if isinstance(weight, str) else weight)
     rows = df.select(*by, finite(value).alias("__v"), amount.cast("long").alias("__w")).where("__v IS NOT NULL")
     keyed = with_order_key(rows, "__v", "__key")
     wanted, few, shift = None, False, 64
     for bits in ROUND_BITS:
         shift -= bits
-        digit = F.shiftright("__key", shift)
-        counts = [F.sum("__w").alias("__c")] + ([F.min("__v").alias("__x")] if shift == 0 else [])
-        if wanted is None:
-            digits = keyed.groupBy(*by, digit.alias("__digit")).agg(*counts)
-            group = Window.partitionBy(*by)
-        else:
-            prefix = F.shiftright("__key", shift + bits).alias("__prefix")
+        digit, names = F.shiftright("__key", shift), by
+        if wanted is not None:
             names = [*by, "__prefix"]
             keys = wanted.select(*names).distinct().withColumnsRenamed({k: f"__r{i}" for i, k in enumerate(names)})
             same = [F.col(k).eqNullSafe(F.col(f"__r{i}")) for i, k in enumerate(names)]
             # A join, not a filter: that would be pushed below the steps of the key and repeat them.
-            inside = keyed.select("*", prefix).join(F.broadcast(keys) if few else keys, same, "left_semi")
-            digits = inside.groupBy(*by, "__prefix", digit.bitwiseAND(F.lit((1 << bits) - 1)).alias("__digit")).agg(*counts)
-            group = Window.partitionBy(*by, "__prefix")
-        so_far = group.orderBy("__digit").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        placed = digits.withColumn("__until", F.sum("__c").over(so_far))
+            prefixed = keyed.withColumn("__prefix", F.shiftright("__key", shift + bits))
+            inside = prefixed.join(F.broadcast(keys) if few else keys, same, "left_semi")
+            digit = digit.bitwiseAND(F.lit((1 << bits) - 1))
+        counted = (keyed if wanted is None else inside).groupBy(*names, digit.alias("__digit")).agg(
+            F.sum("__w").alias("__c"), F.min("__v").alias("__x"))
+        group = Window.partitionBy(*names)
+        until = F.sum("__c").over(group.orderBy("__digit").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        digits = counted.withColumn("__before", until - F.col("__c"))
+        # Digits stand where their counts begin, ranks at their own place, after a digit that begins there.
+        mark = lambda at, kind, digit, x, i, n: F.struct(
+            at.cast("long").alias("__at"), F.lit(kind).alias("__kind"), digit.alias("__digit"), x.alias("__x"),
+            i.cast("int").alias("__i"), n.cast("long").alias("n"))
+        none, before = F.lit(None), F.col("__before")
+        own = F.array(mark(before, 0, F.col("__digit"), F.col("__x"), none, none))
         if wanted is None:
-            position = (F.sum("__c").over(group) - 1) * F.lit(1.0)
-            ranks = [r for p in probabilities for r in (F.floor(position * p), F.ceil(position * p))]
-            wishes = F.array(*[F.struct(F.lit(i).alias("__i"), r.alias("__rest")) for i, r in enumerate(ranks)])
-            found = placed.select("*", F.sum("__c").over(group).alias("n"), wishes.alias("__wishes")).select(
-                *by, "n", "__digit", "__c", "__until", F.inline("__wishes"))
-            leading = F.col("__digit")
+            n = F.sum("__c").over(group)
+            position = lambda share: (F.col("__n") - 1) * share
+            wishes = F.flatten(F.transform(shares, lambda share, i: F.array(*[
+                mark(rank(position(share)), 1, none.cast("long"), none.cast("double"), 2 * i + k, F.col("__n"))
+                for k, rank in enumerate((F.floor, F.ceil))])))
+            marks = digits.withColumn("__n", n).select(
+                *by, F.inline(F.when(before == 0, F.concat(own, wishes)).otherwise(own)))
         else:
-            found = join_on(placed, F.broadcast(wanted) if few else wanted, [*by, "__prefix"])
-            leading = F.shiftleft("__prefix", bits) + F.col("__digit")
-        before = F.col("__until") - F.col("__c")
-        here = found.where((before <= F.col("__rest")) & (F.col("__rest") < F.col("__until")))
-        wanted = here.select(
-            *by, "n", "__i", (F.col("__rest") - before).alias("__rest"), leading.alias("__prefix"),
-            *(["__x"] if shift == 0 else []))
+            marks = digits.select(*names, F.inline(own)).unionByName(wanted.select(
+                *names, F.col("__rest").alias("__at"), F.lit(1).alias("__kind"), none.cast("long").alias("__digit"),
+                none.cast("double").alias("__x"), "__i", "n"))
+        so_far = group.orderBy("__at", "__kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        latest = lambda c: F.last(c, ignorenulls=True).over(so_far)
+        start = latest(F.when(F.col("__kind") == 0, F.col("__at")))
+        found = marks.select(*names, "__i", "n", "__kind", latest("__digit").alias("__digit"), latest("__x").alias("__x"),
+                             (F.col("__at") - start).alias("__rest")).where("__kind = 1")
+        leading = F.col("__digit") if wanted is None else F.shiftleft("__prefix", bits) + F.col("__digit")
+        wanted = found.select(*by, "n", "__i", "__rest", leading.alias("__prefix"), *(["__x"] if shift == 0 else []))
         if shift:
             wanted, few = _kept(wanted)
-    values = F.transform(F.array_sort(F.collect_list(F.struct("__i", "__x"))), lambda s: s["__x"])
-    out = []
-    for i, p in enumerate(probabilities):
-        h = (F.col("n") - 1) * F.lit(p)
-        low, high = F.col("__x")[2 * i], F.col("__x")[2 * i + 1]
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("__i", "__x"))), lambda s: s["__x"])
+
+    def between(share: Column, i: Column) -> Column:
+        h = (F.col("n") - 1) * share
+        low, high = F.get("__x", 2 * i), F.get("__x", 2 * i + 1)
         # Two equal neighbours are their own mean, also where they are infinite.
-        out.append(F.when(low == high, low).otherwise(low + (h - F.floor(h)) * (high - low)))
-    return wanted.groupBy(*by, "n").agg(values.alias("__x")).select(*by, "n", F.array(*out).alias("q"))
+        return F.when(low == high, low).otherwise(low + (h - F.floor(h)) * (high - low))
+
+    return wanted.groupBy(*by, "n").agg(ordered.alias("__x")).select(*by, "n", F.transform(shares, between).alias("q"))
 
 
 def _kept(wanted: DataFrame) -> tuple[DataFrame, bool]:

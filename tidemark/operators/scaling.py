@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import finite
 from ..functions.distributions import normal_score
-from .quantiles import quantile_row
+from .quantiles import quantile_row, quantiles
 from .ranking import join_summary
 
 
@@ -122,19 +122,24 @@ NORMAL_CLIP = 1e-7
 
 
 def quantile_normal(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
-    """Map values to normal scores by their place in a grid of sketched quantiles.
+    """Map values to normal scores by their place in a grid of exact quantiles.
 
     The grid is a bounded array; each value is placed between its neighbours in
     it, tied values in the middle of their run.
     """
+    placed = grid_place(df, column, name or column)
+    p = F.greatest(F.least(F.col(name or column), F.lit(1 - NORMAL_CLIP)), F.lit(NORMAL_CLIP))
+    return placed.withColumn(name or column, normal_score(p))
+
+
+def grid_place(df: DataFrame, column: str, name: str) -> DataFrame:
+    """The place of each value, from 0 to 1, in a grid of NORMAL_GRID exact quantiles."""
     x = finite(column)
     probabilities = [i / (NORMAL_GRID - 1) for i in range(NORMAL_GRID)]
-    grid = df.agg(F.percentile_approx(x, probabilities, 100 * NORMAL_GRID)).first()[0]
+    grid = quantiles(df, x, probabilities).select("q").first()
     if not grid:
-        return df.withColumn(name or column, F.lit(None).cast("double"))
-    place = _grid_place(grid, probabilities)
-    p = F.greatest(F.least(place(x), F.lit(1 - NORMAL_CLIP)), F.lit(NORMAL_CLIP))
-    return df.withColumn(name or column, normal_score(p))
+        return df.withColumn(name, F.lit(None).cast("double"))
+    return df.withColumn(name, _grid_place(grid[0], probabilities)(x))
 
 
 def _grid_place(grid: list[float], probabilities: list[float]):
