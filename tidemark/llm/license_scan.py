@@ -1,18 +1,23 @@
-"""License scan: a trained paragraph classifier, confirmed by comparison with templates.
+"""License scan: a trained classifier of paragraphs' word windows, confirmed by comparison with templates.
 
 A softmax regression over sparse word bigrams and trigrams tells licence families and `unknown`
-apart. It is trained here: the positives are variants of each family's templates (words dropped, cut
-short, set in running text of the corpus), the negatives a bounded sample of the corpus's own
-paragraphs (`max_background`, those with the smallest hash; the only part that doesn't see all rows).
-One fifth of the rows calibrates: a temperature makes the probabilities fit, and a family must reach
-a probability that no background paragraph of that fifth had for any family.
+apart. It sees windows of `WINDOWS` words that begin with one of the templates' word runs, so that a
+paragraph that names two licences gives both, and a long one is judged where it speaks of licences.
+It is trained here: the positives are windows of variants of each family's templates (words dropped,
+cut short, set in running text of the corpus), the negatives windows of a bounded sample of the
+corpus's own paragraphs (`max_background`, those with the smallest hash; the only part that doesn't see
+all rows). One fifth of the rows calibrates: a temperature makes the probabilities fit, and a family
+must reach a probability that no window of that fifth's whole paragraphs had for any family.
 
 Scanning streams whole texts. A paragraph is a line; one without any of the model's word runs has
-the score of `unknown`, and is passed over. A prediction is confirmed if the paragraph holds enough
-of the word pairs of one of the family's templates.
-
-Defined results: one row per paragraph that the classifier assigns to a family; NULL, empty and
-unlicensed texts give none; repeated rows and lines each give their own; ids are passed on.
+the score of `unknown`, and is passed over. Of overlapping windows the one that holds most of the word
+pairs of its family's template counts, then the shorter, the likelier and the earlier one. A
+prediction is confirmed if its window holds enough of these pairs.
+
+Defined results: one row per paragraph and family that the classifier finds in it; NULL, empty and
+unlicensed texts give none, nor does an empty table; texts and paragraphs of any length are taken whole.
+Ties go to the earlier family in order of names; repeated rows and lines each give their own; ids are
+passed on, and only the two named columns are read, whatever others are called.
 """
 
 from __future__ import annotations
@@ -26,8 +31,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_BACKGROUND = 4_000
-# Background paragraphs longer than this are cut to it for training.
-BACKGROUND_CHARS = 2_000
+# Words of the windows, and windows of one background paragraph that train the model.
+WINDOWS = (6, 12, 32)
+TRAINED = 8
 VARIANTS = 60
 CONFIRMED = 0.6
 UNKNOWN = "unknown"
@@ -88,6 +94,33 @@ def similarity(words: list[str], template: str) -> float:
     return len(own & pairs(words)) / len(own)
 
 
+def hits(words: list[str], vocabulary: dict) -> list[tuple[int, int, int]]:
+    """(from, to, number) of the known word runs, in order."""
+    out = []
+    for n in (2, 3):
+        out += [(i, i + n, vocabulary[run]) for i, run in enumerate(zip(*(words[k:] for k in range(n)))) if run in vocabulary]
+    return sorted(out)
+
+
+def windows(found: list[tuple[int, int, int]]) -> list[tuple[int, int, frozenset]]:
+    """(from, to, runs): the known runs of each window that begins with one, from the first to the last
+    word that they cover; windows with the same runs in the same place once."""
+    out = {}
+    for k, (start, _, _) in enumerate(found):
+        if k and found[k - 1][0] == start:
+            continue
+        for size in WINDOWS:
+            inside, end, j = set(), start, k
+            while j < len(found) and found[j][0] < start + size:
+                if found[j][1] <= start + size:
+                    inside.add(found[j][2])
+                    end = max(end, found[j][1])
+                j += 1
+            if inside:
+                out[start, end] = frozenset(inside)
+    return [(start, end, inside) for (start, end), inside in out.items()]
+
+
 def _variants(background: list[list[str]], rng: random.Random):
     """(words, family) for training; background words are woven around the statements."""
     for family, templates in TEMPLATES.items():
@@ -101,7 +134,7 @@ def _variants(background: list[list[str]], rng: random.Random):
                 if background and k % 2:
                     around = rng.choice(background)
                     cut = rng.randint(0, len(around))
-                    words = around[:cut] + words + around[cut:]
+                    words = around[max(0, cut - 12):cut] + words + around[cut:cut + 12]
                 yield words, family
 
 
@@ -111,15 +144,23 @@ def fit(paragraphs: list[str], seed: int = 7) -> dict:
     texts = [tokens(p) for p in paragraphs]
     # Paragraphs that hold half of a template are no background.
     background = [w for w in texts if w and all(similarity(w, t) < 0.5 for ts in TEMPLATES.values() for t in ts)]
-    rows = [*_variants(background, rng), *((w, UNKNOWN) for w in background), *(([], UNKNOWN) for _ in range(20))]
     classes = [*sorted(TEMPLATES), UNKNOWN]
-    vocabulary = {run: k for k, run in enumerate(sorted(set().union(*(runs(tokens(t)) for ts in TEMPLATES.values() for t in ts))))}
+    by_family = {f: set().union(*(runs(tokens(t)) for t in ts)) for f, ts in TEMPLATES.items()}
+    vocabulary = {run: k for k, run in enumerate(sorted(set().union(*by_family.values())))}
+    # Runs that only one family has tell a window of its statement from one of common words.
+    own = {f: {vocabulary[r] for r in rs if sum(r in other for other in by_family.values()) == 1} for f, rs in by_family.items()}
+    order = list(range(len(background)))
+    rng.shuffle(order)
+    apart = [background[k] for k in order[::5]]
+    rows = [(inside, f) for words, f in _variants(background, rng) for *_, inside in windows(hits(words, vocabulary)) if inside & own[f]]
+    for k in order:
+        some = [inside for *_, inside in windows(hits(background[k], vocabulary))]
+        rows += [(inside, UNKNOWN) for inside in (some if len(some) <= TRAINED else rng.sample(some, TRAINED))]
+    rows += [(frozenset(), UNKNOWN)] * 20
     x = np.zeros((len(rows), len(vocabulary) + 1), dtype=np.float64)
     x[:, -1] = 1.0
-    for k, (words, _) in enumerate(rows):
-        for run in runs(words):
-            if run in vocabulary:
-                x[k, vocabulary[run]] = 1.0
+    for k, (inside, _) in enumerate(rows):
+        x[k, list(inside)] = 1.0
     y = np.array([classes.index(c) for _, c in rows])
     order = list(range(len(rows)))
     rng.shuffle(order)
@@ -142,32 +183,45 @@ def fit(paragraphs: list[str], seed: int = 7) -> dict:
     grid = [2.0 ** (k / 4) for k in range(-16, 9)]
     right = lambda t: np.log(probabilities(x[held], w, t)[np.arange(held.sum()), y[held]] + 1e-12).mean()
     temperature = max(grid, key=right)
-    negatives = x[held & (y == len(classes) - 1)]
-    least = 0.5 if not len(negatives) else max(0.5, float(probabilities(negatives, w, temperature)[:, :-1].max()) + 1e-6)
-    return {"classes": classes, "vocabulary": vocabulary, "weights": w / temperature, "least": min(least, 0.99)}
+    model = {"classes": classes, "vocabulary": vocabulary, "weights": w / temperature, "least": 0.5}
+    seen = {inside for words in apart for *_, inside in windows(hits(words, vocabulary))}
+    highest = max((probability for inside in seen for family, probability in [_judge(inside, model)] if family != UNKNOWN), default=0.0)
+    return model | {"least": min(0.99, max(0.5, highest + 1e-6))}
 
 
-def classify(words: list[str], model: dict) -> tuple[str, float] | None:
-    """(family, probability), or None for unknown."""
-    found = [model["vocabulary"][run] for run in runs(words) if run in model["vocabulary"]]
-    if not found:
-        return None
-    z = model["weights"][found].sum(axis=0) + model["weights"][-1]
+def _judge(inside: frozenset, model: dict) -> tuple[str, float]:
+    """The likeliest class of a window and its probability."""
+    z = model["weights"][list(inside)].sum(axis=0) + model["weights"][-1]
     z = np.exp(z - z.max())
     z /= z.sum()
     best = int(z.argmax())
-    if model["classes"][best] == UNKNOWN or z[best] < model["least"]:
-        return None
     return model["classes"][best], float(z[best])
 
 
+def classify(words: list[str], model: dict) -> list[tuple[str, float, str, float]]:
+    """(family, probability, template, similarity) of each licence that a paragraph's words name."""
+    candidates = []
+    for start, end, inside in windows(hits(words, model["vocabulary"])):
+        family, probability = _judge(inside, model)
+        if family != UNKNOWN and probability >= model["least"]:
+            shares = [similarity(words[start:end], t) for t in TEMPLATES[family]]
+            best = int(np.argmax(shares))
+            candidates.append((-shares[best], end - start, -probability, start, family, best))
+    taken, out = [], {}
+    for share, size, probability, start, family, best in sorted(candidates):
+        if all(start + size <= a or b <= start for a, b in taken):
+            taken.append((start, start + size))
+            out.setdefault(family, (family, -probability, f"{family}-{best + 1}", -share))
+    return [out[f] for f in sorted(out)]
+
+
 def background_sample(docs: DataFrame, text: str = "text", count: int = MAX_BACKGROUND) -> list[str]:
     """Up to `count` paragraphs: of documents spread over all, the one with the smallest hash."""
     body = docs.select(F.col(f"`{text}`").alias("text")).where("trim(text) <> ''")
     total = body.count()
     cut = -(2**63) + min(2**64 - 1, 2**64 * 3 * count // (2 * max(1, total)))
     lines = F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")
-    first = F.array_min(F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("h"), F.substring(x, 1, BACKGROUND_CHARS).alias("line"))))
+    first = F.array_min(F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("h"), x.alias("line"))))
     # Copies have one hash and one paragraph; they are merged before anything moves.
     picked = body.where(F.xxhash64("text") <= cut).select(first.alias("p")).select("p.h", "p.line").groupBy("h", "line").count()
     return [r["line"] for r in picked.orderBy("h", "line").limit(count).collect()]
@@ -185,12 +239,8 @@ def scan(docs: DataFrame, model: dict, id_column: str = "doc_id", text: str = "t
                 for number, line in enumerate((body or "").split("\n")):
                     words = tokens(line)
                     if not firsts.isdisjoint(zip(words, words[1:])):
-                        found = classify(words, model)
-                        if found:
-                            family, probability = found
-                            shares = [similarity(words, t) for t in TEMPLATES[family]]
-                            best = int(np.argmax(shares))
-                            out.append((key, number, at, len(line), family, probability, f"{family}-{best + 1}", shares[best], shares[best] >= CONFIRMED))
+                        for family, probability, template, share in classify(words, model):
+                            out.append((key, number, at, len(line), family, probability, template, share, share >= CONFIRMED))
                     at += len(line) + 1
             yield pd.DataFrame(out, columns=["key", "paragraph", "start", "length", "family", "probability", "template", "similarity", "confirmed"])
 
