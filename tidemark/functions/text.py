@@ -10,9 +10,9 @@ from .columns import as_column
 # The 32 ASCII punctuation marks.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
-# Tag pattern (a dot stops at a line feed only) and token pattern.
+# Tag pattern (a dot stops at a line feed only) and the characters of words.
 TAG = "(?d)<.*?>"
-TOKEN = r"[\p{L}\p{N}_]+(?:['\u2019][\p{L}\p{N}_]+)*|[^\p{L}\p{N}_]+"
+WORD = r"[\p{L}\p{N}_]"
 
 # Contractions and their expansions.
 CONTRACTIONS = {
@@ -57,30 +57,59 @@ def strip_punctuation(text: Column | str) -> Column:
     return F.translate(as_column(text), PUNCTUATION, "")
 
 
+def _one_of(words) -> str:
+    """A pattern for any of the words, longest first, that shares their beginnings; either apostrophe."""
+    tree: dict = {}
+    for word in words:
+        node = tree
+        for c in word:
+            node = node.setdefault(c, {})
+        node[""] = {}
+
+    def pattern(node: dict) -> str:
+        parts = [("['\u2019]" if c == "'" else c) + pattern(below) for c, below in sorted(node.items()) if c]
+        if not parts:
+            return ""
+        return (parts[0] if len(parts) == 1 and "" not in node else "(?:" + "|".join(parts) + ")") + "?" * ("" in node)
+
+    return pattern(tree)
+
+
+def contraction_pattern() -> str:
+    """A contraction that is a whole word: no letter, digit, low line or inner apostrophe goes on beside it.
+
+    Most places fail on their first character, so texts are scanned once at little cost.
+    """
+    words = contraction_words()
+    first = "".join(sorted({w[0] for w in words}))
+    return (
+        rf"(?i)(?=[{first}])(?<!{WORD})(?<!{WORD}['\u2019]){_one_of(words)}(?!{WORD})(?!['\u2019]{WORD})"
+    )
+
+
 def expand_contractions(text: Column | str) -> Column:
-    """Replace contractions at word boundaries; all that stands between words is kept as it is.
+    """Replace contractions that are whole words; all that stands between words is kept as it is.
 
     Straight and curly apostrophes count alike. A capital first letter stays, and a contraction in
     capitals is expanded in capitals. Texts without any of the words are passed through.
     """
     words, text = contraction_words(), as_column(text)
     lookup = F.create_map(*[F.lit(v) for pair in words.items() for v in pair])
-    tokens = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
-
-    def expanded(token: Column) -> Column:
-        key = F.lower(F.translate(token, "\u2019", "'"))
-        full = F.try_element_at(lookup, key)
-        first = F.substring(token, 1, 1)
-        cased = (
-            F.when((F.length(token) > 1) & (token == F.upper(token)), F.upper(full))
+    some = F.lit(contraction_pattern())
+
+    def expanded(word: Column) -> Column:
+        full = F.element_at(lookup, F.lower(F.translate(word, "\u2019", "'")))
+        first = F.substring(word, 1, 1)
+        return (
+            F.when((F.length(word) > 1) & (word == F.upper(word)), F.upper(full))
             .when(first == F.upper(first), F.concat(F.upper(F.substring(full, 1, 1)), F.substring(full, 2, 1_000)))
             .otherwise(full)
         )
-        # the set test is hashed, so the map is searched for matching tokens only
-        return F.when(key.isin(list(words)), cased).otherwise(token)
 
-    some = F.lit(r"(?i)\b(?:" + "|".join(w.replace("'", "['\u2019]") for w in words) + r")\b")
-    return F.when(F.regexp_like(text, some), F.array_join(F.transform(tokens, expanded), "")).otherwise(text)
+    found = F.transform(F.regexp_extract_all(text, some, F.lit(0)), expanded)
+    # What stands between the words is one piece more than the words.
+    joined = F.zip_with(F.split(text, contraction_pattern(), -1), found, lambda piece, word: F.concat(piece, F.coalesce(word, F.lit(""))))
+    return F.when(F.regexp_like(text, some), F.array_join(joined, "")).otherwise(text)
 
 
 def clean_text(text: Column | str, remove_html_tags: bool = True, lowercase_text: bool = True,

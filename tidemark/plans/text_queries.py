@@ -22,6 +22,18 @@ def _words_sql() -> str:
     return f"""MAP {{{', '.join(f'{quoted(a)}: {quoted(b)}' for a, b in pairs)}}}"""
 
 
+def _sql_text(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
+
+
+def _expanded_sql(x: str) -> str:
+    full = f"{_words_sql()}[lower(replace({x}, chr(8217), chr(39)))]"
+    return (
+        f"coalesce(CASE WHEN length({x}) > 1 AND {x} = upper({x}) THEN upper({full}) "
+        f"WHEN {x}[1] = upper({x}[1]) THEN upper({full}[1]) || {full}[2:] ELSE {full} END, {x})"
+    )
+
+
 _PUNCTUATION = "'" + t.PUNCTUATION.replace("'", "''") + "'"
 
 
@@ -62,14 +74,18 @@ def labelled_clean_text(spark, folder):
         "doc_id", t.clean_text("text").alias("review"), F.col("quality").alias("sentiment"))
 
 
-@query("expand_contractions", """SELECT doc_id, replace(replace(replace(replace(
-    doc_id || ': I don' || chr(8217) || 't, really; we''re "it''s" DON''T.', 'don' || chr(8217) || 't', 'do not'), 'we''re', 'we are'),
-    'it''s', 'it is'), 'DON''T', 'DO NOT') || ' ' || left(text, 0) AS expanded FROM documents""")
+# Planted before and after each whole text, with what they become.
+_BEFORE = ("Don\u2019t stop; we're \"it's\" DON'T. ", "Do not stop; we are \"it is\" DO NOT. ")
+_AFTER = (" She'll say they've won't've, can't", " She will say they have won't've, cannot")
+
+
+@query("expand_contractions", f"""SELECT doc_id, coalesce({_sql_text(_BEFORE[1])} || array_to_string(list_transform(
+    regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_]+([''\u2019][\\p{{L}}\\p{{N}}_]+)*|[^\\p{{L}}\\p{{N}}_]+'), lambda x: {_expanded_sql('x')}), '')
+  || {_sql_text(_AFTER[1])}, NULL) AS expanded FROM documents""")
 def expand_contractions(spark, folder):
-    """Contractions beside marks, in capitals and with either apostrophe."""
-    line = F.concat(F.col("doc_id"), F.lit(": I don\u2019t, really; we're \"it's\" DON'T. "))
-    return table(spark, folder, "documents").where("text IS NOT NULL").select(
-        "doc_id", t.expand_contractions(line).alias("expanded"))
+    """Contractions of whole texts, and some planted beside marks, in capitals and with either apostrophe."""
+    line = F.concat(F.lit(_BEFORE[0]), F.col("text"), F.lit(_AFTER[0]))
+    return table(spark, folder, "documents").select("doc_id", t.expand_contractions(line).alias("expanded"))
 
 
 _DOCUMENT_CSV = T.StructType([
