@@ -122,33 +122,57 @@ def centre_list(df: DataFrame, vector: str, label: str) -> tuple[list, list[list
     return [r[label] for r in rows], [list(r["centre"]) for r in rows]
 
 
-def _first_by(df: DataFrame, vector: str, key: Column) -> list[float]:
-    return list(df.agg(F.min_by(doubles(vector), key)).first()[0])
+# Passes of the seeding after the first row, and candidates that each takes per centre.
+SEED_ROUNDS, OVERSAMPLED = 5, 2
 
 
 def spread_start(df: DataFrame, vector: str, k: int, seed: int, distance: str) -> list[list[float]]:
-    """k-means++ start: each next centre is drawn with probability proportional to the squared
-    distance to the centres so far. One pass per centre: the draw is a seeded race, in which
-    the row with the smallest exponential waiting time wins."""
-    race = "__race"
-    # the draw depends on the row's content, so that a rerun gives the same centres; equal rows are
-    # one row that weighs as much as they do
-    merged = df.select(doubles(vector).alias(vector)).groupBy(vector).agg(F.count(F.lit(1)).alias("__n"))
-    draws = stored(merged.withColumn(race, F.xxhash64(vector)))
-
-    def waiting(step: int, weight: Column) -> Column:
-        u = (F.xxhash64(race, F.lit(seed), F.lit(step)).bitwiseAND(F.lit((1 << 53) - 1)) + 0.5) / F.lit(float(1 << 53))
-        return F.when(weight > 0, -F.log(u) / weight)
-
-    centres = [_first_by(draws, vector, waiting(0, F.col("__n")))]
-    for step in range(1, k):
-        near = nearest_centre(vector, centres, distance)["distance"]
-        scored = draws.withColumn("__d", near).withColumn("__d", F.least("__d", F.lit(1e150)))
-        row = scored.agg(F.min_by(vector, waiting(step, F.col("__n") * F.col("__d") * F.col("__d")))).first()[0]
-        if row is None:  # fewer distinct rows than centres
+    """k-means++ start by oversampling, in SEED_ROUNDS + 2 passes whatever k.
+
+    Each pass draws OVERSAMPLED * k rows without replacement, with probability proportional to the
+    squared distance to the candidates so far: a seeded race, in which the rows with the smallest
+    exponential waiting times win. A last pass weighs the candidates by the rows nearest to them, and
+    weighted k-means++ on the candidates alone, whose number depends on k only, picks k of them.
+    """
+    # The draw depends on a row's content, so that a rerun gives the same centres; equal rows are one
+    # row that weighs as much as they do.
+    named = df.where(complete(vector)).select(doubles(vector).alias("v"))
+    rows = stored(named.groupBy("v").agg(F.count(F.lit(1)).alias("n")).withColumn("race", F.xxhash64("v")))
+
+    def draw(step: int, away: Column | None, count: int) -> list[list[float]]:
+        u = (F.xxhash64("race", F.lit(seed), F.lit(step)).bitwiseAND(F.lit((1 << 53) - 1)) + 0.5) / F.lit(float(1 << 53))
+        # Waiting times in logarithms: no distance is too large or too small.
+        wait = F.log(-F.log(u)) - F.log("n")
+        if away is None:
+            return [list(r["v"]) for r in rows.orderBy(wait, "v").limit(count).collect()]
+        measured = rows.withColumn("away", away).where((F.col("away") > 0) & (F.col("away") < float("inf")))
+        return [list(r["v"]) for r in measured.orderBy(wait - 2 * F.log("away"), "v").limit(count).select("v").collect()]
+
+    candidates = draw(0, None, 1)
+    if not candidates:
+        return []
+    for step in range(1, SEED_ROUNDS + 1):
+        more = draw(step, nearest_centre("v", candidates, distance)["distance"], OVERSAMPLED * k)
+        candidates += more
+        if not more or k == 1:
             break
-        centres.append(list(row))
-    return centres
+    near = rows.withColumn("at", nearest_centre("v", candidates, distance)["label"]).groupBy("at").agg(F.sum("n").alias("n"))
+    weight = np.zeros(len(candidates))
+    for r in near.collect():
+        weight[r["at"]] = r["n"]
+    points, rng = np.asarray(candidates, dtype=float), np.random.default_rng(seed)
+    chosen, closest = [], np.full(len(points), np.inf)
+    while len(chosen) < min(k, len(points)):
+        # Squared distances, scaled by the largest.
+        some = np.where(np.isfinite(closest), closest, 0.0) if chosen else np.ones(len(points))
+        share = weight * (some / (some.max() or 1.0)) ** 2
+        if not share.sum() > 0:
+            break
+        chosen.append(int(rng.choice(len(points), p=share / share.sum())))
+        new = _to_each(points[chosen[-1]], points, distance)
+        closest = np.minimum(closest, np.where(np.isnan(new), np.inf, np.maximum(new, 0.0)))
+        closest[chosen] = 0.0
+    return [candidates[i] for i in chosen]
 
 
 def random_start(df: DataFrame, vector: str, k: int, seed: int) -> list[list[float]]:

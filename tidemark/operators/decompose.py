@@ -14,15 +14,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Correlation, Summarizer
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import finite
 from ..functions.vectors import complete, doubles, whole
+from ..session import stored
 
-# Pairs of columns whose covariances one pass aggregates.
-PASS_PAIRS = 300
+# Partial sums that one task adds up.
+FAN_IN = 64
+# Rows that one matrix product takes.
+PRODUCT_ROWS = 4_096
 
 
 def as_vector_column(df: DataFrame, columns: Sequence[str], name: str = "features") -> DataFrame:
@@ -33,22 +37,55 @@ def as_vector_column(df: DataFrame, columns: Sequence[str], name: str = "feature
 def covariance_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Sample covariance of every pair of columns: row_name, column_name, covariance.
 
-    A pair is taken over the rows that have both values, whatever the number of columns; each pass
-    over the rows aggregates up to PASS_PAIRS pairs.
+    A pair is taken over the rows that have both values. One scan, whatever the width: every task adds
+    up products of blocks of rows, of values and of marks for present values, and the tasks' sums,
+    one row for each column, meet in groups of FAN_IN. Values are shifted by the means of the first
+    rows, which changes nothing but the rounding.
     """
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    out = None
-    for at in range(0, len(pairs), PASS_PAIRS):
-        entries = []
-        for a, b in pairs[at:at + PASS_PAIRS]:
-            value = F.covar_samp(finite(a), finite(b))
-            entries += [
-                F.struct(F.lit(x).alias("row_name"), F.lit(y).alias("column_name"), value.alias("covariance"))
-                for x, y in sorted({(a, b), (b, a)})
-            ]
-        part = df.agg(F.array(*entries).alias("__e")).select(F.inline("__e"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    names, p = list(columns), len(columns)
+    rows = df.select(*[finite(c).alias(f"c{k}") for k, c in enumerate(names)])
+    first = rows.limit(PRODUCT_ROWS).agg(*[F.avg(f"c{k}").alias(f"c{k}") for k in range(p)]).first()
+    shift = np.array([x if x is not None and np.isfinite(x) else 0.0 for x in first])
+    doubles_list = pa.list_(pa.float64())
+    parts = ("n", "x", "y", "xy")
+    schema = pa.schema([("task", pa.int64()), ("i", pa.int32()), *[(c, doubles_list) for c in parts]])
+    ddl = "task bigint, i int, " + ", ".join(f"{c} array<double>" for c in parts)
+
+    def products(batches):
+        total = np.zeros((4, p, p))
+        for batch in batches:
+            for at in range(0, batch.num_rows, PRODUCT_ROWS):
+                some = batch.slice(at, PRODUCT_ROWS)
+                x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in some.columns]) - shift
+                there = ~np.isnan(x)
+                x, there = np.where(there, x, 0.0), there.astype(np.float64)
+                total += there.T @ there, x.T @ there, there.T @ x, x.T @ x
+        task = TaskContext.get().partitionId()
+        # A row at a time: no message is wider than one column's sums.
+        for i in range(p):
+            yield pa.RecordBatch.from_pylist([{"task": task, "i": i, **dict(zip(parts, total[:, i]))}], schema)
+
+    def added(table: pa.Table) -> pa.Table:
+        sums = {c: table[c].combine_chunks().flatten().to_numpy().reshape(table.num_rows, p).sum(axis=0) for c in parts}
+        return pa.Table.from_pylist([{"task": table["task"][0].as_py() // FAN_IN, "i": table["i"][0].as_py(), **sums}], schema)
+
+    # A table without rows has its pairs, too.
+    nothing = F.array_repeat(F.lit(0.0), p)
+    empty = df.sparkSession.range(p).select(
+        F.lit(0).cast("long").alias("task"), F.col("id").cast("int").alias("i"), *[nothing.alias(c) for c in parts])
+    sums = stored(rows.mapInArrow(products, ddl).unionByName(empty))
+    most = sums.agg(F.max("task")).first()[0]
+    while True:
+        sums = sums.groupBy("i", F.floor(F.col("task") / FAN_IN)).applyInArrow(added, ddl)
+        if most < FAN_IN:
+            break
+        most //= FAN_IN
+    labels = F.array(*map(F.lit, names))
+    cells = sums.select("i", F.posexplode(F.arrays_zip(*parts)).alias("j", "s"))
+    n, x, y, xy = (F.col(f"s.{c}") for c in parts)
+    value = F.when(n > 1, (xy - x * y / n) / (n - 1))
+    return cells.select(
+        F.get(labels, F.col("i")).alias("row_name"), F.get(labels, F.col("j")).alias("column_name"), value.alias("covariance"))
 
 
 def vector_moments(df: DataFrame, vector: str) -> tuple[int, np.ndarray, np.ndarray]:
