@@ -69,3 +69,38 @@ def test_contractions_by_the_definition(spark):
     rows = spark.createDataFrame([(x,) for x in [*texts, "", None]], "x string").select("x", t.expand_contractions("x").alias("y")).collect()
     for r in rows:
         assert r["y"] == (None if r["x"] is None else "".join(map(expanded, token.findall(r["x"]))))
+
+
+def test_windows_of_a_periodogram(spark):
+    """Named windows and weights against the transform of the weighted series."""
+    from tidemark.operators import spectral
+
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=40)
+    frame = spark.createDataFrame([(i, float(v)) for i, v in enumerate(x)], "i int, v double")
+    t = np.arange(40) / 40
+    shapes = {name: sum((-1) ** k * a * np.cos(2 * np.pi * k * t) for k, a in enumerate(c)) for name, c in spectral.COSINE_WINDOWS.items()}
+    shapes["bartlett"] = 1 - np.abs(2 * t - 1)
+    weights = rng.random(30)
+    for window in ("hamming", "blackman", "flattop", "bartlett", [float(w) for w in weights]):
+        w = shapes[window] if isinstance(window, str) else weights
+        want = np.abs(np.fft.rfft(x[:len(w)] * w)) ** 2 / (w ** 2).sum()
+        want[1:len(w) // 2] *= 2
+        got = {r["bin"]: r["power"] for r in spectral.periodogram(frame, "v", [], ["i"], window=window).collect()}
+        assert np.allclose([got[k] for k in range(len(want))], want, rtol=1e-6, atol=1e-9)
+
+
+def test_sparse_indicators(spark):
+    from tidemark.operators import encode
+    from tidemark.session import stored
+
+    frame = spark.createDataFrame([(0, "b"), (1, "a"), (2, None), (3, "c"), (4, "b")], "i int, v string")
+    codes = stored(encode.sorted_codes(frame, ["v"]))
+    more = frame.unionByName(spark.createDataFrame([(5, "new")], "i int, v string"))
+    for drop, b, size in ((True, [0], 2), (False, [1], 3)):
+        coded = encode.one_hot_sparse(more, "v", codes, "x", drop)
+        got = {r["i"]: r["x"] for r in coded.collect()}
+        assert (got[0]["size"], got[0]["indices"], got[0]["values"]) == (size, b, [1.0]) and got[2] is None
+        assert got[1]["indices"] == ([] if drop else [0]) and got[5]["size"] is None and got[5]["indices"] == []
+        back = {r["i"]: r["y"] for r in encode.one_hot_sparse_inverse(coded, "x", "v", codes, "y", drop).collect()}
+        assert back == {0: "b", 1: "a", 2: None, 3: "c", 4: "b", 5: None}

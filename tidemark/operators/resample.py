@@ -306,20 +306,14 @@ def generate_timeseries(df: DataFrame, interval: str = "D", segments: list[str]
     return with_calendar(long.groupBy(BIN).agg(*columns))
 
 
-MAX_WIDE_VALUES = 500
-
-
 def segment_values(df: DataFrame, segments: list[str], values: list | None) -> list[tuple[str, object]]:
     """The (segment, value) pairs that become columns: the same values for every segment, or
-    each segment's own values. A table can only be so wide; use segment_series beyond."""
+    each segment's own values. Each is a column per metric; segment_series has no such width."""
     if values is not None:
         return [(segment, value) for segment in segments for value in values]
     _check_columns(df, segments)
     pairs = []
     for segment in segments:
-        found = df.select(segment).where(F.col(segment).isNotNull()).distinct().limit(MAX_WIDE_VALUES + 1)
-        rows = sorted(r[0] for r in found.collect())
-        if len(rows) > MAX_WIDE_VALUES:
-            raise ValueError(f"'{segment}' has more than {MAX_WIDE_VALUES} values: use segment_series")
-        pairs += [(segment, value) for value in rows]
+        found = df.select(segment).where(F.col(segment).isNotNull()).distinct()
+        pairs += [(segment, value) for value in sorted(r[0] for r in found.collect())]
     return pairs

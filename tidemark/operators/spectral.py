@@ -191,19 +191,45 @@ def fft_spectrum(df: DataFrame, value: str, keys: Sequence[str], order: Sequence
         (size * scales[norm]).alias("magnitude"), F.atan2("im", "re").alias("phase"))
 
 
-def _taper(window: str) -> Column:
-    if window == "hann":
-        return F.lit(0.5) - F.lit(0.5) * F.cos(F.lit(2 * math.pi) * F.col("t") / F.col("used"))
-    if window == "boxcar":
-        return F.lit(1.0)
-    raise ValueError(f"unknown window: {window}")
+# Coefficients of the periodic cosine windows, from the constant up.
+COSINE_WINDOWS = {
+    "boxcar": (1.0,),
+    "hann": (0.5, 0.5),
+    "hamming": (0.54, 0.46),
+    "blackman": (0.42, 0.5, 0.08),
+    "nuttall": (0.3635819, 0.4891775, 0.1365995, 0.0106411),
+    "flattop": (0.21557895, 0.41663158, 0.277263158, 0.083578947, 0.006947368),
+}
+
+
+def _taper(window: str | Sequence[float]) -> Column:
+    """The weight of place t: of a named window as long as the series, or from a list of weights."""
+    if not isinstance(window, str):
+        return F.get(F.lit([float(w) for w in window]), F.col("t").cast("int"))
+    turn = F.lit(2 * math.pi) * F.col("t") / F.col("used")
+    if window == "bartlett":
+        return F.lit(1.0) - F.abs(F.lit(2.0) * F.col("t") / F.col("used") - F.lit(1.0))
+    if window not in COSINE_WINDOWS:
+        raise ValueError(f"unknown window: {window}")
+    weight = F.lit(0.0)
+    for k, a in enumerate(COSINE_WINDOWS[window]):
+        weight = weight + F.lit(a if k % 2 == 0 else -a) * F.cos(F.lit(float(k)) * turn)
+    return weight
 
 
 def periodogram(df: DataFrame, value: str, keys: Sequence[str], order: Sequence[str], fs: float = 1.0,
-                window: str = "hann", nfft: int | None = None, detrend: str | None = None,
+                window: str | Sequence[float] = "hann", nfft: int | None = None, detrend: str | None = None,
                 return_onesided: bool = True, scaling: str = "density") -> DataFrame:
     """(keys, bin, frequency, power) with a periodic window, optional removal of the mean
-    (`constant`) or line (`linear`), and power per frequency or per bin (`spectrum`)."""
+    (`constant`) or line (`linear`), and power per frequency or per bin (`spectrum`).
+
+    The window is a name or a list of weights, one for each value of the series; then `nfft` is
+    the number of weights, and longer series are cut to it.
+    """
+    if not isinstance(window, str):
+        if nfft not in (None, len(window)):
+            raise ValueError("give as many weights as nfft")
+        nfft = len(window)
     if scaling not in ("density", "spectrum"):
         raise ValueError(f"unknown scaling: {scaling}")
     names, keys = keys, _inner_keys(keys)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as c
 from ..operators import encode, hypothesis, outliers, profile, scaling, splitting
-from ..session import scratch_path
+from ..session import scratch_path, stored
 from ..sources.sinks import write_split
 from ..sources.tables import table
 from .registry import query, six
@@ -344,6 +344,53 @@ def one_hot_drop_first(spark, folder):
     return encode.one_hot_drop_first(orders, "o_orderstatus")
 
 
+_NAMES = """SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN 'customer ' || o_custkey END AS name FROM orders"""
+
+
+def _named_orders(spark, folder):
+    """Orders with their customer's name, of which a seventh is missing."""
+    name = F.when(F.col("o_orderkey") % 7 != 0, F.concat(F.lit("customer "), F.col("o_custkey")))
+    return table(spark, folder, "orders").select("o_orderkey", name.alias("name"))
+
+
+@query("one_hot_sparse", f"""WITH n AS ({_NAMES}), c AS (SELECT name, row_number() OVER (ORDER BY name) - 1 AS code
+    FROM (SELECT DISTINCT name FROM n WHERE name IS NOT NULL))
+  SELECT o_orderkey, CASE WHEN code IS NOT NULL THEN (SELECT count(*) - 1 FROM c) END AS size,
+    CASE WHEN code > 0 THEN CAST(code - 1 AS INTEGER) END AS place FROM n LEFT JOIN c USING (name)""")
+def one_hot_sparse(spark, folder):
+    """Indicators of as many levels as there are customers, as sparse vectors."""
+    orders = _named_orders(spark, folder)
+    codes = stored(encode.sorted_codes(orders, ["name"]))
+    found = encode.one_hot_sparse(orders, "name", codes, "vector")
+    return found.select("o_orderkey", F.col("vector.size").alias("size"), F.get(F.col("vector.indices"), F.lit(0)).alias("place"))
+
+
+@query("one_hot_sparse_inverse", _NAMES)
+def one_hot_sparse_inverse(spark, folder):
+    """The names, back from their sparse vectors."""
+    orders = _named_orders(spark, folder)
+    codes = stored(encode.sorted_codes(orders, ["name"]))
+    found = encode.one_hot_sparse(orders, "name", codes, "vector").drop("name")
+    return encode.one_hot_sparse_inverse(found, "vector", "name", codes, "name").drop("vector")
+
+
+@query("label_decode", "SELECT o_orderkey, o_orderpriority AS priority FROM orders")
+def label_decode(spark, folder):
+    """The priorities, back from their codes."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
+    coded = encode.label_encode(orders, "o_orderpriority", "code").drop("o_orderpriority")
+    return encode.label_decode(coded, "code", encode.sorted_codes(orders, ["o_orderpriority"]), "priority").drop("code")
+
+
+@query("one_hot_inverse", "SELECT o_orderkey, o_orderstatus FROM orders")
+def one_hot_inverse(spark, folder):
+    """The status, back from its indicator columns."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    levels = ["F", "O", "P"]
+    coded = encode.one_hot_drop_first(orders, "o_orderstatus", levels)
+    return encode.one_hot_inverse(coded, "o_orderstatus", levels).select("o_orderkey", "o_orderstatus")
+
+
 _TRAIN = "l_linestatus = 'F'"
 
 
