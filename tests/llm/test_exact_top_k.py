@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import bitsliced
@@ -53,6 +54,19 @@ def test_one_id_is_dealt_over_the_blocks(spark):
     assert len(sizes) == 10 and sum(sizes) == 2000 and max(sizes) < 300
 
 
+def test_large_components(spark):
+    """Products beyond a long's range are added exactly; what can't be returned stops the job."""
+    rows = [(0, [2.0**40, -(2.0**40), 1.0]), (1, [2.0**42, 2.0**42, 5.0]), (2, [2.0**42 + 1, 2.0**42, -7.0]), (3, [-1.0, 0.5, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in bitsliced.top_k(frame, F.col("id") == 0, k=3).collect())
+    whole = {i: [math.floor(256 * x) for x in v] for i, v in rows}
+    best = sorted((-sum(a * b for a, b in zip(whole[0], whole[i])), i) for i in (1, 2, 3))
+    assert got == [(0, n, i, -s) for n, (s, i) in enumerate(best, 1)]
+    for rows in ([(0, [2.0**50]), (1, [2.0**50])], [(0, [1e20]), (1, [1.0])]):
+        with pytest.raises(Exception, match="does not fit|too large"):
+            bitsliced.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") == 0).collect()
+
+
 def test_slices_add_up():
     rng = np.random.default_rng(3)
     values, weights = rng.integers(0, 200, (130, 9)), rng.integers(-300, 300, (4, 9))

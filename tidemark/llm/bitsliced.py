@@ -17,7 +17,9 @@ left out: the result is exact.
 Defined results: rows whose vector or id is NULL, or that hold a NULL or non-finite component, take
 no part; vectors of another length than the query's are no candidates; a query row that repeats an
 id is asked once, with its smallest vector, and all rows of its id are its own; other repeated rows
-are candidates as often as they occur. Components and scores must fit a long.
+are candidates as often as they occur. Scores are exact whatever the components; a quantised component of
+2^62 or more, or a returned score that doesn't fit a long, stops the job. Ties go to the smaller id;
+only the two named columns are read, whatever others are called; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -42,7 +44,16 @@ def quantised(vectors: DataFrame, id_column: str, vector: str, scale: int) -> Da
     named = vectors.select(F.col(f"`{id_column}`").alias("id"), values.alias("x"))
     finite = F.forall("x", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     kept = named.where(F.col("id").isNotNull() & F.coalesce(finite, F.lit(False)))
-    return kept.select("id", F.transform("x", lambda x: F.floor(x * scale).cast("long")).alias("v"))
+    large = F.raise_error(F.lit("a component is too large to be indexed")).cast("long")
+    whole = lambda x: F.when(F.abs(x * scale) < F.lit(2.0 ** 62), F.floor(x * scale).cast("long")).otherwise(large)
+    return kept.select("id", F.transform("x", whole).alias("v"))
+
+
+def _products(rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Exact inner products of integer rows with one weight vector."""
+    if float(np.abs(rows).max(initial=0)) * float(np.abs(weights).max(initial=0)) * max(1, len(weights)) < 2.0 ** 62:
+        return rows @ weights
+    return np.array([sum(a * b for a, b in zip(row, weights.tolist())) for row in rows.tolist()], dtype=object)
 
 
 def _slices(rows: np.ndarray, width: int) -> np.ndarray:
@@ -182,9 +193,14 @@ def _search(k: int, dropped: int):
                 picked = np.unpackbits(np.ascontiguousarray(chosen).view(np.uint8), axis=1, count=n, bitorder="little")
                 for q, own in enumerate(some["id"].tolist()):
                     place = np.flatnonzero(picked[q])
-                    score = exact[place] @ weights[q]
-                    best = np.lexsort((ids[place], -score))[:k]
-                    out.append(pd.DataFrame({"query_id": own, "vec_id": ids[place][best], "score": score[best]}))
+                    score = _products(exact[place], weights[q])
+                    if score.dtype == object:
+                        best = sorted(range(len(score)), key=lambda i: (-score[i], ids[place[i]]))[:k]
+                        if any(abs(score[i]) >= 1 << 63 for i in best):
+                            raise OverflowError("a score does not fit a long")
+                    else:
+                        best = np.lexsort((ids[place], -score))[:k]
+                    out.append(pd.DataFrame({"query_id": own, "vec_id": ids[place][best], "score": score[best].astype(np.int64)}))
         return pd.concat(out).astype(columns) if out else pd.DataFrame(columns=list(columns)).astype(columns)
 
     return search
