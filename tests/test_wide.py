@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text as t
 from tidemark.operators import cluster, decompose
+from tidemark.session import SINGLE_TASK_ROWS_KEY
 
 
 def test_covariance_of_many_columns_in_one_scan(spark):
@@ -104,3 +105,27 @@ def test_sparse_indicators(spark):
         assert got[1]["indices"] == ([] if drop else [0]) and got[5]["size"] is None and got[5]["indices"] == []
         back = {r["i"]: r["y"] for r in encode.one_hot_sparse_inverse(coded, "x", "v", codes, "y", drop).collect()}
         assert back == {0: "b", 1: "a", 2: None, 3: "c", 4: "b", 5: None}
+
+
+def test_many_unequal_weights(spark):
+    """Ten thousand weights by blocks against direct sums, for a long series, a short one and one with gaps."""
+    from tidemark.operators import ordered
+
+    rng = np.random.default_rng(9)
+    series = {"long": rng.normal(size=12_500), "short": rng.normal(size=40), "gaps": np.where(rng.random(900) < 0.7, np.nan, rng.normal(size=900)), "none": np.full(5, np.nan)}
+    rows = [(k, i, None if np.isnan(x) else float(x)) for k, v in series.items() for i, x in enumerate(v)]
+    frame = spark.createDataFrame(rows, "k string, i int, v double").repartition(4)
+    for length, rows_per_task in ((65, "300"), (65, None), (10_000, None)):
+        # Also for series cut into chunks.
+        spark.conf.set(SINGLE_TASK_ROWS_KEY, rows_per_task) if rows_per_task else spark.conf.unset(SINGLE_TASK_ROWS_KEY)
+        weights = rng.random(length) + 0.1
+        before = length // 2
+        got = {(r["k"], r["i"]): r["m"] for r in ordered.moving_average(frame, "v", ["k"], ["i"], [float(w) for w in weights], "m").collect()}
+        assert len(got) == len(rows)
+        for k, v in series.items():
+            for i in range(0, len(v), 97 if k == "long" else 1):
+                near = np.arange(max(0, i - before), min(len(v), i - before + length))
+                x, w = v[near], weights[near - i + before]
+                there = ~np.isnan(x)
+                want = (w[there] * x[there]).sum() / w[there].sum() if there.any() else None
+                assert got[k, i] is None if want is None else abs(got[k, i] - want) < 1e-9

@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import finite
 from .ranking import POSITION, fits_one_task, join_on, join_summary, over_series, positions, running_sums
@@ -24,7 +27,8 @@ def _reach(length: int) -> tuple[int, int]:
 def moving_average(df: DataFrame, value: str, key: Sequence[str], order: Sequence[str],
                    weights: Sequence[float] | None, name: str) -> DataFrame:
     """Centred weighted mean of each series. Where the window leaves the series the remaining
-    weights are rescaled. None means equal weights over the length of the series."""
+    weights are rescaled. None means equal weights over the length of the series. Many unequal
+    weights are applied by block convolution."""
     if weights is None:
         return _whole_length_average(df, value, key, order, name)
     before, after = _reach(len(weights))
@@ -40,16 +44,7 @@ def moving_average(df: DataFrame, value: str, key: Sequence[str], order: Sequenc
             total = reduce(lambda a, b: a + b, [F.coalesce(g * c, F.lit(0.0)) for g, c in used])
             share = reduce(lambda a, b: a + b, [F.when(c.isNotNull(), g).otherwise(0.0) for g, c in used])
             return rows.withColumn(name, F.try_divide(total, share))
-        # one array per row: which weight a neighbour gets depends on its distance
-        near = F.collect_list(F.struct(F.col("__row").alias("r"), F.col("__x").alias("x"))).over(
-            w.rowsBetween(-before, after))
-        table = F.array(*[F.lit(float(g)) for g in weights])
-        pairs = F.transform(near, lambda s: F.struct(
-            F.get(table, (s["r"] - F.col("__row") + before).cast("int")).alias("g"), s["x"].alias("x")))
-        pairs = F.filter(pairs, lambda s: s["x"].isNotNull())
-        total = F.aggregate(pairs, F.lit(0.0), lambda a, s: a + s["g"] * s["x"])
-        share = F.aggregate(pairs, F.lit(0.0), lambda a, s: a + s["g"])
-        return rows.withColumn(name, F.try_divide(total, share))
+        return _convolved(rows, keys, weights, before, name)
 
     rows = df.withColumn("__x", finite(value))
     fits = fits_one_task(df, key)
@@ -59,6 +54,43 @@ def moving_average(df: DataFrame, value: str, key: Sequence[str], order: Sequenc
     return done.select(*[c for c in df.columns if c != name], name)
 
 
+def block_convolution(x: np.ndarray, kernel: np.ndarray) -> np.ndarray:
+    """The full convolution of a long series with a kernel, by transforms of overlapping blocks."""
+    length = len(kernel)
+    size = 1 << max(6, (4 * length - 1).bit_length())
+    step, turned = size - length + 1, np.fft.rfft(kernel, size)
+    out = np.zeros(len(x) + length - 1)
+    for at in range(0, len(x), step):
+        block = x[at:at + step]
+        out[at:at + len(block) + length - 1] += np.fft.irfft(np.fft.rfft(block, size) * turned, size)[:len(block) + length - 1]
+    return out
+
+
+def _convolved(rows: DataFrame, keys: list[str], weights: Sequence[float], before: int, name: str) -> DataFrame:
+    """Weighted means of rows ("__row", "__x") of each series or chunk, at a cost that grows with the
+    rows times the logarithm of the number of weights."""
+    kernel = np.asarray(weights, dtype=float)[::-1]
+    after = len(kernel) - 1 - before
+    kept = rows.drop(name)
+    schema = T.StructType([*kept.schema.fields, T.StructField(name, T.DoubleType())])
+
+    def means(table: pa.Table) -> pa.Table:
+        table = table.sort_by("__row")
+        n, x = table.num_rows, table["__x"].to_numpy(zero_copy_only=False).astype(float)
+        there = ~np.isnan(x)
+        x = np.where(there, x, 0.0)
+        total, share = (block_convolution(v, kernel)[after:after + n] for v in (x, there.astype(float)))
+        # What rounding leaves of a window without values, or of weights that cancel, is no share.
+        seen = np.concatenate([[0], np.cumsum(there)])
+        place = np.arange(n)
+        some = seen[np.minimum(place + after + 1, n)] > seen[np.maximum(place - before, 0)]
+        fine = some & (np.abs(share) > 1e-12 * np.abs(kernel).sum())
+        mean = np.divide(total, share, out=np.zeros(n), where=fine)
+        return table.append_column(name, pa.array(mean, mask=~fine))
+
+    return kept.groupBy(*keys).applyInArrow(means, schema)
+
+
 def _whole_length_average(df: DataFrame, value: str, key: Sequence[str], order: Sequence[str],
                           name: str) -> DataFrame:
     """Equal weights over a window as long as the series: differences of running sums."""

@@ -36,6 +36,18 @@ def moving_average(spark, folder):
     return rows.select("event_id", "odd_equal", "even_equal", "weighted", "whole")
 
 
+_LONG = [1.0 + (j * j) % 7 for j in range(120)]
+
+
+@query("moving_average_long", f"""WITH e AS (SELECT event_id, event_type, value, row_number() OVER ({_W}) AS r FROM events)
+  SELECT a.event_id, sum(w * b.value) / sum(w) FILTER (b.value IS NOT NULL) AS weighted
+  FROM e a JOIN (SELECT unnest(range(0, 120)) AS j, 1.0 + (j * j) % 7 AS w) ON true
+  LEFT JOIN e b ON b.event_type = a.event_type AND b.r = a.r - 60 + j GROUP BY a.event_id""", six("weighted"))
+def moving_average_long(spark, folder):
+    """A hundred and twenty unequal weights, applied by block convolution."""
+    return ordered.moving_average(_events(spark, folder), "value", ["event_type"], _ORDER, _LONG, "weighted").select("event_id", "weighted")
+
+
 @query("window_horizon", f"""WITH r AS (SELECT event_type, ts, value, event_id, row_number() OVER ({_W}) - 1 AS i,
     count(*) OVER (PARTITION BY event_type) AS n FROM events)
   SELECT a.event_type, a.i AS start, 'x' AS role, CAST(b.i - a.i AS BIGINT) AS step, b.value, b.ts FROM r a JOIN r b
