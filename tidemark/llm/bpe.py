@@ -16,6 +16,8 @@ checksum over each block's words stops the job otherwise.
 
 Defined results: a NULL or empty text has no ids and decodes to the empty text; a special token's
 string inside a text becomes that token; ids may be NULL or repeat, each row keeps its own.
+Texts of any length are encoded whole; an empty table gives no rows, and columns other than the id and
+the text are not read.
 """
 
 from __future__ import annotations

@@ -18,6 +18,8 @@ seeded by group, island and epoch: a lost task packs the same way again.
 
 Defined results: a NULL or empty text is one piece with the end token alone; repeated rows are
 packed as often as they occur; a NULL id is a value like others.
+Texts of any length are encoded whole; pieces of equal length are placed in the order of their numbers;
+an empty table gives no rows, and columns other than the id and the text are not read.
 """
 
 from __future__ import annotations

@@ -18,6 +18,7 @@ Defined results: a NULL or empty text has zero features; NULL hosts and paths ar
 own; a document with several labels takes their mean, at least one half counting as good, and NULL
 labels don't count; without labels of both classes the evidence is 0 and the sites decide. Repeated
 rows are judged alike, and without any label all documents are accepted.
+Texts of any length are measured whole; an empty table gives no rows.
 """
 
 from __future__ import annotations

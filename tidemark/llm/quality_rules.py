@@ -11,6 +11,7 @@ whose partial counts per bitmask are combined before they move.
 Defined results: a NULL or empty text has no words, fails the word rule and is rejected by every
 policy that holds it; repeated rows are judged one by one; extra columns stay in the ledger unless
 they bear one of its names, in which case the ledger's column replaces them.
+Texts of any length are measured whole; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -13,6 +13,8 @@
 The segments have 21 or 22 bits, so a probe meets one fingerprint in two million by chance. The join
 has no group that one task must hold: Spark splits its large keys. A segment value shared by k
 distinct fingerprints costs k^2 comparisons; for very crowded tables give fewer, longer segments.
+Texts of any length are hashed whole; an empty table gives no rows, and columns other than the id and
+the text are not read.
 """
 
 from __future__ import annotations

@@ -14,6 +14,8 @@ path through a checked join with that table.
 Defined results: a NULL url or one without `://` has empty host and path, fits no rule and is
 blocked, as is any empty host and path; if the rules leave one class without URLs, its model knows
 nothing and the threshold is 0. Repeated rows get equal verdicts; `page_id` is only passed on.
+URLs of any length are scored whole; pages with equal URLs share a score and each keep their row; an
+empty table gives no rows, and columns other than the id and the URL are not read.
 """
 
 from __future__ import annotations

@@ -21,6 +21,8 @@ revisit, or a response where no row has an id; rows that repeat the largest id a
 A NULL url is left out of the header, blanks and control characters in it are percent-encoded. Bytes
 after a broken chain or in a file that doesn't start with a record are not read. An empty table
 gives no records.
+Payloads of any length are written whole; of equal payloads the largest id is the response; an empty
+table gives no records.
 """
 
 from __future__ import annotations
