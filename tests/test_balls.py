@@ -3,7 +3,9 @@
 import math
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import balls, cluster
 
@@ -71,3 +73,26 @@ def test_silhouette_estimate_is_within_its_bound(spark):
     whole = cluster.silhouette_estimate(frame, "v", "label", ["id"], sample_rows=10_000).first()
     assert math.isclose(whole["score"], exact, rel_tol=1e-6) and whole["bound"] == 0.0
     assert cluster.silhouette_estimate(frame.where("label = 1"), "v", "label", ["id"]).first()["score"] == 0.0
+
+
+def test_blocks_of_one_pivot_shrink_with_their_rows(spark, monkeypatch):
+    monkeypatch.setattr(balls, "BLOCK_ROWS", 20)
+    rng = random.Random(3)
+    rows = [(k % 2, [rng.uniform(0, 50), 60.0 * (k % 2) + rng.uniform(0, 9)]) for k in range(1_200)]
+    frame = spark.createDataFrame(rows, "label int, v array<double>")
+    found = balls.extremes(frame, F.col("v"), F.col("label"), pivots=1)
+    closest, widest, pairs = brute(rows, "euclidean")
+    assert math.isclose(found.closest, closest) and math.isclose(found.widest, widest) and found.pairs == pairs
+    assert found.compared < pairs / 4
+
+
+def test_extreme_distance_without_cancellation():
+    rng = np.random.default_rng(4)
+    for shift, scale in ((0.0, 1.0), (1e6, 1e-3), (0.0, 1e-9), (1e200, 1e190)):
+        x, y = shift + scale * rng.normal(size=(60, 5)), shift + scale * rng.normal(size=(40, 5))
+        y[0] = x[0]
+        d = balls.pair_distances(x, y, False)
+        assert balls.extreme_distance(x, y, False, False, math.inf) == d.min() == 0.0
+        assert balls.extreme_distance(x, y[1:], False, False, math.inf) == d[:, 1:].min()
+        assert balls.extreme_distance(x, y, False, True, -1.0) == d.max()
+        assert balls.extreme_distance(x, y, False, True, 2 * d.max()) == 2 * d.max()

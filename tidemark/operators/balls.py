@@ -1,12 +1,16 @@
 """The closest pair between clusters and the widest pair within one, with few pairs compared.
 
 Rows are packed into blocks of one cluster that lie near one another: each row goes to the nearest of
-at most `PIVOTS` rows, and a (cluster, pivot) cell is dealt into blocks of about `BLOCK_ROWS` rows. A
+at most `PIVOTS` rows, and a (cluster, pivot) cell is halved along its widest dimension until a block
+has at most `BLOCK_ROWS` rows, so that blocks shrink in space as rows are added. A
 block has a centre and a radius, so the triangle inequality bounds every distance between two blocks
 from below and above, by their centres alone. One real row of each block, the nearest to its centre,
 gives first extremes; only block pairs whose bound can still beat the best pair found are candidates.
 They are compared in order of promise, a few first, and each round's result discards more of the rest.
 The extremes are exact: a pair is left out only if its bound proves it no better.
+
+Blocks are dealt to shelves, about `SHELVES` of them, and the candidates of two shelves are compared in
+one task. A block is copied once for each shelf that it meets, not once for each candidate.
 """
 
 from __future__ import annotations
@@ -24,10 +28,14 @@ from ..session import stored
 
 PIVOTS = 1024
 BLOCK_ROWS = 1_000
+# Blocks that one task cuts from a cell, and the numbers in them at most.
+CELL_BLOCKS, CELL_VALUES = 64, 1 << 22
+# Shelves of balls, and the numbers that a shelf holds at most: beyond, there are more shelves.
+SHELVES, SHELF_VALUES = 32, 1 << 21
 # Balls of one chunk; chunks of balls meet pair by pair.
 CHUNK_BALLS = 1_000
 # Block pairs of each kind that the rounds take, the most promising first; the last takes what is left.
-ROUNDS = (64, 512, 4096, None)
+ROUNDS = (64, 512, None)
 # Bounds are widened by this share of their terms, more than their rounding.
 SLACK = 1e-12
 
@@ -49,6 +57,50 @@ def pair_distances(a: np.ndarray, b: np.ndarray, manhattan: bool) -> np.ndarray:
     return np.sqrt(np.stack([((b - x) ** 2).sum(axis=1) for x in a]))
 
 
+def _squares(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+    """All squared distances as one matrix product, and a bound of their errors. Both matrices are
+    moved to their common middle first, as the error grows with the lengths."""
+    middle = (x.mean(axis=0) + y.mean(axis=0)) / 2
+    x, y = x - middle, y - middle
+    xx, yy = (x * x).sum(axis=1), (y * y).sum(axis=1)
+    left = np.column_stack([x, xx, np.ones(len(x))])
+    right = np.column_stack([-2 * y, np.ones(len(y)), yy])
+    # The differences to the middle are rounded as well, by half a unit of the numbers moved.
+    moved = np.abs(middle).max() * np.sqrt(len(middle)) * np.sqrt(xx.max() + yy.max())
+    return left @ right.T, 4 * (x.shape[1] + 4) * np.finfo(float).eps * (xx.max() + yy.max() + moved)
+
+
+def extreme_distance(x: np.ndarray, y: np.ndarray, manhattan: bool, widest: bool, best: float) -> float:
+    """The least (or largest) distance between the rows of two matrices, without cancellation; `best`
+    if none beats it. Only the pairs that the product's error leaves open are measured again."""
+    pick, better = (max, np.max) if widest else (min, np.min)
+    if not manhattan:
+        with np.errstate(all="ignore"):
+            d, error = _squares(x, y)
+            end = float(better(d))
+        if np.isfinite(end) and np.isfinite(error):
+            square = best * abs(best)
+            if end + error < square * (1 - SLACK) if widest else end - error > square * (1 + SLACK):
+                return best
+            i, j = np.nonzero(d >= end - 2 * error if widest else d <= end + 2 * error)
+            for at in range(0, len(i), 10_000):
+                some = slice(at, at + 10_000)
+                best = pick(best, float(better(np.sqrt(((y[j[some]] - x[i[some]]) ** 2).sum(axis=1)))))
+            return best
+    return pick(best, float(better(pair_distances(x, y, manhattan))))
+
+
+def _halves(rows: np.ndarray) -> Iterator[np.ndarray]:
+    """The rows in parts of at most BLOCK_ROWS, by halving along the dimension that varies most."""
+    if len(rows) <= BLOCK_ROWS:
+        yield rows
+        return
+    middle = len(rows) // 2
+    order = np.argpartition(rows[:, np.ptp(rows, axis=0).argmax()], middle)
+    yield from _halves(rows[order[:middle]])
+    yield from _halves(rows[order[middle:]])
+
+
 def _packed(points: DataFrame, pivots: np.ndarray, manhattan: bool) -> DataFrame:
     """(ball, label, n, centre, radius, near, rows) of stored points (label, v)."""
 
@@ -58,33 +110,37 @@ def _packed(points: DataFrame, pivots: np.ndarray, manhattan: bool) -> DataFrame
         return pa.array(pair_distances(pivots, rows, manhattan).argmin(axis=0).astype(np.int32) if len(v) else [], pa.int32())
 
     celled = stored(points.withColumn("cell", nearest("v")))
-    parts = celled.groupBy("label", "cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("parts"))
+    parts = celled.groupBy("label", "cell").agg(
+        F.ceil(F.count(F.lit(1)) / _cell_rows(pivots.shape[1])).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("v"), F.col("parts")).alias("part")
     dealt = celled.join(parts, ["label", "cell"]).select("label", "cell", part, "v")
-    blocks = dealt.groupBy("label", "cell", "part").agg(F.count(F.lit(1)).alias("n"), F.flatten(F.collect_list("v")).alias("rows"))
     schema = pa.schema([
         ("label", pa.string()), ("n", pa.int64()), ("centre", pa.list_(pa.float64())), ("radius", pa.float64()),
         ("near", pa.list_(pa.float64())), ("rows", pa.list_(pa.float64())),
     ])
 
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                flat, n = batch.column("rows")[k].values.to_numpy(zero_copy_only=False), batch.column("n")[k].as_py()
-                rows = flat.reshape(n, -1)
-                centre = rows.mean(axis=0)
-                away = pair_distances(centre[None], rows, manhattan)[0]
-                yield pa.RecordBatch.from_pylist([{
-                    "label": batch.column("label")[k].as_py(), "n": n, "centre": centre, "radius": away.max(),
-                    "near": rows[away.argmin()], "rows": flat,
-                }], schema)
-
-    measured = blocks.select("label", "n", "rows").mapInArrow(
+    def measure(table: pa.Table) -> pa.Table:
+        label, found = table.column("label")[0].as_py(), []
+        v = table.column("v").combine_chunks()
+        for rows in _halves(v.flatten().to_numpy(zero_copy_only=False).reshape(len(v), -1)):
+            centre = rows.mean(axis=0)
+            away = pair_distances(centre[None], rows, manhattan)[0]
+            found.append({
+                "label": label, "n": len(rows), "centre": centre, "radius": away.max(),
+                "near": rows[away.argmin()], "rows": rows.ravel(),
+            })
+        return pa.Table.from_pylist(found, schema)
+
+    measured = dealt.groupBy("label", "cell", "part").applyInArrow(
         measure, "label string, n bigint, centre array<double>, radius double, near array<double>, rows array<double>"
     )
     return stored(measured.withColumn("ball", F.monotonically_increasing_id()))
 
 
+def _cell_rows(dimensions: int) -> int:
+    return max(BLOCK_ROWS, min(CELL_BLOCKS * BLOCK_ROWS, CELL_VALUES // max(dimensions, 1)))
+
+
 def _chunk_pairs(balls: DataFrame) -> DataFrame:
     """Every unordered pair of chunks of balls, by an equi-join on the chunk to meet."""
     count = max(1, -(-balls.count() // CHUNK_BALLS))
@@ -150,25 +206,46 @@ def _candidates(pairs: DataFrame, closest: float | None, widest: float | None, m
     return _over_chunks(pairs, emit, "a bigint, b bigint, same boolean, bound double")
 
 
-def _compare(chosen: DataFrame, data: DataFrame, manhattan: bool) -> tuple[float | None, float | None, int]:
-    """Extremes over all rows of the chosen ball pairs, and how many row pairs that were."""
-    schema = pa.schema([("same", pa.bool_()), ("least", pa.float64()), ("most", pa.float64()), ("pairs", pa.int64())])
+def _compare(chosen: DataFrame, data: DataFrame, shelves: int, manhattan: bool, closest: float | None,
+             widest: float | None) -> tuple[float | None, float | None, int]:
+    """Extremes over all rows of the chosen ball pairs, and how many row pairs that were. The pairs
+    of two shelves are taken in order of promise, until a bound is no better than what was found."""
+    schema = pa.schema([("least", pa.float64()), ("most", pa.float64()), ("pairs", pa.int64())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                row = {c: batch.column(c)[k] for c in ("a", "b", "same", "n_a", "n_b", "rows_a", "rows_b")}
-                x, y = (row[f"rows_{s}"].values.to_numpy(zero_copy_only=False).reshape(row[f"n_{s}"].as_py(), -1) for s in "ab")
-                d = pair_distances(x, y, manhattan)
-                yield pa.RecordBatch.from_pylist([{
-                    "same": row["same"].as_py(), "least": d.min(), "most": d.max(),
-                    "pairs": len(x) * (len(x) - 1) // 2 if row["a"].as_py() == row["b"].as_py() else d.size,
-                }], schema)
-
-    side = lambda s: data.select(F.col("ball").alias(s), F.col("n").alias(f"n_{s}"), F.col("rows").alias(f"rows_{s}"))
-    met = chosen.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "same boolean, least double, most double, pairs bigint")
-    near, far = F.min(F.when(~F.col("same"), F.col("least"))), F.max(F.when(F.col("same"), F.col("most")))
-    found = met.agg(near, far, F.coalesce(F.sum("pairs"), F.lit(0))).first()
+    def run(balls: pa.Table, pairs: pa.Table) -> pa.Table:
+        balls, sizes = balls.combine_chunks(), balls.column("n").to_pylist()
+        rows = balls.column("rows").combine_chunks()
+        place = {ball: k for k, ball in enumerate(balls.column("ball").to_pylist())}
+        least, most, work = math.inf if closest is None else closest, -1.0 if widest is None else widest, 0
+
+        def matrix(ball: int) -> np.ndarray:
+            k = place[ball]
+            return rows[k].values.to_numpy(zero_copy_only=False).reshape(sizes[k], -1)
+
+        order = sorted(zip(*[pairs.column(c).to_pylist() for c in ("bound", "a", "b", "same")]))
+        for bound, a, b, _ in (p for p in order if not p[3]):
+            if bound >= least:
+                break
+            x, y = matrix(a), matrix(b)
+            least, work = extreme_distance(x, y, manhattan, False, least), work + len(x) * len(y)
+        for bound, a, b, _ in reversed([p for p in order if p[3]]):
+            if bound <= most:
+                break
+            x, y = matrix(a), matrix(b)
+            most = extreme_distance(x, y, manhattan, True, most)
+            work += len(x) * (len(x) - 1) // 2 if a == b else len(x) * len(y)
+        return pa.Table.from_pylist([{
+            "least": least if least < math.inf else None, "most": most if most >= 0 else None, "pairs": work}], schema)
+
+    def shelf(ball: str):
+        return F.pmod(F.xxhash64(ball), F.lit(shelves)).cast("int")
+
+    met = chosen.select(
+        "a", "b", "same", "bound", F.least(shelf("a"), shelf("b")).alias("low"), F.greatest(shelf("a"), shelf("b")).alias("high"))
+    needed = met.select(F.col("low").alias("i"), F.col("high").alias("j"), F.explode(F.array("a", "b")).alias("ball")).distinct()
+    carried = needed.join(data.select("ball", "n", "rows"), "ball")
+    found = carried.groupBy("i", "j").cogroup(met.groupBy("low", "high")).applyInArrow(
+        run, "least double, most double, pairs bigint").agg(F.min("least"), F.max("most"), F.coalesce(F.sum("pairs"), F.lit(0))).first()
     return found[0], found[1], found[2]
 
 
@@ -183,8 +260,11 @@ def extremes(df: DataFrame, vector: Column, label: Column, manhattan: bool = Fal
     n = points.count()
     if n < 2:
         return Extremes(None, None, 0, 0)
-    chosen = points.orderBy(F.xxhash64("v", F.lit(1)), "v").limit(min(pivots, -(-n // BLOCK_ROWS))).collect()
+    dimensions = len(points.first()["v"])
+    chosen = points.orderBy(F.xxhash64("v", F.lit(1)), "v").limit(min(pivots, -(-n // _cell_rows(dimensions)))).collect()
     balls = _packed(points, np.array([r["v"] for r in chosen]), manhattan)
+    shelf_rows = min(max(8 * BLOCK_ROWS, -(-n // SHELVES)), max(BLOCK_ROWS, SHELF_VALUES // max(dimensions, 1)))
+    shelves = -(-n // shelf_rows)
     pairs = stored(_chunk_pairs(balls))
     closest, widest = _first_extremes(pairs, manhattan)
     left = stored(_candidates(pairs, closest, widest, manhattan))
@@ -195,7 +275,7 @@ def extremes(df: DataFrame, vector: Column, label: Column, manhattan: bool = Fal
         left = left.where(beats)
         kinds = [left.where(F.col("same") == mine) for mine in (False, True)]
         chosen = [k.orderBy(order).limit(size) if size else k for k in kinds]
-        least, most, work = _compare(stored(chosen[0].unionByName(chosen[1])), balls, manhattan)
+        least, most, work = _compare(stored(chosen[0].unionByName(chosen[1])), balls, shelves, manhattan, closest, widest)
         closest, widest, compared = _better(min, closest, least), _better(max, widest, most), compared + work
         if size:
             ends = [c.agg(F.max(order).alias("e")).first()["e"] for c in chosen]
