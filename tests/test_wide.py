@@ -129,3 +129,16 @@ def test_many_unequal_weights(spark):
                 there = ~np.isnan(x)
                 want = (w[there] * x[there]).sum() / w[there].sum() if there.any() else None
                 assert got[k, i] is None if want is None else abs(got[k, i] - want) < 1e-9
+
+
+def test_a_round_of_kmeans_is_one_job(spark, monkeypatch):
+    """Every round reads the matrices held by the first; before, it aggregated the source's rows anew."""
+    rng = np.random.default_rng(2)
+    frame = spark.createDataFrame([(list(map(float, r)),) for r in rng.normal(size=(300, 3))], "v array<double>")
+    rounds, kept = [], cluster._round
+    monkeypatch.setattr(cluster, "_round", lambda held, *a: rounds.append((held.id(), held.is_cached)) or kept(held, *a))
+    centres = cluster.kmeans_fit(frame, "v", 6, distance="manhattan", seed=1)
+    assert len(rounds) > 2 and len(set(rounds)) == 1 and rounds[0][1]
+    labelled = cluster.assign_clusters(frame, "v", centres, "manhattan")
+    _, means = cluster.centre_list(labelled, "v", "cluster")
+    assert np.allclose(means, centres)

@@ -9,11 +9,12 @@ from __future__ import annotations
 import itertools
 import math
 import warnings
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -57,6 +58,8 @@ def _matrix(v: pa.Array) -> np.ndarray:
 
 
 def _distances(points: np.ndarray, centres: np.ndarray, distance: str) -> np.ndarray:
+    if distance in COSINE_NAMES:
+        return 1.0 - _units(points) @ _units(centres).T
     return np.stack([_to_each(c, points, distance) for c in centres], axis=1)
 
 
@@ -186,8 +189,8 @@ def kmeans_fit(df: DataFrame, vector: str, k: int = 2, init: str = "k-means++",
     """Centres after Lloyd rounds. Centres are means whatever the distance; the rounds stop when
     no row changes its cluster, or after max_iter with a warning. With distances whose centres aren't
     means, rounds can come back to earlier centres: then the ones of the cycle with the smallest summed
-    distance are the result. Incomplete vectors take no part. A round is one aggregation; only the k
-    centres come back."""
+    distance are the result. Incomplete vectors take no part. A round is one short
+    job over matrices that are persisted once; only k sums for each task come back."""
     _check_distance(distance)
     df = df.where(complete(vector))
     if init not in ("k-means++", "random"):
@@ -204,35 +207,81 @@ def kmeans_fit(df: DataFrame, vector: str, k: int = 2, init: str = "k-means++",
             return centres
     else:
         centres = random_start(df, vector, k, seed) if init == "random" else spread_start(df, vector, k, seed, distance)
+    if not centres:
+        return centres
     rows = df.select(doubles(vector).alias("__v"))
+    held = _held(rows)
     previous, seen, path = None, {}, []
-    for _ in itertools.count() if max_iter is None else range(max_iter):
-        labelled = rows.withColumn("__near", nearest_centre("__v", centres, distance))
-        before = nearest_centre("__v", previous, distance)["label"] if previous else F.lit(-1)
-        summary = Summarizer.metrics("mean").summary(_vector("__v"))
-        found = labelled.withColumn("__before", before).groupBy(F.col("__near.label").alias("label")).agg(
-            vector_to_array(summary["mean"]).alias("centre"), F.sum("__near.distance").alias("away"),
-            F.count(F.when(F.col("__before") != F.col("__near.label"), 1)).alias("changed")).collect()
-        if previous is not None and sum(r["changed"] for r in found) == 0:
-            break
-        means = {r["label"]: list(r["centre"]) for r in found}
-        lost = [i for i in range(len(centres)) if i not in means]
-        if lost:  # an empty cluster starts again at the row farthest from its centre
-            far = labelled.orderBy(F.col("__near.distance").desc(), "__v").limit(len(lost)).collect()
-            means.update({i: list(r["__v"]) for i, r in zip(lost, far)})
-        previous, centres = centres, [means.get(i, centres[i]) for i in range(len(centres))]
-        state = hash(tuple(round(x, 9) for c in centres for x in c))
-        # Equal centres twice in a row are the end, which the next round finds.
-        # The summed distance belongs to the centres before.
-        path.append((sum(r["away"] for r in found), previous))
-        if state in seen and max(abs(x - y) for a, b in zip(previous, centres) for x, y in zip(a, b)) > 1e-6:
-            return min(path[seen[state]:], key=lambda x: x[0])[1]
-        seen.setdefault(state, len(path))
-    else:
-        warnings.warn(f"k-means has not converged in {max_iter} rounds", RuntimeWarning, stacklevel=2)
+    try:
+        for _ in itertools.count() if max_iter is None else range(max_iter):
+            sums, away = _round(held, centres, distance)
+            # Means that equal the centres to the last bit: no row has changed its cluster.
+            means = [[x / r[-1] for x in r[:-1]] if r[-1] else None for r in sums.tolist()]
+            if means == centres:
+                break
+            lost = [i for i, mean in enumerate(means) if mean is None]
+            if lost:  # an empty cluster starts again at the row farthest from its centre
+                near = rows.withColumn("__near", nearest_centre("__v", centres, distance))
+                far = near.orderBy(F.col("__near.distance").desc(), "__v").limit(len(lost)).collect()
+                for i, r in itertools.zip_longest(lost, far):
+                    means[i] = list(r["__v"]) if r else centres[i]
+            previous, centres = centres, means
+            state = hash(tuple(round(x, 9) for c in centres for x in c))
+            # Nearly equal centres twice in a row are the end, which the next round finds.
+            # The summed distance belongs to the centres before.
+            path.append((away, previous))
+            if state in seen and max(abs(x - y) for a, b in zip(previous, centres) for x, y in zip(a, b)) > 1e-6:
+                return min(path[seen[state]:], key=lambda x: x[0])[1]
+            seen.setdefault(state, len(path))
+        else:
+            warnings.warn(f"k-means has not converged in {max_iter} rounds", RuntimeWarning, stacklevel=2)
+    finally:
+        held.unpersist()
     return centres
 
 
+# Rows that are measured at once.
+STEP_ROWS = 4_096
+
+
+def _held(rows: DataFrame) -> RDD:
+    """The vectors `__v` as persisted matrices, dealt over all cores: every round reads them, so they
+    are decoded once."""
+
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                m = np.ascontiguousarray(_matrix(batch.column(0)), dtype=float)
+                yield pa.RecordBatch.from_pydict({"n": pa.array([len(m)], pa.int64()), "data": [m.tobytes()]})
+
+    blocks = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism).mapInArrow(pack, "n bigint, data binary")
+    return blocks.rdd.map(lambda r: np.frombuffer(r["data"]).reshape(r["n"], -1)).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _round(held: RDD, centres: list[list[float]], distance: str) -> tuple[np.ndarray, float]:
+    """For every centre the sum of the rows nearest to it and, last, their number; and the summed distance
+    of all rows to their centres. One job, whose tasks return these sums only."""
+    table = np.asarray(centres, dtype=float)
+
+    def run(matrices: Iterable[np.ndarray]) -> Iterable[tuple[np.ndarray, float]]:
+        total, away = np.zeros((len(table), table.shape[1] + 1)), 0.0
+        for m in matrices:
+            for at in range(0, len(m), STEP_ROWS):
+                some = m[at:at + STEP_ROWS]
+                d = _distances(some, table, distance)
+                d = np.where(np.isnan(d), np.inf, d)
+                label = d.argmin(axis=1)
+                away += float(d.min(axis=1).sum())
+                order = np.argsort(label, kind="stable")
+                found, first = np.unique(label[order], return_index=True)
+                total[found, :-1] += np.add.reduceat(some[order], first, axis=0)
+                total[:, -1] += np.bincount(label, minlength=len(table))
+        yield total, away
+
+    parts = held.mapPartitions(run).collect()
+    return np.add.reduce([t for t, _ in parts]), sum(a for _, a in parts)
+
+
 def wcss(df: DataFrame, vector: str, label: str) -> DataFrame:
     """Sum of squared distances to the own cluster's mean: column `score` of one row."""
     df = df.where(complete(vector))
