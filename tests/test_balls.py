@@ -96,3 +96,19 @@ def test_extreme_distance_without_cancellation():
         assert balls.extreme_distance(x, y[1:], False, False, math.inf) == d[:, 1:].min()
         assert balls.extreme_distance(x, y, False, True, -1.0) == d.max()
         assert balls.extreme_distance(x, y, False, True, 2 * d.max()) == 2 * d.max()
+
+
+def test_euclidean_silhouette_compares_no_pairs_of_one_cluster(spark, monkeypatch):
+    frame = spark.createDataFrame([(1, [float(k)]) for k in range(9)] + [(None, [3.0])], "label int, v array<double>")
+    monkeypatch.setattr(cluster, "_euclidean_points", lambda *a: pytest.fail("pairs of one cluster were compared"))
+    assert cluster.silhouette(frame, "v", "label").first()["score"] == 0.0
+
+
+def test_tiles_without_cancellation():
+    rng = np.random.default_rng(6)
+    for shift, scale in ((0.0, 1.0), (1e7, 1e-2), (0.0, 1e-9), (1e160, 1e158)):
+        x, y = shift + scale * rng.normal(size=(30, 4)), shift + scale * rng.normal(size=(20, 4))
+        y[:5] = x[:5]
+        y[5] = x[5] * (1 + 1e-12)
+        with np.errstate(over="ignore"):
+            np.testing.assert_allclose(cluster._tile(x, y), balls.pair_distances(x, y, False), rtol=1e-8)

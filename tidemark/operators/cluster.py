@@ -9,7 +9,7 @@ from __future__ import annotations
 import itertools
 import math
 import warnings
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -291,65 +291,104 @@ def wcss(df: DataFrame, vector: str, label: str) -> DataFrame:
     return per_cluster.agg(F.sum(spread * (F.col("__s.count") - 1)).alias("score"))
 
 
-BLOCK_ROWS = 1_000
-
-
-def _blocks(df: DataFrame, vector: str, label: str) -> tuple[DataFrame, int]:
-    """Distinct (label, vector) rows with their count, packed into blocks of about BLOCK_ROWS.
-
-    Copies are merged first, so a mass of equal rows is one row here. The blocks
-    are stored: a row must keep its place in its block.
+# Rows of a block at least; blocks that the rows are dealt into as long as a block holds at most so many
+# numbers, both of its vectors and of its sums for all clusters.
+BLOCK_ROWS, BLOCKS, BLOCK_VALUES = 1_000, 32, 1 << 21
+# Rows of one block that are compared at once.
+TILE_ROWS = 512
+
+
+def _tile(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Euclidean distances as one matrix product; those too small for its precision are measured again."""
+    middle = x.mean(axis=0)
+    a, b = x - middle, y - middle
+    aa, bb = (a * a).sum(axis=1), (b * b).sum(axis=1)
+    left, right = np.column_stack([a, aa, np.ones(len(a))]), np.column_stack([-2 * b, np.ones(len(b)), bb])
+    with np.errstate(all="ignore"):
+        d = left @ right.T
+        moved = np.abs(middle).max() * np.sqrt(len(middle)) * np.sqrt(aa.max() + bb.max())
+        small = 1e-5 * (aa.max() + bb.max() + moved)
+        i, j = np.nonzero(~(d > small) | np.isinf(d))
+        np.sqrt(np.maximum(d, 0.0, out=d), out=d)
+        for at in range(0, len(i), 100_000):
+            some = slice(at, at + 100_000)
+            d[i[some], j[some]] = np.sqrt(((y[j[some]] - x[i[some]]) ** 2).sum(axis=1))
+    return d
+
+
+def _euclidean_points(df: DataFrame, vector: str, label: str, sizes: dict[str, int]) -> DataFrame:
+    """(copies, size, own, b) of every distinct point: the summed distance to its cluster and the least
+    mean distance to another.
+
+    Copies are merged first, so a mass of equal rows is one row here, and the points are dealt into
+    blocks. Each two blocks meet once, in one task, and serve both: a block is copied once for each block,
+    and a pair returns one sum per point and cluster. The blocks' number stays the same as rows are added,
+    until a block is full.
     """
+    names = sorted(sizes)
     points = stored(
         df.select(F.col(label).cast("string").alias("label"), doubles(vector).alias("v"))
-        .groupBy("label", "v").agg(F.count(F.lit(1)).alias("m")))
-    count = max(1, math.ceil(points.count() / BLOCK_ROWS))
-    block = F.pmod(F.xxhash64("v", "label"), F.lit(count))
-    packed = points.groupBy(block.cast("int").alias("block")).agg(
-        F.collect_list(F.struct("label", "v", "m")).alias("rows"))
-    return stored(packed.select(
-        "block", F.col("rows.label").alias("labels"), F.col("rows.m").alias("copies"),
-        F.flatten("rows.v").alias("values"))), count
-
-
-def _block_pairs(blocks: DataFrame, count: int, ordered: bool) -> DataFrame:
-    """Every block next to every other (or each unordered pair once), by an equi-join on the
-    number of the block to meet."""
-    first = F.col("block") if ordered else F.lit(0)
-    left = blocks.select(
-        F.col("block").alias("left"), *[F.col(c).alias(f"{c}_l") for c in ("labels", "copies", "values")],
-        F.explode(F.sequence(first, F.lit(count - 1))).alias("block"))
-    return left.join(blocks, "block").withColumnRenamed("block", "right")
-
-
-def _unpack(row) -> tuple[np.ndarray, ...]:
-    left, right = np.asarray(row.labels_l), np.asarray(row.labels)
-    a = np.asarray(row.values_l, dtype=float).reshape(len(left), -1)
-    b = np.asarray(row.values, dtype=float).reshape(len(right), -1)
-    return left, right, a, b, np.asarray(row.copies, dtype=float)
-
-
-def _distance_sums(df: DataFrame, vector: str, label: str, distance: str) -> DataFrame:
-    """(point, label, copies, other, total): summed distance of every distinct point to cluster
-    `other`. Block pairs give one partial sum per point and cluster, never single pairs."""
-    blocks, count = _blocks(df, vector, label)
-
-    def partial(batches):
+        .groupBy("label", "v").agg(F.count(F.lit(1)).alias("copies")))
+    first = points.select(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("p")).first()
+    n, most = first["n"], max(1, BLOCK_VALUES // max(first["p"] or 1, len(names)))
+    count = max(1, -(-n // min(max(BLOCK_ROWS, -(-n // BLOCKS)), most)))
+    code = {name: k for k, name in enumerate(names)}
+    size = np.array([sizes[name] for name in names], dtype=float)
+    block = F.pmod(F.xxhash64("v", "label"), F.lit(count)).cast("int").alias("block")
+    # The blocks are stored: a point must keep its place in its block.
+    blocks = stored(points.groupBy(block).agg(F.collect_list(F.struct("label", "v", "copies")).alias("rows")).select(
+        "block", F.col("rows.label").alias("labels"), F.col("rows.copies").alias("copies"), F.flatten("rows.v").alias("values")))
+    other = F.col("other")
+    met = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(count - 1)))).withColumns(
+        {"low": F.least("block", other).cast("int"), "high": F.greatest("block", other).cast("int")}).drop("other")
+    types = pa.schema([("block", pa.int32()), ("labels", pa.list_(pa.int32())), ("copies", pa.list_(pa.int64())), ("sums", pa.list_(pa.float64()))])
+
+    def pair(table: pa.Table) -> pa.Table:
+        sides = []
+        for r in range(table.num_rows):
+            labels = np.array([code[x] for x in table.column("labels")[r].as_py()], dtype=np.int32)
+            copies = table.column("copies")[r].values.to_numpy()
+            v = table.column("values")[r].values.to_numpy(zero_copy_only=False).reshape(len(labels), -1)
+            order = np.argsort(labels, kind="stable")
+            sides.append((table.column("block")[r].as_py(), order, labels[order], copies[order].astype(float), v[order], labels, copies))
+        a, b = sides[0], sides[-1]
+        itself = a is b
+        sums = [np.zeros((len(s[2]), len(names))) for s in sides]
+        for at in range(0, len(a[2]), TILE_ROWS):
+            for to in range(0, len(b[2]), 2 * TILE_ROWS):
+                mine, theirs = slice(at, at + TILE_ROWS), slice(to, to + 2 * TILE_ROWS)
+                d = _tile(a[4][mine], b[4][theirs])
+                there, starts = np.unique(b[2][theirs], return_index=True)
+                sums[0][mine, there] += np.add.reduceat(d * b[3][theirs], starts, axis=1)
+                if not itself:
+                    here, starts = np.unique(a[2][mine], return_index=True)
+                    sums[1][theirs, here] += np.add.reduceat(d * a[3][mine, None], starts, axis=0).T
+        found = []
+        for s, total in zip(sides, sums):
+            back = np.empty_like(total)
+            back[s[1]] = total
+            found.append({"block": s[0], "labels": s[5] if itself else None, "copies": s[6] if itself else None, "sums": back.ravel()})
+        return pa.Table.from_pylist(found, types)
+
+    parts = met.groupBy("low", "high").applyInArrow(pair, "block int, labels array<int>, copies array<bigint>, sums array<double>")
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = labels = copies = None
         for batch in batches:
-            for row in batch.itertuples(index=False):
-                left, right, a, b, weight = _unpack(row)
-                names, codes = np.unique(right, return_inverse=True)
-                sums = np.stack([
-                    np.bincount(codes, weights=weight * _to_each(x, b, distance), minlength=len(names)) for x in a])
-                n, k = sums.shape
-                yield pd.DataFrame({
-                    "left": np.full(n * k, row.left), "place": np.repeat(np.arange(n), k),
-                    "label": np.repeat(left, k), "copies": np.repeat(np.asarray(row.copies_l), k),
-                    "other": np.tile(names, n), "total": sums.ravel()})
-
-    parts = _block_pairs(blocks, count, ordered=False).mapInPandas(
-        partial, "left int, place int, label string, copies long, other string, total double")
-    return parts.groupBy("left", "place", "label", "copies", "other").agg(F.sum("total").alias("total"))
+            for r in range(batch.num_rows):
+                some = batch.column("sums")[r].values.to_numpy()
+                sums = some.copy() if sums is None else np.add(sums, some, out=sums)
+                if batch.column("labels")[r].is_valid:
+                    labels = batch.column("labels")[r].values.to_numpy()
+                    copies = batch.column("copies")[r].values.to_numpy()
+        sums = sums.reshape(len(labels), -1)
+        at = np.arange(len(labels))
+        own, means = sums[at, labels], sums / size
+        means[at, labels] = np.inf
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(copies), pa.array(size[labels]), pa.array(own), pa.array(means.min(axis=1))], ["copies", "size", "own", "b"])
+
+    return parts.groupBy("block").applyInArrow(total, "copies bigint, size double, own double, b double")
 
 
 # Labels whose summed distances one pass keeps as columns.
@@ -405,7 +444,7 @@ def _length(vector: str) -> Column:
 
 
 def _cosine_sums(df: DataFrame, vector: str, label: str) -> DataFrame:
-    """As _distance_sums for 1 - cosine similarity, without any pairs: a cluster's summed
+    """(label, names, sums) of every row: summed 1 - cosine similarity, without any pairs: a cluster's summed
     dissimilarity to x is its size less x times the sum of its unit vectors."""
     v, length = doubles(vector), _length(vector)
     units = df.select(F.col(label).cast("string").alias("label"), F.transform(v, lambda x: x / length).alias("u"))
@@ -438,7 +477,7 @@ def silhouette(df: DataFrame, vector: str, label: str, distance: str = "euclidea
     direction; a single cluster scores 0. Cosine takes one pass over the rows, manhattan sorts
     every dimension once for each PASS_LABELS clusters. Euclidean
     has no short form: it compares blocks with blocks, at a cost that grows
-    with the square of the number of distinct rows.
+    with the square of the number of distinct rows. Rows without a label are left out of it.
     """
     _check_distance(distance)
     df = df.where(complete(vector))
@@ -469,11 +508,10 @@ def silhouette(df: DataFrame, vector: str, label: str, distance: str = "euclidea
                 points = points.unionByName(more)
             points = points.groupBy("point", "copies", "size").agg(F.max("own").alias("own"), F.min("b").alias("b"))
     else:
-        sums = _distance_sums(df, vector, label, distance).join(sizes, "other")
-        mine = F.col("label") == F.col("other")
-        points = sums.groupBy("left", "place", "copies").agg(
-            F.max(F.when(mine, F.col("size"))).alias("size"), F.max(F.when(mine, F.col("total"))).alias("own"),
-            F.min(F.when(~mine, F.col("total") / F.col("size"))).alias("b"))
+        n = {r["other"]: r["size"] for r in sizes.where(F.col("other").isNotNull()).collect()}
+        if len(n) < 2:
+            return df.sparkSession.createDataFrame([(0.0,)], "score double")
+        points = _euclidean_points(df.where(F.col(label).isNotNull()), vector, label, n)
     a, b = F.col("a"), F.col("b")
     value = _silhouette_value(a, b)
     scored = points.where((F.col("size") > 1) & b.isNotNull()).withColumn("a", F.col("own") / (F.col("size") - 1))
