@@ -205,3 +205,17 @@ def test_negative_values_stop_the_log_error(spark):
 def test_impurity_method(spark):
     with pytest.raises(ValueError):
         profile.impurity(spark.range(3), "id", "other")
+
+
+def test_key_copies_carry_no_sums(spark, monkeypatch):
+    """Distinct keys are counted on rows without the metrics' values; before, all sums rode along."""
+    plans, kept = [], resample.stored
+    monkeypatch.setattr(resample, "stored", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or kept(df))
+    rows = [("g1", "l1", 1.0), ("g1", "l2", None), ("g2", "l2", 3.0), (None, "l2", 5.0)]
+    frame = spark.createDataFrame(rows, "id_guest_anon string, id_listing_anon string, m_interactions double").withColumn(
+        "ts_interaction_first", F.lit("2024-01-01 05:00:00").cast("timestamp_ntz"))
+    totals = resample._bin_totals(frame, ["inquiry_rate", "listing_rate", "avg_engagement"], "D", None).first()
+    assert (totals["n"], totals["s_avg_engagement"], totals["n_avg_engagement"]) == (4, 9.0, 3)
+    assert (totals["d_inquiry_rate"], totals["d_listing_rate"]) == (2, 2)
+    distinct = [line for line in plans[0].splitlines() if "Aggregate" in line and "kind" in line]
+    assert distinct and not any("v_avg_engagement" in line for line in distinct)

@@ -128,10 +128,10 @@ def segment_filter(df: DataFrame, variable: str | None, value) -> DataFrame:
 def _bin_totals(df: DataFrame, names, interval: str, series: Column | None) -> DataFrame:
     """One row per (segment, value, bin) with the wanted sums and distinct counts.
 
-    A distinct count needs its own grouping key. Rows are copied once per
-    distinct key, deduplicated by (series, bin, key) with all other sums riding
-    on the first copy, then rolled up to bins: one read of the input, and both
-    aggregations combine on the map side first.
+    A distinct count needs its own grouping key. The rows are held in memory, on
+    disk if they don't fit, so the input is read once: the sums combine on the map
+    side to a row per series and bin, and only (series, bin, key) is shuffled to
+    count keys, without the sums. The totals are stored.
     """
     metrics = _metrics()
     chosen = {name: metrics[name] for name in names}
@@ -153,31 +153,28 @@ def _bin_totals(df: DataFrame, names, interval: str, series: Column | None) -> D
     rows = rows.select(*columns)
     keys = ["series", BIN]
     if not distinct:
-        return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[c.alias(k) for k, c in sums.items()])
+        return stored(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[c.alias(k) for k, c in sums.items()]))
     kinds = F.array(*[
         F.struct(F.lit(i).alias("kind"), F.col(f"k_{name}").cast("string").alias("id"))
         for i, name in enumerate(distinct)
     ])
-    first = F.col("copy.kind") == 0
-    inputs = [c[2:] for c in sums if c.startswith("s_")]
-    copies = rows.select(
-        *keys, F.explode(kinds).alias("copy"), *[f"v_{name}" for name in inputs]
-    ).select(
-        *keys, F.col("copy.kind").alias("kind"), F.col("copy.id").alias("id"),
-        F.when(first, F.lit(1)).alias("one"),
-        *[F.when(first, F.col(f"v_{name}")).alias(f"v_{name}") for name in inputs],
-    )
-    deduplicated = copies.groupBy(*keys, "kind", "id").agg(
-        F.count("one").alias("n"), *[c.alias(k) for k, c in sums.items()]
-    )
-    return deduplicated.groupBy(*keys).agg(
-        F.sum("n").alias("n"),
-        *[F.sum(k).alias(k) for k in sums],
-        *[
-            F.count(F.when(F.col("kind") == i, F.col("id"))).alias(f"d_{name}")
-            for i, name in enumerate(distinct)
-        ],
-    )
+    held = rows.persist()
+    try:
+        totals = held.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[c.alias(k) for k, c in sums.items()])
+        copies = held.select("series", BIN, F.explode(kinds).alias("copy"))
+        named = copies.where(F.col("copy.id").isNotNull()).select(
+            "series", BIN, F.col("copy.kind").alias("kind"), F.col("copy.id").alias("id")).distinct()
+        counts = named.groupBy(*keys).agg(*[F.count(F.when(F.col("kind") == i, 1)).alias(f"d_{name}") for i, name in enumerate(distinct)])
+        t, d = totals.alias("t"), counts.alias("d")
+        same = (
+            (F.col(f"t.{BIN}") == F.col(f"d.{BIN}"))
+            & F.col("t.series.segment").eqNullSafe(F.col("d.series.segment"))
+            & F.col("t.series.value").eqNullSafe(F.col("d.series.value"))
+        )
+        return stored(t.join(d, same, "left").select(
+            "t.*", *[F.coalesce(F.col(f"d.d_{name}"), F.lit(0)).alias(f"d_{name}") for name in distinct]))
+    finally:
+        held.unpersist()
 
 
 def _series_struct(segment: Column, value: Column) -> Column:
@@ -191,10 +188,8 @@ def _overall_struct() -> Column:
 def _series_values(totals: DataFrame, names, interval: str) -> DataFrame:
     """Long form: every series on the dense overall calendar, with the gap rule.
 
-    The totals (bins x series) feed the spans, the grid and the denominators,
-    so they are stored once instead of recomputing the aggregation for each.
+    The stored totals (bins x series) feed the spans, the grid and the denominators.
     """
-    totals = stored(totals)
     metrics = _metrics()
     distinct = [n for n in names if metrics[n].distinct]
     approval = [n for n in names if metrics[n].rows is not None]
