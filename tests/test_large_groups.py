@@ -4,8 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import encode, ordered, outliers, profile, ranking, spectral, splitting
+from tidemark.operators import encode, funnel, ordered, outliers, profile, ranking, spectral, splitting
 from tidemark.operators.quantiles import quantiles
+from tidemark.sources import funnel_tables
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -172,3 +173,29 @@ def test_exact_split(spark):
     assert sorted(out.collect()) == sorted(again.collect())
     everything = splitting.train_test_split(df, ["id"], [], 1.0)
     assert everything.where("split = 'test'").count() == 0
+
+
+def test_large_dimensions_meet_contacts_shuffled_once(spark, monkeypatch):
+    contacts = funnel_tables.contacts(spark, FOLDER).withColumn("id_host_anon", F.expr("if(m_guests = 2, null, id_host_anon)"))
+    listings, users = funnel_tables.listings(spark, FOLDER), funnel_tables.users(spark, FOLDER)
+    users = users.unionByName(users.where("id_user_anon IN ('S1', 'C1')").withColumn("country", F.lit("twice")))
+    # One listing holds a third of all contacts.
+    contacts = contacts.withColumn("id_listing_anon", F.expr("if(m_interactions % 3 = 0, '7', id_listing_anon)"))
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        simple = sorted(map(str, funnel.master(contacts, listings, users).collect()))
+        monkeypatch.setattr(funnel, "BROADCAST_ROWS", 20)
+        on_grid = funnel.master(contacts, listings, users)
+        assert sorted(map(str, on_grid.collect())) == simple and len(simple) > 1000
+        assert "twice" in {r["guest_country"] for r in on_grid.select("guest_country").distinct().collect()}
+        # Each of the three dimensions is shuffled, and the contacts once.
+        assert on_grid._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 4
+        sizes = on_grid.groupBy(F.spark_partition_id()).count().collect()
+        assert len(sizes) == 64 and max(r["count"] for r in sizes) < len(simple) / 8
+        # Dimensions that are large beside the contacts are joined one by one.
+        monkeypatch.setattr(funnel, "COPIES_PER_CONTACT", 0)
+        one_by_one = funnel.master(contacts, listings, users)
+        assert "RepartitionByExpression" not in one_by_one._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)

@@ -8,12 +8,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .attach import BROADCAST_ROWS
 from ..functions.columns import (
     calendar_bin, missing_or_at_least, missing_or_within_days, present, ratio, ts_extract, ts_span,
     equals_flag,
 )
 
 REPLY_LIMIT_DAYS = 0.2
+# Contacts of one cell of the grid at most, and parts into which each of its three sides is cut at least.
+CELL_ROWS, GRID_SIDE = 1 << 21, 4
+# A copied row of a dimension is about a fifth of what the contacts' two other shuffles move for a row.
+COPIES_PER_CONTACT = 5
 
 
 def plausible_contacts(contacts: DataFrame) -> DataFrame:
@@ -24,11 +29,45 @@ def plausible_contacts(contacts: DataFrame) -> DataFrame:
     )
 
 
+def _grid_side(contacts: DataFrame, listings: DataFrame, users: DataFrame) -> int | None:
+    """Parts for each side of the grid; None where one shuffle for each join moves less."""
+    n_listings, n_users = listings.count(), users.count()
+    if max(n_listings, n_users) <= BROADCAST_ROWS:
+        return None
+    n, side = contacts.count(), GRID_SIDE
+    while side ** 3 * CELL_ROWS < n:
+        side += 1
+    return side if side ** 2 * (n_listings + 2 * n_users) <= COPIES_PER_CONTACT * n else None
+
+
+def _join_on_grid(rows: DataFrame, roles: dict[str, DataFrame], side: int) -> DataFrame:
+    """Inner joins of `rows` with every dimension on its key, in one shuffle of `rows`.
+
+    Each key's hash cuts one side of a grid. A row goes to the one cell that its keys name, a
+    dimension's row to all cells of its part, so they meet whatever the order of the joins. A key's
+    rows spread over as many cells as the other keys have parts.
+    """
+    def part(key: str, place: int) -> Column:
+        return (F.pmod(F.xxhash64(key), F.lit(side)) * side ** place).cast("int")
+
+    parts = [part(key, place) for place, key in enumerate(roles)]
+    cells = side ** len(roles)
+    joined = rows.withColumn("__cell", reduce(lambda a, b: a + b, parts)).repartitionById(cells, F.col("__cell"))
+    for place, (key, dimension) in enumerate(roles.items()):
+        first = [cell for cell in range(cells) if cell // side ** place % side == 0]
+        copies = dimension.withColumn("__first", F.explode(F.array(*[F.lit(cell) for cell in first]))).withColumn(
+            "__cell", F.col("__first") + parts[place]).drop("__first")
+        joined = joined.join(copies.repartitionById(cells, F.col("__cell")).hint("merge"), ["__cell", key])
+    return joined
+
+
 def master(contacts: DataFrame, listings: DataFrame, users: DataFrame) -> DataFrame:
     """Contacts joined with their listing, guest and host.
 
-    The dimensions carry no broadcast hint: Spark broadcasts the ones below
-    its size threshold and sort-merges, with skew splitting, the larger ones.
+    The tables are counted first. Small dimensions carry no hint: Spark broadcasts the ones below its
+    size threshold and sort-merges, with skew splitting, the others. For larger ones the wide contacts
+    are shuffled once for all three joins, and the dimensions' narrow rows are copied to meet them,
+    as long as that moves less.
     """
 
     def as_role(role: str) -> DataFrame:
@@ -38,12 +77,13 @@ def master(contacts: DataFrame, listings: DataFrame, users: DataFrame) -> DataFr
             F.col("words_in_user_profile").alias(f"words_in_{role}_profile"),
         )
 
-    joined = (
-        plausible_contacts(contacts)
-        .join(listings, "id_listing_anon")
-        .join(as_role("guest"), "id_guest_anon")
-        .join(as_role("host"), "id_host_anon")
-    )
+    roles = {"id_listing_anon": listings, "id_guest_anon": as_role("guest"), "id_host_anon": as_role("host")}
+    joined, side = plausible_contacts(contacts), _grid_side(contacts, listings, users)
+    if side is not None:
+        joined = _join_on_grid(joined, roles, side)
+    else:
+        for key, dimension in roles.items():
+            joined = joined.join(dimension, key)
     return joined.select(
         *contacts.columns, "room_type", "listing_neighborhood", "total_reviews",
         "guest_country", "words_in_guest_profile", "host_country", "words_in_host_profile",
