@@ -3,8 +3,10 @@
 import csv
 import random
 import zipfile
+from datetime import datetime
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,6 +84,44 @@ def test_bad_rows_and_open_quotes_stop_the_job(small_splits, tmp_path):
         tables.read_csv(small_splits, str(tmp_path), NOTES).collect()
 
 
+def test_splits_without_line_feeds_in_quotes_are_read_as_lines(small_splits, tmp_path):
+    want = [(i, 'a "quoted", word' if i % 3 else None, i / 4) for i in range(200)]
+    write(tmp_path / "plain.csv", want)
+    plan = tables.read_csv(small_splits, str(tmp_path), NOTES)._jdf.queryExecution().toString()
+    assert "MapInArrow" not in plan
+    # One split holds line feeds in quotes; all others are read as before.
+    want += [(1000 + i, "two\nlines" if i == 50 else "one", 0.5) for i in range(100)]
+    write(tmp_path / "mixed.csv", want[200:], "\r\n")
+    mixed = tables.read_csv(small_splits, str(tmp_path), NOTES)
+    assert "MapInArrow" in mixed._jdf.queryExecution().toString()
+    assert sorted(map(str, mixed.collect())) == sorted(map(str, (Row(id=i, note=n, size=z) for i, n, z in want)))
+
+
+def test_rows_like_the_header_are_rows(small_splits, tmp_path):
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("a", "b")])
+    (tmp_path / "again.csv").write_text("a,b\na,b\n" + "x,y\n" * 100 + "a,b\n")
+    (tmp_path / "other.csv").write_text("c,d\na,b\n")
+    (tmp_path / "blank.csv").write_text("\na,b\n1,2\n")
+    got = sorted(tuple(r) for r in tables.read_csv(small_splits, str(tmp_path), schema).collect())
+    assert got == sorted([("a", "b")] * 4 + [("x", "y")] * 100 + [("1", "2")])
+
+
+TIMES = T.StructType([T.StructField("id", T.LongType()), T.StructField("at", T.TimestampNTZType()), T.StructField("to", T.TimestampNTZType())])
+
+
+def test_timestamps_by_their_format_only(spark, tmp_path):
+    good = ["1,2024-02-29 23:59:59,2024-01-01 00:00:00.000001", "2,,0001-01-01 00:00:00", '3,"9999-12-31 23:59:59.999999",""', "4,,2024-01-01 00:00:00.1"]
+    (tmp_path / "good.csv").write_text("id,at,to\n" + "\n".join(good))
+    rows = sorted(tuple(r) for r in tables.read_csv(spark, str(tmp_path), TIMES).collect())
+    assert rows == [(1, datetime(2024, 2, 29, 23, 59, 59), datetime(2024, 1, 1, 0, 0, 0, 1)), (2, None, datetime(1, 1, 1)),
+                    (3, datetime(9999, 12, 31, 23, 59, 59, 999999), None), (4, None, datetime(2024, 1, 1, 0, 0, 0, 100000))]
+    for k, bad in enumerate(["2024-02-30 00:00:00", "2024-01-01", "2024-01-01T00:00:00", "2024-01-01 24:00:00", " 2024-01-01 00:00:00", "noon"]):
+        (tmp_path / f"bad{k}").mkdir()
+        (tmp_path / f"bad{k}" / "bad.csv").write_text(f"id,at,to\n1,,{bad}\n")
+        with pytest.raises(Exception, match="MALFORMED_RECORD|Malformed"):
+            tables.read_csv(spark, str(tmp_path / f"bad{k}"), TIMES).collect()
+
+
 def test_pieces_are_the_file(small_splits, tmp_path):
     rng = random.Random(1)
     files = {"a.bin": rng.randbytes(5000), "b.bin": b"\n\n\n", "c.bin": b"x", "d.bin": b"ends with a line feed\n", "e.bin": bytes(range(256)) * 9}

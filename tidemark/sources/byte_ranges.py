@@ -138,18 +138,57 @@ def _cut(fragments: bool):
     return run
 
 
-def quoted_records(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+def _quote_splits(rows: DataFrame, header: str | None) -> DataFrame:
+    """(file, start, inside, plain) of every split: whether it starts inside a quoted value, and
+    whether its lines are its records: no value in it holds a line feed, and the line `header` is
+    the first one of a file and no other in that split."""
+    quotes = F.when(F.contains("value", F.lit('"')), F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).otherwise(0)
+    counted = rows.select("file", "start", quotes.alias("quotes"), _is_header(header).alias("header"),
+                          F.monotonically_increasing_id().alias("at"))
+    sums = stored(counted.groupBy("file", "start").agg(
+        F.sum("quotes").alias("amount"), F.max(F.col("quotes") % 2).alias("odd"),
+        F.min_by("header", "at").alias("begins"), F.count_if("header").alias("headers")))
+    so_far = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = (F.sum("amount").over(so_far) - F.col("amount")) % 2 == 1
+    headed = (F.col("start") > 0) | (F.col("begins") & (F.col("headers") == 1))
+    return stored(sums.select("file", "start", "odd", inside.alias("inside"), headed.alias("headed")).select(
+        "file", "start", "inside", (~F.col("inside") & (F.col("odd") == 0) & F.col("headed")).alias("plain")))
+
+
+def _is_header(header: str | None) -> Column:
+    return F.lit(False) if header is None else F.col("value").isin(header, header + "\r")
+
+
+def quoted_records(spark: SparkSession, path: str, glob: str | None = None, header: str | None = None) -> DataFrame:
     """(file, first, value): the records of quoted text files, which may hold line feeds in quotes.
 
     A line feed ends a record if an even number of quotes lies before it. Each split counts its
-    quotes; the parity of all earlier ones tells how it starts. Whole records stay in their task;
-    the parts of a record that crosses splits, at most two for each split, are joined. `first`
-    marks each file's first record. The scan runs three times and no row of it is shuffled.
+    quotes; the parity of all earlier ones tells how it starts. A split without line feeds in quotes is
+    taken line by line as it is read; where a file begins, if its first line is the given `header`.
+    In the others whole records stay in their task, and the parts of a record that crosses splits, at
+    most two for each split, are joined. `first` marks each file's first record. No row of the scans
+    is shuffled; there are two of them if no value holds a line feed.
     """
     rows = lines(spark, path, glob).drop("size")
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    inside = split_sums(rows, quotes).where("before % 2 = 1").select("file", "start", F.lit(True).alias("inside"))
-    placed = _with_splits(rows, inside, "left").withColumn("inside", F.coalesce("inside", F.lit(False)))
+    splits = _quote_splits(rows, header)
+    kinds = {r["plain"] for r in splits.select("plain").distinct().collect()}
+    if True not in kinds:
+        return _without_return(_cut_records(rows, splits))
+    plain = _with_splits(rows, splits.where("plain").select("file", "start"), "inner") if False in kinds else rows
+    direct = plain.select("file", ((F.col("start") == 0) & _is_header(header)).alias("first"), "value")
+    if False in kinds:
+        direct = direct.unionByName(_cut_records(rows, splits.where(~F.col("plain"))))
+    return _without_return(direct)
+
+
+def _without_return(records: DataFrame) -> DataFrame:
+    value = F.when(F.endswith("value", F.lit("\r")), F.col("value").substr(F.lit(1), F.length("value") - 1)).otherwise(F.col("value"))
+    return records.select("file", "first", value.alias("value"))
+
+
+def _cut_records(rows: DataFrame, splits: DataFrame) -> DataFrame:
+    """(file, first, value) of the records that begin in the given splits, or end in them."""
+    placed = _with_splits(rows, splits.select("file", "start", "inside"), "inner")
     columns = "file string, start bigint, kind int, n bigint, value string"
     whole = placed.mapInArrow(_cut(False), columns)
     parts = stored(placed.mapInArrow(_cut(True), columns))
@@ -165,6 +204,4 @@ def quoted_records(spark: SparkSession, path: str, glob: str | None = None) -> D
     unended = F.raise_error(F.concat(F.lit("a quoted value does not end in "), F.col("file"))).cast("string")
     crossing = joined.select("file", F.col("owner").alias("start"), "n", F.when(F.col("ends"), text).otherwise(unended).alias("value"))
     records = whole.select("file", "start", "n", "value").unionByName(crossing)
-    first = (F.col("start") == 0) & (F.col("n") == 0)
-    value = F.when(F.endswith("value", F.lit("\r")), F.col("value").substr(F.lit(1), F.length("value") - 1)).otherwise(F.col("value"))
-    return records.select("file", first.alias("first"), value.alias("value"))
+    return records.select("file", ((F.col("start") == 0) & (F.col("n") == 0)).alias("first"), "value")
