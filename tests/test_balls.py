@@ -112,3 +112,15 @@ def test_tiles_without_cancellation():
         y[5] = x[5] * (1 + 1e-12)
         with np.errstate(over="ignore"):
             np.testing.assert_allclose(cluster._tile(x, y), balls.pair_distances(x, y, False), rtol=1e-8)
+
+
+def test_nearest_pivots_by_a_product():
+    rng = np.random.default_rng(9)
+    rows, pivots = rng.normal(5, 3, (40_000, 3)), rng.normal(5, 3, (600, 3))
+    found = balls.nearest_pivot(rows, pivots, False)
+    away = np.sqrt(((rows - pivots[found]) ** 2).sum(axis=1))
+    some = rng.choice(len(rows), 500, replace=False)
+    assert away[some] == pytest.approx(balls.pair_distances(rows[some], pivots, False).min(axis=1))
+    assert (balls.nearest_pivot(rows[some], pivots, True) == balls.pair_distances(pivots, rows[some], True).argmin(axis=0)).all()
+    # Rows beyond the range of squares get some pivot.
+    assert set(balls.nearest_pivot(np.array([[1e200] * 3, [-1e300] * 3]), pivots, False)) <= set(range(600))
