@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .attach import BROADCAST_ROWS
@@ -19,6 +20,8 @@ REPLY_LIMIT_DAYS = 0.2
 CELL_ROWS, GRID_SIDE = 1 << 21, 4
 # A copied row of a dimension is about a fifth of what the contacts' two other shuffles move for a row.
 COPIES_PER_CONTACT = 5
+# Dimensions that stay below Spark's broadcast limit at so many bytes a row are left to Spark.
+DIMENSION_ROW_BYTES = 50
 
 
 def plausible_contacts(contacts: DataFrame) -> DataFrame:
@@ -29,10 +32,16 @@ def plausible_contacts(contacts: DataFrame) -> DataFrame:
     )
 
 
+def _threshold(spark: SparkSession) -> int:
+    """Spark's limit for broadcasts in bytes."""
+    number, unit = re.fullmatch(r"(-?\d+)([kmgt]?)b?", spark.conf.get("spark.sql.autoBroadcastJoinThreshold").lower()).groups()
+    return int(number) << 10 * " kmgt".index(unit or " ")
+
+
 def _grid_side(contacts: DataFrame, listings: DataFrame, users: DataFrame) -> int | None:
     """Parts for each side of the grid; None where one shuffle for each join moves less."""
     n_listings, n_users = listings.count(), users.count()
-    if max(n_listings, n_users) <= BROADCAST_ROWS:
+    if max(n_listings, n_users) <= max(BROADCAST_ROWS, _threshold(contacts.sparkSession) // DIMENSION_ROW_BYTES):
         return None
     n, side = contacts.count(), GRID_SIDE
     while side ** 3 * CELL_ROWS < n:
