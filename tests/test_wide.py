@@ -142,3 +142,77 @@ def test_a_round_of_kmeans_is_one_job(spark, monkeypatch):
     labelled = cluster.assign_clusters(frame, "v", centres, "manhattan")
     _, means = cluster.centre_list(labelled, "v", "cluster")
     assert np.allclose(means, centres)
+
+
+def test_kmeans_rounds_between_jobs(spark, monkeypatch):
+    """Rounds in which only rows near a border can move need no job; before, every round was one. The centres are
+    those of plain Lloyd rounds over all rows."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(3000, 4)) + 5.0
+    x[:5] = x[5]
+    frame = spark.createDataFrame([(list(map(float, r)),) for r in x], "v array<double>")
+    jobs, kept = [], cluster._round
+    monkeypatch.setattr(cluster, "_round", lambda *a: jobs.append(1) or kept(*a))
+    for distance in ("euclidean", "manhattan", "cosine_similarity"):
+        jobs.clear()
+        got = np.array(cluster.kmeans_fit(frame, "v", 3, "random", distance=distance, seed=4))
+        centres, rounds, label = np.array(cluster.random_start(frame, "v", 3, 4)), 0, None
+        while True:
+            new = cluster._distances(x, centres, distance).argmin(axis=1)
+            rounds += 1
+            if label is not None and (new == label).all():
+                break
+            label = new
+            centres = np.array([x[label == i].mean(axis=0) for i in range(3)])
+        assert np.allclose(got, centres, atol=1e-9)
+        assert len(jobs) < rounds * 0.7
+
+
+def test_nearest_centres_and_margins():
+    """Ties, rows without direction, rows far from zero and infinite distances, as the measured distances have them."""
+    rng = np.random.default_rng(3)
+    for distance in ("euclidean", "manhattan", "cosine_similarity"):
+        for shift, scale in ((0.0, 1.0), (1e7, 1.0), (0.0, 1e-150), (0.0, 1e200)):
+            x, c = rng.normal(size=(200, 5)) * scale + shift, rng.normal(size=(4, 5)) * scale + shift
+            c[3], x[0], x[1] = c[2], 0.0, c[2]
+            with np.errstate(all="ignore"):
+                d = cluster._distances(x, c, distance)
+                d = np.where(np.isnan(d), np.inf, d)
+                label, margin = cluster._nearest(x, c, distance)
+                assert (label == d.argmin(axis=1)).all()
+                two = np.sort(d, axis=1)
+                gap = np.where(np.isinf(two[:, 0]), 0.0, two[:, 1] - two[:, 0])
+                some = np.arange(len(x)) > 0
+                assert (margin[some] <= np.maximum(gap[some], 0.0) * (1 + 1e-9)).all()
+                assert distance != "euclidean" or scale != 1.0 or shift or (margin[some] > 0.9 * gap[some] - 1e-9).all()
+
+
+def test_cosine_units_are_made_once(spark, monkeypatch):
+    """One pass sums the unit vectors; before, two did, and each took a row's length anew for every element."""
+    rng = np.random.default_rng(8)
+    rows = [(list(map(float, v)), i % 3) for i, v in enumerate(rng.normal(size=(60, 7)))] + [(None, 1), ([0.0] * 7, 2)]
+    frame = spark.createDataFrame(rows, "v array<double>, l int")
+    passes, kept = [], cluster.update_centres
+    monkeypatch.setattr(cluster, "update_centres", lambda *a: passes.append(1) or kept(*a))
+    got = cluster.silhouette(frame, "v", "l", "cosine_similarity").first()[0]
+    assert len(passes) == 1
+    x, l = np.array([r[0] for r in rows[:60]]), np.array([r[1] for r in rows[:60]])
+    d = cluster._distances(x, x, "cosine_similarity")
+    values = []
+    for i in range(60):
+        means = [d[i, l == k].sum() / ((l == k).sum() - (k == l[i])) for k in range(3)]
+        a, b = means[l[i]], min(m for k, m in enumerate(means) if k != l[i])
+        values.append((b - a) / max(a, b))
+    assert abs(got - np.mean(values)) < 1e-9
+    units = frame.select(cluster._unit(F.col("v")).alias("u")).collect()
+    assert units[60]["u"] is None and np.allclose([r["u"] for r in units[:60]], cluster._units(x))
+
+
+def test_sums_of_a_tile_by_label():
+    rng = np.random.default_rng(5)
+    for several in (3, 40):
+        d, labels, weights = rng.random((50, 60)), np.sort(rng.integers(0, several, 60)), rng.integers(1, 5, 60).astype(float)
+        d[4, 7] = np.inf
+        there, sums = cluster._by_label(d, labels, weights)
+        for i, k in enumerate(there):
+            assert np.allclose(sums[:, i], (d * weights)[:, labels == k].sum(axis=1))

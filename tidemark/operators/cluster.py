@@ -189,14 +189,17 @@ def kmeans_fit(df: DataFrame, vector: str, k: int = 2, init: str = "k-means++",
     """Centres after Lloyd rounds. Centres are means whatever the distance; the rounds stop when
     no row changes its cluster, or after max_iter with a warning. With distances whose centres aren't
     means, rounds can come back to earlier centres: then the ones of the cycle with the smallest summed
-    distance are the result. Incomplete vectors take no part. A round is one short
-    job over matrices that are persisted once; only k sums for each task come back."""
+    distance are the result. Incomplete vectors take no part.
+
+    A job reads all rows, from matrices that are persisted once, and returns k sums a task and the rows
+    near a border between two centres, at most CLOSE_VALUES numbers and a quarter of the rows. Until the centres have
+    moved so far that another row could change its cluster, the next rounds need these rows only."""
     _check_distance(distance)
     df = df.where(complete(vector))
     if init not in ("k-means++", "random"):
         raise ValueError(f"unknown init: {init}")
     if distance == "euclidean" and init == "k-means++" and k > 1:
-        most = 100 if max_iter is None else max_iter
+        most = FIRST_ROUNDS if max_iter is None else max_iter
         model = KMeans(k=k, maxIter=most, seed=seed, featuresCol="features", tol=0.0).fit(
             df.select(_vector(vector).alias("features")))
         centres = [[float(x) for x in c] for c in model.clusterCenters()]
@@ -212,9 +215,15 @@ def kmeans_fit(df: DataFrame, vector: str, k: int = 2, init: str = "k-means++",
     rows = df.select(doubles(vector).alias("__v"))
     held = _held(rows)
     previous, seen, path = None, {}, []
+    base, reach, step, room = None, 0.0, 0.0, 0
     try:
         for _ in itertools.count() if max_iter is None else range(max_iter):
-            sums, away = _round(held, centres, distance)
+            if base is None or not _moved(base, centres, distance) < reach:
+                settled, close, reach = _round(held, centres, distance, CLOSE_STEPS * step, room)
+                base = centres
+            sums = settled + _sums(close, _nearest(close, np.asarray(centres), distance)[0], len(centres)) if len(close) else settled
+            if not room:
+                room = min(int(sums[:, -1].sum()) // 4, CLOSE_VALUES // (sums.shape[1] - 1))
             # Means that equal the centres to the last bit: no row has changed its cluster.
             means = [[x / r[-1] for x in r[:-1]] if r[-1] else None for r in sums.tolist()]
             if means == centres:
@@ -225,13 +234,14 @@ def kmeans_fit(df: DataFrame, vector: str, k: int = 2, init: str = "k-means++",
                 far = near.orderBy(F.col("__near.distance").desc(), "__v").limit(len(lost)).collect()
                 for i, r in itertools.zip_longest(lost, far):
                     means[i] = list(r["__v"]) if r else centres[i]
+            step = _moved(centres, means, distance)
             previous, centres = centres, means
             state = hash(tuple(round(x, 9) for c in centres for x in c))
             # Nearly equal centres twice in a row are the end, which the next round finds.
-            # The summed distance belongs to the centres before.
-            path.append((away, previous))
+            path.append(previous)
             if state in seen and max(abs(x - y) for a, b in zip(previous, centres) for x, y in zip(a, b)) > 1e-6:
-                return min(path[seen[state]:], key=lambda x: x[0])[1]
+                cycle = path[seen[state]:]
+                return cycle[int(np.argmin(_summed_distances(held, cycle, distance)))]
             seen.setdefault(state, len(path))
         else:
             warnings.warn(f"k-means has not converged in {max_iter} rounds", RuntimeWarning, stacklevel=2)
@@ -242,6 +252,10 @@ def kmeans_fit(df: DataFrame, vector: str, k: int = 2, init: str = "k-means++",
 
 # Rows that are measured at once.
 STEP_ROWS = 4_096
+# Rounds of Spark's k-means before the ones here.
+FIRST_ROUNDS = 10
+# Numbers of the rows near a border at most, and for how many steps of the last length they are to last.
+CLOSE_VALUES, CLOSE_STEPS = 1 << 20, 16
 
 
 def _held(rows: DataFrame) -> RDD:
@@ -258,28 +272,107 @@ def _held(rows: DataFrame) -> RDD:
     return blocks.rdd.map(lambda r: np.frombuffer(r["data"]).reshape(r["n"], -1)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _round(held: RDD, centres: list[list[float]], distance: str) -> tuple[np.ndarray, float]:
-    """For every centre the sum of the rows nearest to it and, last, their number; and the summed distance
-    of all rows to their centres. One job, whose tasks return these sums only."""
+def _moved(old: list[list[float]], new: list[list[float]], distance: str) -> float:
+    """By how much a row's distances to two centres can have come closer to each other, at most; NaN if
+    a centre has no direction."""
+    a, b = np.asarray(old, dtype=float), np.asarray(new, dtype=float)
+    if distance in COSINE_NAMES:
+        a, b = _units(a), _units(b)
+    away = np.abs(a - b).sum(axis=1) if distance == "manhattan" else np.linalg.norm(a - b, axis=1)
+    return float(np.sort(away)[-2:].sum() * (1 + 1e-9))
+
+
+def _nearest(points: np.ndarray, centres: np.ndarray, distance: str) -> tuple[np.ndarray, np.ndarray]:
+    """For every row the centre that is nearest by `_distances`, and by how much any other is farther, at least.
+    Where a matrix product is too rough to tell, the distances are measured."""
+    if len(centres) == 1:
+        return np.zeros(len(points), dtype=np.int64), np.full(len(points), np.inf)
+    with np.errstate(all="ignore"):
+        if distance == "euclidean":
+            middle = centres.mean(axis=0)
+            x, c = points - middle, centres - middle
+            xx, cc = np.einsum("ij,ij->i", x, x), (c * c).sum(axis=1)
+            d = xx[:, None] + cc - 2 * (x @ c.T)
+            size = xx + cc.max()
+            rough = 1e-15 * (10 + len(middle)) * (size + np.sqrt(size) * np.linalg.norm(middle))
+        elif distance == "manhattan":
+            d = _distances(points, centres, distance)
+            rough = 1e-15 * (10 + points.shape[1]) * (np.abs(points).sum(axis=1) + np.abs(centres).sum(axis=1).max())
+        else:
+            length = np.sqrt(np.einsum("ij,ij->i", points, points))
+            d = 1.0 - (points @ _units(centres).T) / length[:, None]
+            rough = np.full(len(points), 1e-15 * (10 + points.shape[1]))
+        label = d.argmin(axis=1)
+        two = np.partition(d, 1, axis=1)[:, :2]
+        gap = two[:, 1] - two[:, 0]
+        margin = gap - rough
+        if distance == "euclidean":
+            margin /= np.sqrt(np.maximum(two, 0.0) + rough[:, None]).sum(axis=1)
+        unsure = np.flatnonzero(~((gap > rough) & np.isfinite(margin)))
+        if len(unsure):
+            measured = _distances(points[unsure], centres, distance)
+            label[unsure] = np.where(np.isnan(measured), np.inf, measured).argmin(axis=1)
+            margin[unsure] = 0.0
+            if distance in COSINE_NAMES:  # a row without direction is the first centre's, wherever that is
+                margin[unsure[length[unsure] == 0]] = np.inf
+    return label, margin
+
+
+def _sums(points: np.ndarray, label: np.ndarray, k: int) -> np.ndarray:
+    """For every label the sum of its rows and, last, their number."""
+    total = np.zeros((k, points.shape[1] + 1))
+    order = np.argsort(label, kind="stable")
+    found, first = np.unique(label[order], return_index=True)
+    total[found, :-1] = np.add.reduceat(points[order], first, axis=0)
+    total[:, -1] = np.bincount(label, minlength=k)
+    return total
+
+
+def _round(held: RDD, centres: list[list[float]], distance: str, reach: float, room: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """(settled, close, reach). For every centre the sum of the rows nearest to it and, last, their number,
+    without the close rows; these are nearer to another centre by less than `reach`. It is lowered so that
+    they are `room` rows at most. One job, whose tasks return these sums and rows only."""
     table = np.asarray(centres, dtype=float)
+    # Rows can be all close or none where distances are not finite.
+    wanted, share = reach if math.isfinite(reach) else 0.0, room // held.getNumPartitions()
 
-    def run(matrices: Iterable[np.ndarray]) -> Iterable[tuple[np.ndarray, float]]:
-        total, away = np.zeros((len(table), table.shape[1] + 1)), 0.0
+    def run(matrices: Iterable[np.ndarray]) -> Iterable[tuple[np.ndarray, np.ndarray, float]]:
+        total, limit = np.zeros((len(table), table.shape[1] + 1)), wanted if share else 0.0
+        close, labels, margins = np.empty((0, table.shape[1])), np.empty(0, dtype=np.int64), np.empty(0)
         for m in matrices:
             for at in range(0, len(m), STEP_ROWS):
                 some = m[at:at + STEP_ROWS]
-                d = _distances(some, table, distance)
-                d = np.where(np.isnan(d), np.inf, d)
-                label = d.argmin(axis=1)
-                away += float(d.min(axis=1).sum())
-                order = np.argsort(label, kind="stable")
-                found, first = np.unique(label[order], return_index=True)
-                total[found, :-1] += np.add.reduceat(some[order], first, axis=0)
-                total[:, -1] += np.bincount(label, minlength=len(table))
-        yield total, away
+                label, margin = _nearest(some, table, distance)
+                near = margin < limit
+                if not near.all():
+                    total += _sums(some[~near], label[~near], len(table))
+                if near.any():
+                    close, labels, margins = np.concatenate([close, some[near]]), np.concatenate([labels, label[near]]), np.concatenate([margins, margin[near]])
+                if len(close) > share:
+                    limit = float(np.partition(margins, share)[share])
+                    near = margins < limit
+                    total += _sums(close[~near], labels[~near], len(table))
+                    close, labels, margins = close[near], labels[near], margins[near]
+        yield total, close, limit
 
     parts = held.mapPartitions(run).collect()
-    return np.add.reduce([t for t, _ in parts]), sum(a for _, a in parts)
+    return np.add.reduce([t for t, _, _ in parts]), np.concatenate([c for _, c, _ in parts]), min(r for _, _, r in parts)
+
+
+def _summed_distances(held: RDD, several: list[list[list[float]]], distance: str) -> np.ndarray:
+    """The summed distance of all rows to their nearest centres, for several lists of centres, in one job."""
+    tables = [np.asarray(centres, dtype=float) for centres in several]
+
+    def run(matrices: Iterable[np.ndarray]) -> Iterable[np.ndarray]:
+        total = np.zeros(len(tables))
+        for m in matrices:
+            for at in range(0, len(m), STEP_ROWS):
+                for i, table in enumerate(tables):
+                    d = _distances(m[at:at + STEP_ROWS], table, distance)
+                    total[i] += np.where(np.isnan(d), np.inf, d).min(axis=1).sum()
+        yield total
+
+    return np.add.reduce(held.mapPartitions(run).collect())
 
 
 def wcss(df: DataFrame, vector: str, label: str) -> DataFrame:
@@ -296,6 +389,8 @@ def wcss(df: DataFrame, vector: str, label: str) -> DataFrame:
 BLOCK_ROWS, BLOCKS, BLOCK_VALUES = 1_000, 32, 1 << 21
 # Rows of one block that are compared at once.
 TILE_ROWS = 512
+# Labels in a tile up to which a matrix product sums its distances.
+TILE_LABELS = 16
 
 
 def _tile(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -308,6 +403,8 @@ def _tile(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         d = left @ right.T
         moved = np.abs(middle).max() * np.sqrt(len(middle)) * np.sqrt(aa.max() + bb.max())
         small = 1e-5 * (aa.max() + bb.max() + moved)
+        if d.min() > small and aa.max() + bb.max() < 1e300:
+            return np.sqrt(d, out=d)
         i, j = np.nonzero(~(d > small) | np.isinf(d))
         np.sqrt(np.maximum(d, 0.0, out=d), out=d)
         for at in range(0, len(i), 100_000):
@@ -316,6 +413,19 @@ def _tile(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return d
 
 
+def _by_label(d: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The labels, which come in order, and the weighted sums of every row of `d` over the columns of each."""
+    there, starts, each = np.unique(labels, return_index=True, return_inverse=True)
+    if len(there) <= TILE_LABELS:
+        table = np.zeros((len(labels), len(there)))
+        table[np.arange(len(labels)), each] = weights
+        with np.errstate(all="ignore"):
+            sums = d @ table
+        if np.isfinite(sums).all():
+            return there, sums
+    return there, np.add.reduceat(d * weights, starts, axis=1)
+
+
 def _euclidean_points(df: DataFrame, vector: str, label: str, sizes: dict[str, int]) -> DataFrame:
     """(copies, size, own, b) of every distinct point: the summed distance to its cluster and the least
     mean distance to another.
@@ -355,14 +465,14 @@ def _euclidean_points(df: DataFrame, vector: str, label: str, sizes: dict[str, i
         itself = a is b
         sums = [np.zeros((len(s[2]), len(names))) for s in sides]
         for at in range(0, len(a[2]), TILE_ROWS):
-            for to in range(0, len(b[2]), 2 * TILE_ROWS):
-                mine, theirs = slice(at, at + TILE_ROWS), slice(to, to + 2 * TILE_ROWS)
+            for to in range(0, len(b[2]), TILE_ROWS):
+                mine, theirs = slice(at, at + TILE_ROWS), slice(to, to + TILE_ROWS)
                 d = _tile(a[4][mine], b[4][theirs])
-                there, starts = np.unique(b[2][theirs], return_index=True)
-                sums[0][mine, there] += np.add.reduceat(d * b[3][theirs], starts, axis=1)
+                there, some = _by_label(d, b[2][theirs], b[3][theirs])
+                sums[0][mine, there] += some
                 if not itself:
-                    here, starts = np.unique(a[2][mine], return_index=True)
-                    sums[1][theirs, here] += np.add.reduceat(d * a[3][mine, None], starts, axis=0).T
+                    here, some = _by_label(d.T, a[2][mine], a[3][mine])
+                    sums[1][theirs, here] += some
         found = []
         for s, total in zip(sides, sums):
             back = np.empty_like(total)
@@ -443,15 +553,29 @@ def _length(vector: str) -> Column:
     return F.sqrt(F.aggregate(doubles(vector), F.lit(0.0), lambda a, x: a + x * x))
 
 
+def _unit(v: Column) -> Column:
+    """A complete vector of some length over that length, which is taken once a row."""
+
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def unit(v: pa.Array) -> pa.Array:
+        there = v.is_valid().to_numpy(zero_copy_only=False)
+        if not there.any():
+            return pa.nulls(len(v), pa.list_(pa.float64()))
+        units = _units(_matrix(v))
+        ends = np.concatenate([[0], np.cumsum(there)]) * units.shape[1]
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(units.ravel()), mask=pa.array(~there))
+
+    return unit(v)
+
+
 def _cosine_sums(df: DataFrame, vector: str, label: str) -> DataFrame:
     """(label, names, sums) of every row: summed 1 - cosine similarity, without any pairs: a cluster's summed
     dissimilarity to x is its size less x times the sum of its unit vectors."""
-    v, length = doubles(vector), _length(vector)
-    units = df.select(F.col(label).cast("string").alias("label"), F.transform(v, lambda x: x / length).alias("u"))
-    names, means = centre_list(units, "u", "label")
-    sizes = {r["label"]: r["n"] for r in update_centres(units, "u", "label").select("label", "n").collect()}
-    totals = np.asarray(means) * np.asarray([sizes[n] for n in names])[:, None]
-    counts = np.asarray([sizes[n] for n in names], dtype=float)
+    units = df.select(F.col(label).cast("string").alias("label"), _unit(doubles(vector)).alias("u"))
+    clusters = sorted(update_centres(units, "u", "label").collect(), key=lambda r: r["label"])
+    names, means = [r["label"] for r in clusters], [list(r["centre"]) for r in clusters]
+    counts = np.asarray([r["n"] for r in clusters], dtype=float)
+    totals = np.asarray(means) * counts[:, None]
 
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def to_clusters(u: pa.Array) -> pa.Array:
@@ -588,7 +712,7 @@ def dunn_details(df: DataFrame, vector: str, label: str, distance: str = "euclid
     rows = df.where(complete(vector))
     v = doubles(vector)
     if distance in COSINE_NAMES:
-        rows, v = rows.where(_length(vector) > 0), F.transform(v, lambda x: x / _length(vector))
+        rows, v = rows.where(_length(vector) > 0), _unit(v)
     found = balls.extremes(rows, v, F.col(label), distance == "manhattan")
     closest, widest = found.closest, found.widest
     if distance in COSINE_NAMES:
