@@ -199,3 +199,24 @@ def test_large_dimensions_meet_contacts_shuffled_once(spark, monkeypatch):
         assert "RepartitionByExpression" not in one_by_one._jdf.queryExecution().optimizedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_moments_cross_the_grid_as_spans(spark):
+    """One timestamp of a kind is shuffled whole, before all were; missing ones, far ones and those around a
+    change of the clock come back as they were."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        texts = ["2024-03-31 01:59:59.999999", "2024-03-31 03:00:00", "2024-10-27 02:30:00", "0001-01-03 00:00:00", "9999-12-30 12:00:00", None]
+        pairs = [(a, b, "k") for a in texts for b in texts]
+        rows = spark.createDataFrame(pairs, "a string, b string, k string")
+        for kind in ("timestamp", "timestamp_ntz"):
+            typed = rows.select(F.col("a").cast(kind), F.col("b").cast(kind), F.col("b").cast(kind).alias("c"), "k")
+            spans, _ = funnel._as_spans(typed)
+            assert [its for _, its in spans.dtypes].count(kind) == 1
+            joined = funnel._join_on_grid(typed, {"k": spark.createDataFrame([("k", 7)], "k string, seven int")}, 2)
+            assert joined.schema["b"].dataType == typed.schema["b"].dataType
+            got, want = (sorted(map(str, x.select(*[F.col(c).cast("string") for c in "abc"]).collect())) for x in (joined, typed))
+            assert got == want and joined.where("seven = 7").count() == len(pairs)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

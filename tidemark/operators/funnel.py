@@ -49,6 +49,23 @@ def _grid_side(contacts: DataFrame, listings: DataFrame, users: DataFrame) -> in
     return side if side ** 2 * (n_listings + 2 * n_users) <= COPIES_PER_CONTACT * n else None
 
 
+def _as_spans(rows: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
+    """The rows with every timestamp but the first as the span since that, and the columns that bring
+    the timestamps back. A row's moments lie close together, so the spans are short and compress better."""
+    spans, moments = {}, {}
+    for kind in ("timestamp", "timestamp_ntz"):
+        names = [name for name, its in rows.dtypes if its == kind]
+        if names:
+            start = F.coalesce(F.col(names[0]), F.lit("1970-01-01").cast(kind))
+        for c in names[1:]:
+            if kind == "timestamp":  # no difference of local times, which are not the same all year
+                spans[c] = F.unix_micros(c) - F.unix_micros(start)
+                moments[c] = F.timestamp_micros(F.col(c) + F.unix_micros(start))
+            else:
+                spans[c], moments[c] = F.col(c) - start, start + F.col(c)
+    return rows.withColumns(spans), moments
+
+
 def _join_on_grid(rows: DataFrame, roles: dict[str, DataFrame], side: int) -> DataFrame:
     """Inner joins of `rows` with every dimension on its key, in one shuffle of `rows`.
 
@@ -56,6 +73,8 @@ def _join_on_grid(rows: DataFrame, roles: dict[str, DataFrame], side: int) -> Da
     dimension's row to all cells of its part, so they meet whatever the order of the joins. A key's
     rows spread over as many cells as the other keys have parts.
     """
+    rows, moments = _as_spans(rows)
+
     def part(key: str, place: int) -> Column:
         return (F.pmod(F.xxhash64(key), F.lit(side)) * side ** place).cast("int")
 
@@ -67,7 +86,7 @@ def _join_on_grid(rows: DataFrame, roles: dict[str, DataFrame], side: int) -> Da
         copies = dimension.withColumn("__first", F.explode(F.array(*[F.lit(cell) for cell in first]))).withColumn(
             "__cell", F.col("__first") + parts[place]).drop("__first")
         joined = joined.join(copies.repartitionById(cells, F.col("__cell")).hint("merge"), ["__cell", key])
-    return joined
+    return joined.withColumns(moments)
 
 
 def master(contacts: DataFrame, listings: DataFrame, users: DataFrame) -> DataFrame:
